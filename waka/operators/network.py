@@ -105,7 +105,8 @@ def consecutive_pairs(rows: DataFrame, code: str = "stop_code", extra=("stop_id"
     """W1 + X3: each stop row with the next row's values within its trip (by
     stop_sequence); the last stop of a trip has no successor and is dropped."""
     w = Window.partitionBy("trip_id").orderBy("stop_sequence")
-    cols = {f"end_{c if c != 'stop_code' else 'stop'}": F.lead(c, 1).over(w) for c in (code, *extra)}
+    names = {"stop_code": "end_stop", "stop_id": "end_stop_id", "stop_lat": "end_lat", "stop_lon": "end_lon"}
+    cols = {names.get(c, f"end_{c}"): F.lead(c, 1).over(w) for c in (code, *extra)}
     out = rows.withColumns(cols)
     return out.where(F.col("end_stop").isNotNull())
 
