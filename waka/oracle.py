@@ -80,7 +80,7 @@ def _closure(names):
 
 def with_views(*names: str, extra: dict | None = None) -> str:
     """``WITH`` clause defining the named views (plus ``extra`` name -> sql, in order)."""
-    parts = [f"{n} AS ({VIEW_SQL[n]})" for n in _closure(names)]
+    parts = [f"{n} AS MATERIALIZED ({VIEW_SQL[n]})" for n in _closure(names)]
     for n, sql in (extra or {}).items():
-        parts.append(f"{n} AS ({sql})")
+        parts.append(f"{n} AS MATERIALIZED ({sql})")
     return "WITH " + ",\n".join(parts) + "\n"

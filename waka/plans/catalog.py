@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog_features, catalog_network  # noqa: F401
+from . import catalog_features, catalog_network, catalog_profile, catalog_realtime  # noqa: F401
 from .registry import NOTES, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "NOTES"]
