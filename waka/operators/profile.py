@@ -288,13 +288,31 @@ def lag_target_corr(df: DataFrame, targets=TARGET_COLS) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
     """Pearson matrix over listwise-complete rows, lower triangle (col_a after
-    col_b in column order), one aggregate for all pairs."""
+    col_b in column order).
+
+    The matrix comes from ``ml.stat.Correlation`` (one tree-aggregated pass that sums
+    the columns' Gram matrix); its size is bounded by the number of columns, so the
+    result is small. Columns that are constant (min = max, checked in a separate
+    aggregate) get null rather than a division by (almost) zero.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     cols = cols or numeric_columns(df)
-    d = df.select(*[q(c).cast("double").alias(c) for c in cols]).dropna()
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
-    one = d.agg(*[safe_corr(q(cols[i]), q(cols[j])).alias(f"r{i}_{j}") for i, j in pairs])
-    stack = ", ".join(f"'{cols[i]}', '{cols[j]}', r{i}_{j}" for i, j in pairs)
-    return one.selectExpr(f"stack({len(pairs)}, {stack}) as (col_a, col_b, r)")
+    names = [f"c{i}" for i in range(len(cols))]
+    d = df.select(*[q(c).cast("double").alias(n) for c, n in zip(cols, names)]).dropna()
+    vec = VectorAssembler(inputCols=names, outputCol="_v").transform(d).select("_v")
+    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
+    flat = d.agg(*[(F.min(n) == F.max(n)).alias(n) for n in names]).head()
+    const = [bool(flat[n]) if flat[n] is not None else True for n in names]
+    rows = []
+    for i in range(len(cols)):
+        for j in range(i):
+            v = float(m[i][j])
+            ok = not (const[i] or const[j] or math.isnan(v))
+            rows.append((cols[i], cols[j], v if ok else None))
+    spark = df.sparkSession
+    return spark.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def target_slice(matrix: DataFrame, targets=TARGET_COLS) -> DataFrame:

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from . import catalog_features, catalog_network, catalog_profile, catalog_realtime  # noqa: F401
+from . import (  # noqa: F401
+    catalog_features,
+    catalog_misc,
+    catalog_network,
+    catalog_profile,
+    catalog_realtime,
+    catalog_tables,
+)
 from .registry import NOTES, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "NOTES"]

@@ -116,7 +116,9 @@ def update_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), (u % 10).cast("string")).alias("stop_id"),
         F.lit(0).alias("schedule_relationship"),
     )
-    other = F.struct(F.lit(99).alias("stop_sequence"), F.lit("X").alias("stop_id"))
+    other = F.struct(F.lit(99).cast("int").alias("stop_sequence"),
+                     F.lit(None).cast("struct<delay:int,time:bigint,uncertainty:int>").alias("departure"),
+                     F.lit("X").alias("stop_id"), F.lit(0).alias("schedule_relationship"))
     delay_int = (F.floor("value").cast("int") - 20)
 
     def entity(stu_value: Column, delay: Column) -> Column:
