@@ -31,7 +31,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def write_text_file(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
-    out.write(bytearray(text.encode("utf-8")))
+    out.writeBytes(text.encode("ascii", "backslashreplace").decode("ascii"))
     out.close()
 
 
@@ -71,7 +71,7 @@ def append_new_rows(spark: SparkSession, path: str, batch: DataFrame, keys, part
     staged = scratch_path(spark, "append")
     w = b.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
-    staged_df = spark.read.parquet(staged)
+    staged_df = spark.read.schema(b.schema).parquet(staged)
     n = staged_df.count()
     if n:
         w2 = staged_df.write.mode("append")
@@ -107,12 +107,12 @@ def publish_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame])
     base = f"{root.rstrip('/')}/{version}"
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}")
-    write_text_file(spark, f"{root.rstrip('/')}/_PUBLISHED", json.dumps({"version": version, "tables": list(tables)}))
+    write_text_file(spark, f"{root.rstrip('/')}/published.json", json.dumps({"version": version, "tables": list(tables)}))
     return base
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    meta = json.loads(read_text_file(spark, f"{root.rstrip('/')}/_PUBLISHED"))
+    meta = json.loads(read_text_file(spark, f"{root.rstrip('/')}/published.json"))
     return spark.read.parquet(f"{root.rstrip('/')}/{meta['version']}/{name}")
 
 

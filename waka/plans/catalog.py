@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     catalog_network,
     catalog_profile,
     catalog_realtime,
+    catalog_streaming,
     catalog_tables,
 )
 from .registry import NOTES, ORACLES, QUERIES

@@ -245,7 +245,7 @@ def p3(spark, sf):
 
 
 @register("X7_split_trim", with_views("trips") + """
-select trip_id, list_transform(string_split(route_id || ' , ' || shape_id, ','), x -> trim(x)) items from trips""")
+select trip_id, list_transform(string_split(route_id || ' , ' || shape_id, ','), lambda x: trim(x)) items from trips""")
 def x7(spark, sf):
     from ..functions.strings import split_trim
     t = tv.trips(spark, sf)
