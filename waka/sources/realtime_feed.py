@@ -143,50 +143,65 @@ def update_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def _present(v: Column, paths) -> Column:
-    """First path holding a non-null JSON value (AliasChoices: nested path, then flat name)."""
-    cands = [F.try_variant_get(v, p, "variant") for p in paths]
+def _present(cands) -> Column:
+    """First candidate holding a non-null JSON value (nested path first, then the flat
+    name, as an alias-choice validator does)."""
     return F.coalesce(*[F.when(~F.is_variant_null(c), c) for c in cands])
 
 
-def typed(v: Column, paths, kind: str) -> tuple[Column, Column, Column]:
-    """(value, present, type_ok) for a field read leniently the way a lax validator does:
-    ints accept integral numbers and digit strings, floats accept numbers and numeric
-    strings, strings accept only strings, bools accept JSON booleans."""
-    x = _present(v, paths)
-    t = F.schema_of_variant(x)
-    s = F.try_variant_get(x, "$", "string")
+def _sources(paths, entity: str = "e"):
+    """Spec paths -> (column, path) pairs; ``$._stu.x`` reads the chosen stop update."""
+    out = []
+    for p in paths:
+        out.append(("_stu_obj", "$" + p[len("$._stu"):]) if p.startswith("$._stu") else (entity, p))
+    return out
+
+
+def _typed(x: Column, t: Column, s: Column, d: Column, kind: str) -> tuple[Column, Column]:
+    """(value, type_ok) from a field's variant ``x``, its JSON type ``t``, its text ``s``
+    and its double ``d``: ints accept integral numbers and digit strings, floats accept
+    numbers and numeric strings, strings only strings, bools only booleans."""
     is_str = t == "STRING"
     is_int = t.isin(*INT_TYPES)
     is_dec = t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
-    d = F.try_variant_get(x, "$", "double")
     if kind == "int":
+        integral = is_int | (is_dec & (d == F.floor(d)))
         str_ok = is_str & F.trim(s).rlike(r"^[+-]?[0-9]+$") & F.trim(s).try_cast("long").isNotNull()
-        ok = is_int | (is_dec & (d == F.floor(d))) | str_ok
-        val = F.when(is_int | (is_dec & (d == F.floor(d))), F.try_variant_get(x, "$", "long")).when(
-            str_ok, F.trim(s).try_cast("long"))
-    elif kind == "float":
+        return F.when(integral, F.try_variant_get(x, "$", "long")).when(str_ok, F.trim(s).try_cast("long")), \
+            integral | str_ok
+    if kind == "float":
         str_ok = is_str & F.trim(s).try_cast("double").isNotNull()
-        ok = is_int | is_dec | str_ok
-        val = F.when(is_int | is_dec, d).when(str_ok, F.trim(s).try_cast("double"))
-    elif kind == "bool":
+        return F.when(is_int | is_dec, d).when(str_ok, F.trim(s).try_cast("double")), is_int | is_dec | str_ok
+    if kind == "bool":
         ok = t == "BOOLEAN"
-        val = F.when(ok, F.try_variant_get(x, "$", "boolean"))
-    else:
-        ok = is_str
-        val = F.when(ok, s)
-    return val, x.isNotNull(), ok
-
-
-def _with_fields(df: DataFrame, v: Column, spec) -> tuple[DataFrame, dict[str, Column]]:
-    """Add typed columns per spec; return rules (valid when true) for Q5."""
+        return F.when(ok, F.try_variant_get(x, "$", "boolean")), ok
+    return F.when(is_str, s), is_str
+
+
+def read_fields(df: DataFrame, spec) -> tuple[DataFrame, dict[str, Column]]:
+    """Typed columns for every (name, kind, paths, required) of ``spec`` plus one rule
+    column ``_<name>_ok`` per field (valid when true; a missing optional field is valid).
+
+    Staged projections: each field's variant is located once, its JSON type / text /
+    double are read once, and the typed value is derived from those columns, so the
+    document is not walked again for every check."""
+    stage1 = {f"__x_{n}": _present([F.try_variant_get(F.col(c), p, "variant") for c, p in _sources(paths)])
+              for n, _, paths, _ in spec}
+    df = df.withColumns(stage1)
+    stage2 = {}
+    for n, _, _, _ in spec:
+        x = F.col(f"__x_{n}")
+        stage2.update({f"__t_{n}": F.schema_of_variant(x), f"__s_{n}": F.try_variant_get(x, "$", "string"),
+                       f"__d_{n}": F.try_variant_get(x, "$", "double")})
+    df = df.withColumns(stage2)
     cols, rules = {}, {}
-    for name, kind, paths, required in spec:
-        val, present, ok = typed(v, paths, kind)
-        cols[name] = val
-        cols[f"_{name}_ok"] = F.when(present, ok).otherwise(F.lit(not required))
-        rules[name] = F.col(f"_{name}_ok")
-    return df.withColumns(cols), rules
+    for n, kind, _, required in spec:
+        val, ok = _typed(F.col(f"__x_{n}"), F.col(f"__t_{n}"), F.col(f"__s_{n}"), F.col(f"__d_{n}"), kind)
+        cols[n] = val
+        cols[f"_{n}_ok"] = F.when(F.col(f"__x_{n}").isNotNull(), ok).otherwise(F.lit(not required))
+        rules[n] = F.col(f"_{n}_ok")
+    df = df.withColumns(cols)
+    return df.drop(*[f"__{k}_{n}" for n, _, _, _ in spec for k in "xtsd"]), rules
 
 
 def _documents_to_entities(docs: DataFrame) -> DataFrame:
@@ -244,7 +259,7 @@ def parse_positions(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     trip = F.try_variant_get("e", "$.vehicle.trip", "variant")
     has_trip = trip.isNotNull() & ~F.is_variant_null(trip) & (F.schema_of_variant(trip) != "OBJECT<>")
     ents = ents.where(has_trip)
-    df, rules = _with_fields(ents, F.col("e"), POSITION_SPEC)
+    df, rules = read_fields(ents, POSITION_SPEC)
     inst, ok = _start_time(F.col("e"), "$.vehicle.trip")
     df = df.withColumns({"start_time": inst, "_start_time_ok": ok})
     rules["start_time"] = F.col("_start_time_ok")
@@ -260,25 +275,11 @@ def parse_updates(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     raw = F.try_variant_get("e", "$.trip_update.stop_time_update", "variant")
     first = F.when(F.schema_of_variant(raw).startswith("ARRAY"),
                    F.try_variant_get("e", "$.trip_update.stop_time_update[0]", "variant")).otherwise(raw)
-    # expose the chosen stop_time_update at a fixed path next to the entity
+    # the chosen stop_time_update sits next to the entity; "$._stu..." paths read it
     ents = ents.withColumn("_stu_obj", first)
     v = F.col("e")
-    cols, rules = {}, {}
-    for name, kind, paths, required in UPDATE_SPEC:
-        sub = [p for p in paths if p.startswith("$._stu")]
-        if sub:
-            val, present, ok = typed(F.col("_stu_obj"), ["$" + sub[0][len("$._stu"):]], kind)
-            fval, fpresent, fok = typed(v, [p for p in paths if not p.startswith("$._stu")], kind)
-            val = F.when(present, val).otherwise(fval)
-            ok = F.when(present, ok).otherwise(fok)
-            present = present | fpresent
-        else:
-            val, present, ok = typed(v, paths, kind)
-        cols[name] = val
-        cols[f"_{name}_ok"] = F.when(present, ok).otherwise(F.lit(not required))
-        rules[name] = F.col(f"_{name}_ok")
-    df = ents.withColumns(cols).withColumn(
-        "is_deleted", F.coalesce(F.col("is_deleted"), F.lit(False)))
+    df, rules = read_fields(ents, UPDATE_SPEC)
+    df = df.withColumn("is_deleted", F.coalesce(F.col("is_deleted"), F.lit(False)))
     inst, ok = _start_time(v, "$.trip_update.trip")
     df = df.withColumns({"start_time": inst, "_start_time_ok": ok})
     rules["start_time"] = F.col("_start_time_ok")
