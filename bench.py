@@ -38,7 +38,8 @@ def main() -> None:
     from waka.plans.catalog import QUERIES
     from waka.session import get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, int(cpus) * 2), app="waka-bench")
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, int(cpus) * 2), app="waka-bench",
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
 
     def run(key: str) -> float:
@@ -51,6 +52,7 @@ def main() -> None:
     for key in HEADLINE:
         run(key)  # warm-up
         times[key] = round(statistics.median(run(key) for _ in range(reps)), 3)
+        print(f"{key}: {times[key]}s", file=sys.stderr, flush=True)
     sf = sf_dir.rsplit("sf", 1)[-1]
     try:
         sf_val = float(sf)

@@ -45,13 +45,16 @@ def p8(spark, sf):
 
 
 @register("O1_multi_key_sort", cn.net_sql("kstops", """
-select trip_id, stop_sequence, stop_code, row_number() over (order by trip_id, stop_sequence) rn from kstops"""))
+select trip_id, stop_sequence, stop_code,
+       row_number() over (partition by trip_id order by stop_sequence) position_in_trip from kstops"""))
 def o1(spark, sf):
-    ks = cn._key_stops(spark, sf).orderBy("trip_id", "stop_sequence")
-    # the row number is taken from the key-stop result (small), in output order
+    """Output sorted by (trip_id, stop_sequence): a range-partitioned global sort; the
+    position within the trip is a window per trip (bounded by its schedule)."""
     from pyspark.sql.window import Window
-    return ks.select("trip_id", "stop_sequence", "stop_code",
-                     F.row_number().over(Window.orderBy("trip_id", "stop_sequence")).alias("rn"))
+    ks = cn._key_stops(spark, sf)
+    pos = F.row_number().over(Window.partitionBy("trip_id").orderBy("stop_sequence"))
+    return ks.select("trip_id", "stop_sequence", "stop_code", pos.alias("position_in_trip")).orderBy(
+        "trip_id", "stop_sequence")
 
 
 @register("O5_newest_first", with_views("vehicle_locations") + """

@@ -154,11 +154,9 @@ def x16(spark, sf):
 
 @register("D3_last_valid_per_trip", ev_sql("lp", """select tick, trip_id, pos, id, "timestamp" from lp"""))
 def d3(spark, sf):
-    df, rules = rf.parse_positions(rf.position_documents(spark, sf))
-    good, _ = rt.validate(df, rules)
-    act = ing.keep_active(good.drop("e"), tv.realtime_trips(spark, sf), tv.calendar(spark, sf), holidays(spark))
-    return rt.last_per_trip(act.select("tick", "pos", *rt.POSITION_COLUMNS)).select(
-        "tick", "trip_id", "pos", "id", "timestamp")
+    gp, _, _, _ = ing.valid_rows(rf.position_documents(spark, sf), rf.update_documents(spark, sf).limit(0))
+    act = ing.keep_active(gp, tv.realtime_trips(spark, sf), tv.calendar(spark, sf), holidays(spark))
+    return rt.last_per_trip(act).select("tick", "trip_id", "pos", "id", "timestamp")
 
 
 @register("J10_feed_merge", ev_sql("merged", """select tick, trip_id, id, "timestamp", stop_id, delay, label from merged"""))
@@ -168,19 +166,12 @@ def j10(spark, sf):
 
 
 def _ingest(spark, sf, merged_only=False):
+    docs = rf.position_documents(spark, sf), rf.update_documents(spark, sf)
+    trips, cal, hol = tv.realtime_trips(spark, sf), tv.calendar(spark, sf), holidays(spark)
     if merged_only:
-        pos, pr_ = rf.parse_positions(rf.position_documents(spark, sf))
-        upd, ur_ = rf.parse_updates(rf.update_documents(spark, sf))
-        gp, _ = rt.validate(pos, pr_)
-        gu, _ = rt.validate(upd, ur_)
-        trips, cal, hol = tv.realtime_trips(spark, sf), tv.calendar(spark, sf), holidays(spark)
-        gp = ing.keep_active(gp.drop("e"), trips, cal, hol)
-        gu = ing.keep_active(gu.drop("e", "_stu_obj"), trips, cal, hol)
-        lp = rt.last_per_trip(gp.select("tick", "pos", *rt.POSITION_COLUMNS))
-        lu = rt.last_per_trip(gu.select("tick", "pos", "trip_id", *rt.UPDATE_COLUMNS))
-        return rt.merge_feeds(lp, lu)
-    return ing.ingest(rf.position_documents(spark, sf), rf.update_documents(spark, sf),
-                      tv.realtime_trips(spark, sf), tv.calendar(spark, sf), holidays(spark))
+        gp, gu, _, _ = ing.valid_rows(*docs)
+        return ing.merged_rows(gp, gu, trips, cal, hol)
+    return ing.ingest(*docs, trips, cal, hol)
 
 
 LOC_OUT = ["id", "trip_id", "occupancy_status", "bearing", "latitude", "longitude", "speed", "timestamp",

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import FEED_TZ
+from ..session import materialize
 from ..operators import realtime as rt
-from ..operators.quality import split_valid
+from ..operators.quality import split_valid, with_errors
 from ..operators.service import service_days
 from ..sources.realtime_feed import parse_positions, parse_updates
 
@@ -47,16 +48,33 @@ def keep_active(rows: DataFrame, trips: DataFrame, calendar: DataFrame, holidays
         "service_date", "service_id")
 
 
-def ingest(position_docs: DataFrame, update_docs: DataFrame, trips: DataFrame, calendar: DataFrame,
-           holidays: DataFrame | None = None, tz: str = FEED_TZ) -> IngestResult:
+def valid_rows(position_docs: DataFrame, update_docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """S4/S5 + Q5: (valid positions, valid updates, rejected positions, rejected updates).
+
+    Each feed is parsed once: the typed rows and their ``errors`` list are written to
+    the shared checkpoint folder, and the valid / quarantined split is a filter on the
+    stored ``errors`` column. Later steps (active filter, last-wins, merge) read the
+    compact stored rows, and a lost executor recomputes nothing upstream of the cut."""
     pos, prules = parse_positions(position_docs)
-    gp, bp = rt.validate(pos, prules)
     upd, urules = parse_updates(update_docs)
-    gu, bu = rt.validate(upd, urules)
-    gp = keep_active(gp.drop("e"), trips, calendar, holidays, tz)
-    gu = keep_active(gu.drop("e", "_stu_obj"), trips, calendar, holidays, tz)
-    lp = rt.last_per_trip(gp.select("tick", "pos", *rt.POSITION_COLUMNS))
-    lu = rt.last_per_trip(gu.select("tick", "pos", "trip_id", *rt.UPDATE_COLUMNS))
-    merged = rt.merge_feeds(lp, lu)
+    mp = materialize(with_errors(pos, prules).select("tick", "pos", *rt.POSITION_COLUMNS, "errors"), "positions")
+    mu = materialize(with_errors(upd, urules).select("tick", "pos", "trip_id", *rt.UPDATE_COLUMNS, "errors"),
+                     "updates")
+    ok = F.size("errors") == 0
+    return mp.where(ok).drop("errors"), mu.where(ok).drop("errors"), mp.where(~ok), mu.where(~ok)
+
+
+def merged_rows(gp: DataFrame, gu: DataFrame, trips: DataFrame, calendar: DataFrame,
+                holidays: DataFrame | None = None, tz: str = FEED_TZ) -> DataFrame:
+    """J13 + D3 + J10: active trips only, last valid entity per (tick, trip), merged."""
+    lp = rt.last_per_trip(keep_active(gp, trips, calendar, holidays, tz))
+    lu = rt.last_per_trip(keep_active(gu, trips, calendar, holidays, tz))
+    return rt.merge_feeds(lp, lu)
+
+
+def ingest(position_docs: DataFrame, update_docs: DataFrame, trips: DataFrame, calendar: DataFrame,
+           holidays: DataFrame | None = None, tz: str = FEED_TZ) -> IngestResult:
+    gp, gu, bp, bu = valid_rows(position_docs, update_docs)
+    merged = merged_rows(gp, gu, trips, calendar, holidays, tz)
     good, bad = split_valid(merged, rt.merged_rules())
     return IngestResult(rt.first_wins(good), bp, bu, bad)

@@ -24,13 +24,19 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # The feed validation builds dozens of field expressions; inferring constraints over
+    # them grows combinatorially in the optimizer. Null filters on join keys are explicit.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "waka") -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "waka",
+                driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:   # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -44,6 +50,7 @@ def prepare(spark: SparkSession) -> None:
     """Apply the session settings operators rely on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     checkpoint_root(spark)
 
 
@@ -83,3 +90,13 @@ def ensure_local_dir(path: str) -> str:
     p = local_path(path)
     os.makedirs(p, exist_ok=True)
     return p
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` once as parquet under the shared checkpoint folder
+    and reading it back (a reliable ``checkpoint()`` computes its input twice unless it
+    is also cached; a written table computes it once)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

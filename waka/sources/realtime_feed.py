@@ -69,7 +69,10 @@ def _documents(entities: DataFrame) -> DataFrame:
         F.lit('{"status":"OK","response":{"header":{"timestamp":'), F.col("header_ts").cast("string"),
         F.lit(',"gtfs_realtime_version":"1.0"},"entity":['),
         F.array_join(F.transform("ents", lambda x: x["json"]), ","), F.lit(']},"error":null}'))
-    return g.select("tick_no", body.alias("value"))
+    # Documents are few but heavy to parse: spread them over every core (an explicit
+    # partition count, which adaptive coalescing keeps), as landed files would be.
+    n = entities.sparkSession.sparkContext.defaultParallelism * 2
+    return g.select("tick_no", body.alias("value")).repartition(n, "tick_no")
 
 
 def position_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,10 +208,13 @@ def read_fields(df: DataFrame, spec) -> tuple[DataFrame, dict[str, Column]]:
 
 
 def _documents_to_entities(docs: DataFrame) -> DataFrame:
+    """(tick, pos, e) per entity. The outer generator keeps the optimizer from adding a
+    non-empty-array filter below it, which would parse every document a second time;
+    rows without an entity are dropped by the callers' presence checks."""
     j = F.try_parse_json(F.col("value"))
     d = docs.select(F.try_variant_get(j, "$.response.header.timestamp", "long").alias("tick"),
                     F.try_variant_get(j, "$.response.entity", "array<variant>").alias("ents"))
-    return d.select("tick", F.posexplode("ents").alias("pos", "e"))
+    return d.select("tick", F.posexplode_outer("ents").alias("pos", "e"))
 
 
 POSITION_SPEC = [

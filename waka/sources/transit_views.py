@@ -42,10 +42,11 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     The window is partitioned by order key: an order has a handful of lines, so the
     sort per group is small; the five order columns make the sequence deterministic.
     """
-    li = read_table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    li = read_table(spark, sf_dir, "lineitem").withColumn("trip_id", F.col("l_orderkey").cast("string"))
+    # partitioned by the trip id itself, so later per-trip windows reuse this shuffle
+    w = Window.partitionBy("trip_id").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return li.select(
-        F.col("l_orderkey").cast("string").alias("trip_id"),
+        "trip_id",
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("stop_id"),
         F.row_number().over(w).cast("int").alias("stop_sequence"),
     )
