@@ -146,12 +146,6 @@ def update_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def _present(cands) -> Column:
-    """First candidate holding a non-null JSON value (nested path first, then the flat
-    name, as an alias-choice validator does)."""
-    return F.coalesce(*[F.when(~F.is_variant_null(c), c) for c in cands])
-
-
 def _sources(paths, entity: str = "e"):
     """Spec paths -> (column, path) pairs; ``$._stu.x`` reads the chosen stop update."""
     out = []
@@ -160,51 +154,64 @@ def _sources(paths, entity: str = "e"):
     return out
 
 
-def _typed(x: Column, t: Column, s: Column, d: Column, kind: str) -> tuple[Column, Column]:
-    """(value, type_ok) from a field's variant ``x``, its JSON type ``t``, its text ``s``
-    and its double ``d``: ints accept integral numbers and digit strings, floats accept
-    numbers and numeric strings, strings only strings, bools only booleans."""
+def _typed(x: Column, t: Column, kind: str) -> tuple[Column, Column]:
+    """(value, type_ok) from a field's variant ``x`` and its JSON type ``t``: ints accept
+    integral numbers and digit strings, floats accept numbers and numeric strings,
+    strings only strings, bools only booleans. Conversions sit inside the branch of
+    the type that needs them, so a row pays for one conversion per field."""
     is_str = t == "STRING"
     is_int = t.isin(*INT_TYPES)
     is_dec = t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
+
+    def text():
+        return F.trim(F.try_variant_get(x, "$", "string"))
+
     if kind == "int":
-        integral = is_int | (is_dec & (d == F.floor(d)))
-        str_ok = is_str & F.trim(s).rlike(r"^[+-]?[0-9]+$") & F.trim(s).try_cast("long").isNotNull()
-        return F.when(integral, F.try_variant_get(x, "$", "long")).when(str_ok, F.trim(s).try_cast("long")), \
-            integral | str_ok
+        d = F.try_variant_get(x, "$", "double")
+        dec_ok = is_dec & (d == F.floor(d))
+        str_ok = is_str & text().rlike(r"^[+-]?[0-9]+$") & text().try_cast("long").isNotNull()
+        val = (F.when(is_int, F.try_variant_get(x, "$", "long"))
+               .when(dec_ok, F.try_variant_get(x, "$", "long"))
+               .when(str_ok, text().try_cast("long")))
+        return val, is_int | dec_ok | str_ok
     if kind == "float":
-        str_ok = is_str & F.trim(s).try_cast("double").isNotNull()
-        return F.when(is_int | is_dec, d).when(str_ok, F.trim(s).try_cast("double")), is_int | is_dec | str_ok
+        str_ok = is_str & text().try_cast("double").isNotNull()
+        val = F.when(is_int | is_dec, F.try_variant_get(x, "$", "double")).when(is_str, text().try_cast("double"))
+        return val, is_int | is_dec | str_ok
     if kind == "bool":
         ok = t == "BOOLEAN"
         return F.when(ok, F.try_variant_get(x, "$", "boolean")), ok
-    return F.when(is_str, s), is_str
+    return F.when(is_str, F.try_variant_get(x, "$", "string")), is_str
 
 
 def read_fields(df: DataFrame, spec) -> tuple[DataFrame, dict[str, Column]]:
     """Typed columns for every (name, kind, paths, required) of ``spec`` plus one rule
     column ``_<name>_ok`` per field (valid when true; a missing optional field is valid).
 
-    Staged projections: each field's variant is located once, its JSON type / text /
-    double are read once, and the typed value is derived from those columns, so the
-    document is not walked again for every check."""
-    stage1 = {f"__x_{n}": _present([F.try_variant_get(F.col(c), p, "variant") for c, p in _sources(paths)])
-              for n, _, paths, _ in spec}
-    df = df.withColumns(stage1)
-    stage2 = {}
-    for n, _, _, _ in spec:
-        x = F.col(f"__x_{n}")
-        stage2.update({f"__t_{n}": F.schema_of_variant(x), f"__s_{n}": F.try_variant_get(x, "$", "string"),
-                       f"__d_{n}": F.try_variant_get(x, "$", "double")})
-    df = df.withColumns(stage2)
+    Staged projections: each field's first (nested) path is read once; the fallback
+    (flat) names are read only when it is absent; the JSON type is read once; the
+    typed value is derived from those columns."""
+    first = {f"__n_{n}": F.try_variant_get(F.col(c), p, "variant")
+             for n, _, paths, _ in spec for c, p in _sources(paths)[:1]}
+    df = df.withColumns(first)
+    located = {}
+    for n, _, paths, _ in spec:
+        nested = F.col(f"__n_{n}")
+        cands = [F.when(~F.is_variant_null(nested), nested)]
+        for c, p in _sources(paths)[1:]:
+            fb = F.try_variant_get(F.col(c), p, "variant")
+            cands.append(F.when(~F.is_variant_null(fb), fb))
+        located[f"__x_{n}"] = F.coalesce(*cands)
+    df = df.withColumns(located)
+    df = df.withColumns({f"__t_{n}": F.schema_of_variant(F.col(f"__x_{n}")) for n, _, _, _ in spec})
     cols, rules = {}, {}
     for n, kind, _, required in spec:
-        val, ok = _typed(F.col(f"__x_{n}"), F.col(f"__t_{n}"), F.col(f"__s_{n}"), F.col(f"__d_{n}"), kind)
+        val, ok = _typed(F.col(f"__x_{n}"), F.col(f"__t_{n}"), kind)
         cols[n] = val
         cols[f"_{n}_ok"] = F.when(F.col(f"__x_{n}").isNotNull(), ok).otherwise(F.lit(not required))
         rules[n] = F.col(f"_{n}_ok")
     df = df.withColumns(cols)
-    return df.drop(*[f"__{k}_{n}" for n, _, _, _ in spec for k in "xtsd"]), rules
+    return df.drop(*[f"__{k}_{n}" for n, _, _, _ in spec for k in "nxt"]), rules
 
 
 def _documents_to_entities(docs: DataFrame) -> DataFrame:
