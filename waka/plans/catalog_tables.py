@@ -92,8 +92,7 @@ OVERLAP_TS = "2024-01-10"
 @register("K1_insert_ignore", with_views("vehicle_locations") + f"""
 , old as (select id, "timestamp", trip_id, speed from vehicle_locations where ts < timestamp '{SPLIT_TS}'),
 new as (select id, "timestamp", trip_id, speed + 1000 speed from vehicle_locations where ts >= timestamp '{OVERLAP_TS}')
-select * from old union all select * from new where (id, "timestamp") not in (select (id, "timestamp") from old)""".replace(
-    "not in (select (id, \"timestamp\") from old)", "not in (select (id, \"timestamp\") from old)"))
+select * from old union all select * from new where (id, "timestamp") not in (select (id, "timestamp") from old)""")
 def k1(spark, sf):
     loc = tv.vehicle_locations(spark, sf).withColumn("obs_date", F.to_date(F.timestamp_seconds("timestamp")))
     cols = ["id", "timestamp", "trip_id", "speed", "obs_date"]
