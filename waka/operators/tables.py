@@ -67,6 +67,8 @@ def append_new_rows(spark: SparkSession, path: str, batch: DataFrame, keys, part
     b = batch.dropDuplicates(keys)
     if path_exists(spark, path):
         existing = spark.read.parquet(path).select(*keys)
+        if partition_by:   # read only the partitions this batch touches (partition pruning)
+            existing = existing.join(b.select(*partition_by).distinct(), list(partition_by), "left_semi")
         b = b.join(existing, keys, "left_anti")
     staged = scratch_path(spark, "append")
     w = b.write.mode("overwrite")
