@@ -53,13 +53,13 @@ def _doc(entities, ts=1700000000):
     return json.dumps({"response": {"header": {"timestamp": ts}, "entity": entities}})
 
 
-TRIP = {"trip_id": "T1", "start_time": "23:45:00", "start_date": "20260131", "route_id": "R", "direction_id": 0}
+TRIP = {"trip_id": "T1", "start_time": "22:15:00", "start_date": "20260203", "route_id": "R", "direction_id": 0}
 
 
 def _pos(**over):
-    e = {"id": "14325", "vehicle": {"trip": dict(TRIP), "position": {"latitude": -36.8, "longitude": 174.7,
+    e = {"id": "50731", "vehicle": {"trip": dict(TRIP), "position": {"latitude": -36.8, "longitude": 174.7,
                                                                      "bearing": "270", "speed": 0},
-                                    "timestamp": 1769856117, "vehicle": {"id": "14325", "label": "NB"}}}
+                                    "timestamp": 1769900011, "vehicle": {"id": "50731", "label": "NB"}}}
     e.update(over)
     return e
 
@@ -69,9 +69,9 @@ def test_string_numbers_and_start_time(spark):
     df, rules = parse_positions(docs)
     good, bad = rt.validate(df, rules)
     r = good.collect()[0]
-    assert r.id == 14325 and r.bearing == 270.0 and bad.count() == 0
-    # 2026-01-31 23:45 in Auckland (UTC+13) is 10:45 UTC
-    assert good.select(F.unix_seconds("start_time")).first()[0] == 1769856300
+    assert r.id == 50731 and r.bearing == 270.0 and bad.count() == 0
+    # 2026-02-03 22:15 in the feed zone (UTC+13 in summer) is 09:15 UTC
+    assert good.select(F.unix_seconds("start_time")).first()[0] == 1770110100
 
 
 def test_bad_start_time_is_rejected(spark):
@@ -99,7 +99,7 @@ def test_later_invalid_entity_does_not_overwrite(spark):
 
 
 def _upd(stu, label="NB", deleted=None):
-    tu = {"trip": dict(TRIP), "stop_time_update": stu, "vehicle": {"id": "14325"}, "timestamp": 1769856117, "delay": "12"}
+    tu = {"trip": dict(TRIP), "stop_time_update": stu, "vehicle": {"id": "50731"}, "timestamp": 1769900011, "delay": "12"}
     if label is not None:
         tu["vehicle"]["label"] = label
     e = {"id": "x", "trip_update": tu}
