@@ -30,6 +30,15 @@ HEADLINE = [
 ]
 
 
+def _default_memory() -> str:
+    """Local mode runs everything in the driver JVM: give it ~60% of RAM, at most 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(2, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -39,7 +48,7 @@ def main() -> None:
     from waka.session import get_session
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, int(cpus) * 2), app="waka-bench",
-                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", _default_memory()))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
 
     def run(key: str) -> float:
