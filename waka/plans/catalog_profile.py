@@ -349,3 +349,17 @@ def p9(spark, sf):
     t = train(spark, sf)
     chosen = pr.columns_like(t, contains="_lag_") + pr.columns_like(t, prefix="global_", suffix="_avg")
     return t.agg(*[F.count(pr.q(c)).alias(c) for c in chosen])
+
+
+@register("X12_horizontal_mean", sql("""
+select id, "timestamp", round((coalesce(global_speed_avg, 0) + coalesce(daily_speed_avg, 0)
+       + coalesce(monthly_speed_avg, 0) + coalesce(hourly_speed_avg, 0))
+       / nullif((global_speed_avg is not null)::int + (daily_speed_avg is not null)::int
+       + (monthly_speed_avg is not null)::int + (hourly_speed_avg is not null)::int, 0), 9) speed_avg_mean from tr"""))
+def x12(spark, sf):
+    from ..functions.stats import mean_horizontal
+    t = train(spark, sf)
+    m = mean_horizontal(*[f"{p}_speed_avg" for p, _ in fe.AVG_GRAINS])
+    # inputs carry 6 decimals, so the mean of four is exact at 8: rounding at 9 only
+    # removes float noise and never lands on a tie
+    return t.select("id", "timestamp", F.round(m, 9).alias("speed_avg_mean"))

@@ -61,18 +61,20 @@ def _lon() -> Column:
 
 
 def _documents(entities: DataFrame) -> DataFrame:
-    """Group entity JSON strings into one feed document per tick (<= TICK_SIZE each)."""
-    g = entities.groupBy("tick_no").agg(
+    """Group entity JSON strings into one feed document per tick (<= TICK_SIZE each).
+
+    Entities are hash-partitioned by tick once (an explicit partition count, kept by
+    adaptive coalescing, so the heavy document parse later spreads over every core);
+    the grouping then needs no second shuffle."""
+    n = entities.sparkSession.sparkContext.defaultParallelism * 2
+    g = entities.repartition(n, "tick_no").groupBy("tick_no").agg(
         F.max("epoch").alias("header_ts"),
         F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("ents"))
     body = F.concat(
         F.lit('{"status":"OK","response":{"header":{"timestamp":'), F.col("header_ts").cast("string"),
         F.lit(',"gtfs_realtime_version":"1.0"},"entity":['),
         F.array_join(F.transform("ents", lambda x: x["json"]), ","), F.lit(']},"error":null}'))
-    # Documents are few but heavy to parse: spread them over every core (an explicit
-    # partition count, which adaptive coalescing keeps), as landed files would be.
-    n = entities.sparkSession.sparkContext.defaultParallelism * 2
-    return g.select("tick_no", body.alias("value")).repartition(n, "tick_no")
+    return g.select("tick_no", body.alias("value"))
 
 
 def position_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
