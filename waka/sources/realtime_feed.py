@@ -60,14 +60,17 @@ def _lon() -> Column:
     return F.lit(174.7) + (F.col("event_id") % 89) / F.lit(890.0)
 
 
-def _documents(entities: DataFrame) -> DataFrame:
-    """Group entity JSON strings into one feed document per tick (<= TICK_SIZE each).
+def _by_tick(e: DataFrame) -> DataFrame:
+    """Hash-partition events by tick once, with an explicit partition count (kept by
+    adaptive coalescing) so JSON rendering and, later, the document parse spread over
+    every core; the grouping into documents then needs no second shuffle."""
+    n = e.sparkSession.sparkContext.defaultParallelism * 2
+    return e.repartition(n, "tick_no")
+
 
-    Entities are hash-partitioned by tick once (an explicit partition count, kept by
-    adaptive coalescing, so the heavy document parse later spreads over every core);
-    the grouping then needs no second shuffle."""
-    n = entities.sparkSession.sparkContext.defaultParallelism * 2
-    g = entities.repartition(n, "tick_no").groupBy("tick_no").agg(
+def _documents(entities: DataFrame) -> DataFrame:
+    """Group entity JSON strings into one feed document per tick (<= TICK_SIZE each)."""
+    g = entities.groupBy("tick_no").agg(
         F.max("epoch").alias("header_ts"),
         F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("ents"))
     body = F.concat(
@@ -79,7 +82,7 @@ def _documents(entities: DataFrame) -> DataFrame:
 
 def position_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle-position snapshots (tick_no, value) derived from events."""
-    e = _events(spark, sf_dir)
+    e = _by_tick(_events(spark, sf_dir))
     u, k, eid = F.col("user_id"), F.col("k"), F.col("event_id")
     has_trip = eid % 41 != 0
     bad_start = eid % 53 == 0
@@ -111,7 +114,7 @@ def position_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def update_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip-update snapshots (tick_no, value) derived from events; ``stop_time_update``
     is a list of two, an object, an empty list or a list of one, by rule."""
-    e = _events(spark, sf_dir)
+    e = _by_tick(_events(spark, sf_dir))
     u, k, eid = F.col("user_id"), F.col("k"), F.col("event_id")
     bad_start = eid % 53 == 0
     stu = F.struct(
