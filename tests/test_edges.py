@@ -178,3 +178,11 @@ def test_delete_cascade_and_restrict(spark):
 def test_null_rate_threshold_is_strict(spark):
     df = spark.createDataFrame([(None,), (None,), (1,), (2,), (3,)], "x int")
     assert qa.high_null_columns(df, 0.40).count() == 0
+
+
+def test_upsert_is_idempotent(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    new = spark.createDataFrame([("a", 9), ("d", 4)], "k string, v int")
+    once = sorted(tuple(r) for r in tb.upsert(old, new, ["k"]).collect())
+    twice = sorted(tuple(r) for r in tb.upsert(tb.upsert(old, new, ["k"]), new, ["k"]).collect())
+    assert once == twice == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
