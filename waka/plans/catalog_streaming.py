@@ -54,3 +54,27 @@ def t4(spark, sf):
     lf = spark.read.parquet(out)
     return round_doubles(lf, only={c for c in lf.columns if c.endswith("_avg")}).select(
         "id", "timestamp", *fe.lag_column_names())
+
+
+@register("T3_stream_stream_merge", cr.ev_sql("merged", """
+select tick, trip_id, id, "timestamp", stop_id, delay, label from merged
+where vehicle_id is not null and label is not null"""))
+def t3(spark, sf):
+    from ..sources import realtime_feed as rf
+    from ..sources.tables import read_table
+    from ..streaming.merge_stream import end_marker_documents, merge_streams
+    pos_l, upd_l = scratch_path(spark, "positions_landing"), scratch_path(spark, "updates_landing")
+    rf.position_documents(spark, sf).write.partitionBy("tick_no").text(pos_l)
+    rf.update_documents(spark, sf).write.partitionBy("tick_no").text(upd_l)
+    last = read_table(spark, sf, "events").agg(F.max(F.unix_seconds(F.col("ts").cast("timestamp")))).first()[0]
+    # replayed files arrive in no time order: the delay covers the month, the marker is past it
+    pm, um = end_marker_documents(int(last), after_seconds=90 * 86400)
+    spark.createDataFrame([(pm,)], "value string").coalesce(1).write.text(f"{pos_l}/end")
+    spark.createDataFrame([(um,)], "value string").coalesce(1).write.text(f"{upd_l}/end")
+    out, ckpt = scratch_path(spark, "merged_stream"), scratch_path(spark, "ckpt_merge")
+    m = merge_streams(spark, pos_l, upd_l, tv.realtime_trips(spark, sf), tv.calendar(spark, sf), cr.holidays(spark),
+                      delay="60 days")
+    q = (m.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("tick", "trip_id", "id", "timestamp", "stop_id", "delay", "label")

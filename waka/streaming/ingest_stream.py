@@ -7,8 +7,9 @@ T1  the feed fetcher lands one bundle file per snapshot (tick) holding both feed
     replayed batch after a failure writes nothing twice.
 T2  at-most-once per key across ticks: ``dropDuplicatesWithinWatermark`` on
     (id, timestamp) with an event-time watermark.
-T3  the two feeds of a tick are joined inside the micro-batch: a snapshot bundle is
-    one file, and a file is never split across micro-batches.
+T3  here the two feeds of a tick are joined inside the micro-batch (a snapshot bundle is
+    one file, never split across micro-batches); ``merge_stream`` joins two separate
+    feed streams instead.
 """
 
 from __future__ import annotations
