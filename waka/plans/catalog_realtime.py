@@ -154,7 +154,7 @@ def x16(spark, sf):
 
 @register("D3_last_valid_per_trip", ev_sql("lp", """select tick, trip_id, pos, id, "timestamp" from lp"""))
 def d3(spark, sf):
-    gp, _, _, _ = ing.valid_rows(rf.position_documents(spark, sf), rf.update_documents(spark, sf).limit(0))
+    gp, _ = ing.valid_feed(rf.position_documents(spark, sf), rf.parse_positions, ing.POSITION_OUT, "positions")
     act = ing.keep_active(gp, tv.realtime_trips(spark, sf), tv.calendar(spark, sf), holidays(spark))
     return rt.last_per_trip(act).select("tick", "trip_id", "pos", "id", "timestamp")
 

@@ -48,20 +48,28 @@ def keep_active(rows: DataFrame, trips: DataFrame, calendar: DataFrame, holidays
         "service_date", "service_id")
 
 
-def valid_rows(position_docs: DataFrame, update_docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """S4/S5 + Q5: (valid positions, valid updates, rejected positions, rejected updates).
-
-    Each feed is parsed once: the typed rows and their ``errors`` list are written to
-    the shared checkpoint folder, and the valid / quarantined split is a filter on the
-    stored ``errors`` column. Later steps (active filter, last-wins, merge) read the
-    compact stored rows, and a lost executor recomputes nothing upstream of the cut."""
-    pos, prules = parse_positions(position_docs)
-    upd, urules = parse_updates(update_docs)
-    mp = materialize(with_errors(pos, prules).select("tick", "pos", *rt.POSITION_COLUMNS, "errors"), "positions")
-    mu = materialize(with_errors(upd, urules).select("tick", "pos", "trip_id", *rt.UPDATE_COLUMNS, "errors"),
-                     "updates")
+POSITION_OUT = ["tick", "pos", *rt.POSITION_COLUMNS]
+UPDATE_OUT = ["tick", "pos", "trip_id", *rt.UPDATE_COLUMNS]
+
+
+def valid_feed(docs: DataFrame, parse, cols, name: str) -> tuple[DataFrame, DataFrame]:
+    """S4 or S5 + Q5 for one feed: (valid rows, quarantined rows with ``errors``).
+
+    The feed is parsed once: the typed rows and their ``errors`` list are written to the
+    shared checkpoint folder, and the valid / quarantined split is a filter on the stored
+    column. Later steps read the compact stored rows, and a lost executor recomputes
+    nothing upstream of the cut."""
+    parsed, rules = parse(docs)
+    stored = materialize(with_errors(parsed, rules).select(*cols, "errors"), name)
     ok = F.size("errors") == 0
-    return mp.where(ok).drop("errors"), mu.where(ok).drop("errors"), mp.where(~ok), mu.where(~ok)
+    return stored.where(ok).drop("errors"), stored.where(~ok)
+
+
+def valid_rows(position_docs: DataFrame, update_docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(valid positions, valid updates, rejected positions, rejected updates)."""
+    gp, bp = valid_feed(position_docs, parse_positions, POSITION_OUT, "positions")
+    gu, bu = valid_feed(update_docs, parse_updates, UPDATE_OUT, "updates")
+    return gp, gu, bp, bu
 
 
 def merged_rows(gp: DataFrame, gu: DataFrame, trips: DataFrame, calendar: DataFrame,
