@@ -18,7 +18,7 @@ QUICK = [
     "D2_unique_segments", "K6_refresh_counts", "A15_describe", "A20_hexbin_density", "A7_delay_by_hour",
     "A17_corr_matrix", "O6_seeded_sample", "C2_realtime_ingest", "X10_service_days", "J13_active_trips",
     "K2_upsert", "M4_delete_trips", "P3_optional_list_filters", "O2_order_offset_limit",
-    "T4_stream_lag_features", "K3_partitioned_upsert", "S4_position_parse",
+    "T4_stream_lag_features", "K3_partitioned_upsert", "S4_position_parse", "T3_stream_stream_merge",
 ]
 ALL = list(entry.queries())
 KEYS = ALL if os.environ.get("WAKA_FULL_ORACLES") else QUICK
