@@ -42,3 +42,18 @@ def test_hot_groups_match_plain_window(spark, chunk_rows):
     b = want.select(*cols).toPandas().sort_values("id").reset_index(drop=True)
     assert len(a) == n
     pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-12, atol=1e-12)
+
+
+def test_training_set_with_hot_trip_days_matches_oracle(spark, monkeypatch):
+    """The flagship with every trip-day forced through the sliced path still equals SQL."""
+    import __spark_entry__ as entry
+    from tools.oracle_check import compare, duck
+
+    from waka.operators import ordered
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 7)
+    got = entry.queries()["C3_weekly_training_set"](spark, sf).toPandas()
+    want = duck(sf).execute(entry.oracle_sql()["C3_weekly_training_set"]).df()
+    ok, msg = compare(got, want)
+    assert ok, msg

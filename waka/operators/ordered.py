@@ -51,11 +51,12 @@ def _features(w, lags, means, leads, lag_cols, mean_cols, lead_cols) -> tuple[di
 
 def trip_day_neighbours(df: DataFrame, keys, order, cols, lags=(1,), means=(), leads=(),
                         lag_cols=None, mean_cols=None, lead_cols=None, slice_col: str | None = None,
-                        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                        chunk_rows: int | None = None) -> DataFrame:
     lag_cols = cols if lag_cols is None else lag_cols
     mean_cols = cols if mean_cols is None else mean_cols
     lead_cols = cols if lead_cols is None else lead_cols
     keys, order = list(keys), list(order)
+    chunk_rows = chunk_rows or CHUNK_ROWS
     slice_col = slice_col or order[0]
     look_back = max([*lags, *[n - 1 for n in means], 0])
     look_ahead = max([*leads, 0])
