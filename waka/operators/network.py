@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.strings import segment_id
+from .ordered import trip_day_neighbours
 
 STOP_FIELDS = ["stop_id", "stop_code", "stop_lat", "stop_lon", "stop_sequence"]
 TRIP_COLUMNS = ["trip_id", "route_id", "service_id", "direction_id", "shape_id"]
@@ -101,13 +102,20 @@ def key_trips(trip_stops: DataFrame, journeys: DataFrame) -> DataFrame:
     return trip_stops.join(ok, "trip_id", "left_semi")
 
 
+def next_in_trip(rows: DataFrame, cols, names: dict) -> DataFrame:
+    """W1 + X3: each stop row with the next stop's values within its trip (ordered by
+    stop_sequence). Uses the hot-group safe neighbour pass, so a very long trip is cut
+    into slices instead of being sorted in one task."""
+    out = trip_day_neighbours(rows, ["trip_id"], ["stop_sequence"], list(cols), lags=(), means=(), leads=(1,))
+    return out.withColumnsRenamed({f"1_lead_{c}": names[c] for c in cols})
+
+
 def consecutive_pairs(rows: DataFrame, code: str = "stop_code", extra=("stop_id", "stop_lat", "stop_lon")) -> DataFrame:
-    """W1 + X3: each stop row with the next row's values within its trip (by
-    stop_sequence); the last stop of a trip has no successor and is dropped."""
-    w = Window.partitionBy("trip_id").orderBy("stop_sequence")
+    """Each stop row with the next row's values; the last stop of a trip has no
+    successor and is dropped."""
     names = {"stop_code": "end_stop", "stop_id": "end_stop_id", "stop_lat": "end_lat", "stop_lon": "end_lon"}
-    cols = {names.get(c, f"end_{c}"): F.lead(c, 1).over(w) for c in (code, *extra)}
-    out = rows.withColumns(cols)
+    cols = (code, *extra)
+    out = next_in_trip(rows, cols, {c: names.get(c, f"end_{c}") for c in cols})
     return out.where(F.col("end_stop").isNotNull())
 
 
@@ -135,8 +143,8 @@ def unique_segments(key_segs: DataFrame) -> DataFrame:
 def trips_over_segments(trip_codes: DataFrame, segment_ids: DataFrame) -> DataFrame:
     """Phase 3: (trip_id, segment_id) for every trip whose consecutive stops form one of
     the given segments, over all stop_times (W1 -> X6 -> J5 -> D1)."""
-    w = Window.partitionBy("trip_id").orderBy("stop_sequence")
-    nxt = trip_codes.withColumn("end_stop_code", F.lead("stop_code", 1).over(w))
+    nxt = next_in_trip(trip_codes.select("trip_id", "stop_sequence", "stop_code"), ["stop_code"],
+                       {"stop_code": "end_stop_code"})
     segs = nxt.where(F.col("end_stop_code").isNotNull()).select(
         "trip_id", segment_id("stop_code", "end_stop_code").alias("segment_id"))
     return segs.join(segment_ids.select("segment_id").distinct(), "segment_id", "left_semi").select(

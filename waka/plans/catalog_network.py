@@ -198,10 +198,9 @@ def c1_kseg(spark, sf):
 select trip_id, stop_sequence, stop_code, lead(stop_code) over (partition by trip_id order by stop_sequence) end_stop_code
 from tsc"""))
 def w1(spark, sf):
-    from pyspark.sql.window import Window
-    codes = nw.trip_stop_codes(tv.stop_times(spark, sf), tv.stops(spark, sf))
-    w = Window.partitionBy("trip_id").orderBy("stop_sequence")
-    return codes.select("trip_id", "stop_sequence", "stop_code", F.lead("stop_code", 1).over(w).alias("end_stop_code"))
+    codes = nw.trip_stop_codes(tv.stop_times(spark, sf), tv.stops(spark, sf)).select(
+        "trip_id", "stop_sequence", "stop_code")
+    return nw.next_in_trip(codes, ["stop_code"], {"stop_code": "end_stop_code"})
 
 
 @register("X6_segment_ids", net_sql("tsc", """

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,9 @@ class RefreshResult:
 
 
 def build_refresh(feed: FeedTables, journeys: DataFrame) -> RefreshResult:
-    codes = nw.trip_stop_codes(feed.stop_times, feed.stops)                    # phase 1
+    # phase 1; the frame is reused by all three phases (and their hot-trip checks), so
+    # it is persisted once, keeping its partitioning by trip (memory, spilling to disk)
+    codes = nw.trip_stop_codes(feed.stop_times, feed.stops).persist(StorageLevel.MEMORY_AND_DISK)
     cand = nw.candidate_trips(codes, journeys)
     cand_trips = feed.trips.join(cand, "trip_id", "left_semi")                 # phase 2
     cand_codes = codes.join(cand, "trip_id", "left_semi")
