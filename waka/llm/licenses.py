@@ -138,8 +138,8 @@ doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFG
 spot AS (SELECT rid, w, unnest(range(-20, len(w))) AS pos FROM doc),
 near AS (SELECT s.rid, s.pos, t.*, [coalesce(s.pos + j >= 0 AND s.w[s.pos + j + 1] = t.tw[j + 1], false) FOR j IN range(len(t.tw))] AS same
          FROM spot s JOIN tpl t ON s.pos + t.k0 >= 0 AND s.w[s.pos + t.k0 + 1] = t.tw[t.k0 + 1]),
-place AS (SELECT *, len(list_filter(same, x -> x))::DOUBLE / len(tw) AS coverage FROM near
-          WHERE len(list_filter(same[k0 + 1 : k1], x -> x)) = k1 - k0),
+place AS (SELECT *, len(list_filter(same, lambda x: x))::DOUBLE / len(tw) AS coverage FROM near
+          WHERE len(list_filter(same[k0 + 1 : k1], lambda x: x)) = k1 - k0),
 kept AS (SELECT * FROM place WHERE coverage >= {COVERAGE}),
 agg AS (SELECT rid, count(*) FILTER (WHERE base) AS n_base, min(pos) FILTER (WHERE base) AS first_word, max(pos) FILTER (WHERE base) AS last_word,
                string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
