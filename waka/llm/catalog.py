@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from waka.llm import fingerprints, licenses, mixing, sharding, token_count
+from waka.llm import fingerprints, language_id, licenses, mixing, sharding, token_count, toxicity
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
+    language_id.op3_language_id,
     licenses.op4_license_scan,
+    toxicity.op5_toxicity,
     mixing.op7_mixing,
     token_count.op8_token_count,
     fingerprints.op10_fingerprints,
