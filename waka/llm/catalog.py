@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waka.llm import fingerprints, language_id, licenses, mixing, sharding, token_count, toxicity
+from waka.llm import fingerprints, language_id, licenses, mixing, ngram_join, sharding, token_count, toxicity
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
@@ -11,6 +11,7 @@ QUERIES = {f.__name__: f for f in (
     toxicity.op5_toxicity,
     mixing.op7_mixing,
     token_count.op8_token_count,
+    ngram_join.op9_ngram_join,
     fingerprints.op10_fingerprints,
 )}
 ORACLES = {

@@ -130,7 +130,7 @@ class Model:
         return self.kernel(words) @ self.weights + self.bias
 
 
-def hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 60) -> tuple[np.ndarray, float]:
+def hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 0.5, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Linear support vector machine by dual coordinate descent; the bias is a constant feature."""
     x = np.hstack([x, np.ones((len(x), 1))])
     alpha, w, q = np.zeros(len(x)), np.zeros(x.shape[1]), (x * x).sum(1)
