@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from waka.llm import fingerprints, language_id, licenses, mixing, ngram_join, sharding, token_count, toxicity
+from waka.llm import decontamination, fingerprints, language_id, licenses, mixing, ngram_join, secrets, sharding, token_count, toxicity
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
+    decontamination.op2_decontamination,
     language_id.op3_language_id,
     licenses.op4_license_scan,
     toxicity.op5_toxicity,
+    secrets.op6_secret_scan,
     mixing.op7_mixing,
     token_count.op8_token_count,
     ngram_join.op9_ngram_join,
