@@ -18,16 +18,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waka.llm.common import materialize, read
+from waka.llm.common import materialize, read, small
 
 N, PERCENT = 5, 80
 FRAGMENTS = 8
-HOT = 100_000          # n-grams that the global order puts last, at most; any choice gives the same links
-LOCAL_HOT = 3          # a task reports n-grams that so many of its texts hold
-FLUSH = 4_000_000      # n-grams a task holds to count them
+SLOT_BITS = 22         # n-grams are counted in so many slots, by the first bits of their hashes; any order gives the same links
+CHUNKS = 64            # the count table travels in so many pieces
+FLUSH = 2_000_000      # n-grams a task holds to count them
 MINHASHES = 4
 _KIND = np.uint64(7)   # the lowest bits of a posting's token: 0 short prefix, 1 rest of the prefix, 2.. min-hash
 
@@ -61,13 +62,11 @@ def _as_long(x: np.ndarray) -> np.ndarray:
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """kind 0: doc_id, n, key of each row. kind 1: an n-gram (key) and in how many texts of this task it occurs (n), if often."""
-    held, size = [], 0
+    """kind 0: doc_id, n, key of each row. kind 1: a chunk (n) of the task's counts by slot, one byte each."""
+    table, held, size = np.zeros(1 << SLOT_BITS, dtype=np.int64), [], 0
 
-    def often() -> pd.DataFrame:
-        token, n = np.unique(np.concatenate(held), return_counts=True)
-        some = n >= LOCAL_HOT
-        return pd.DataFrame({"kind": 1, "doc_id": None, "n": n[some], "key": _as_long(token[some])})
+    def add() -> None:
+        table[:] += np.bincount((np.concatenate(held) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=1 << SLOT_BITS)
 
     for b in batches:
         sizes, keys = [], []
@@ -78,29 +77,51 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held.append(s)
             size += len(s)
             if size >= FLUSH:
-                yield often()
+                add()
                 held, size = [], 0
-        yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"], "n": sizes, "key": keys})
+        yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"], "n": sizes, "key": keys, "counts": None})
     if held:
-        yield often()
+        add()
+    if table.any():
+        parts = np.minimum(table, 255).astype(np.uint8).reshape(CHUNKS, -1)
+        yield pd.DataFrame({"kind": 1, "doc_id": None, "n": range(CHUNKS), "key": 0, "counts": [p.tobytes() for p in parts]})
 
 
-def _postings(hot: np.ndarray, count: np.ndarray):
-    """token, key: the prefix of each class in the global order, and its min-hashes. hot: sorted n-grams, with their counts."""
+def _add_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    sums: dict[int, np.ndarray] = {}
+    for b in batches:
+        for chunk, counts in zip(b["n"], b["counts"], strict=True):
+            got = np.frombuffer(counts, dtype=np.uint8).astype(np.uint32)
+            sums[chunk] = sums[chunk] + got if chunk in sums else got
+    if sums:
+        yield pd.DataFrame({"n": list(sums), "counts": [v.tobytes() for v in sums.values()]})
+
+
+def _count_table(first: DataFrame) -> np.ndarray:
+    """The tasks' counts summed: 4 bytes for each of 2 ** SLOT_BITS slots, whatever the input."""
+    got = first.where(F.col("kind") == 1).select("n", "counts").repartition("n").mapInPandas(_add_chunks, "n long, counts binary").toPandas()
+    table = np.zeros((CHUNKS, (1 << SLOT_BITS) // CHUNKS), dtype=np.uint32)
+    for chunk, counts in zip(got["n"], got["counts"], strict=True):
+        table[chunk] += np.frombuffer(counts, dtype=np.uint32)
+    return table.ravel()
+
+
+def _postings(counts: Broadcast):
+    """token, key, central: the prefix of each class in the global order, and its min-hashes with how common its n-grams are on the whole."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[int] = set()
+        table = counts.value
         for b in batches:
-            tokens, keys = [], []
+            tokens, keys, central = [], [], []
             for text in b["text"]:
                 s = shingle_set(text)
                 if not s.size or (key := set_key(s)) in done:
                     continue
                 done.add(key)
                 n = len(s)
-                late = _heat(s, hot, count)
-                order = s if not late.any() else s[np.lexsort((s, late))]
-                prefix = order[:n - (PERCENT * n + 99) // 100 + 1] & ~_KIND
+                late = _heat(s, table)
+                prefix = s[np.lexsort((s, late))][:n - (PERCENT * n + 99) // 100 + 1] & ~_KIND
                 # a pair's shorter set needs to show only this much: the overlap is at least 2t / (1 + t) of its size
                 short = n - (2 * PERCENT * n + 99 + PERCENT) // (100 + PERCENT) + 1
                 prefix[short:] |= np.uint64(1)
@@ -108,35 +129,26 @@ def _postings(hot: np.ndarray, count: np.ndarray):
                 row = np.concatenate([prefix, np.array(least, dtype=np.uint64)])
                 tokens.append(row)
                 keys.append(np.full(len(row), key, dtype=np.int64))
+                central.append(np.where((row & _KIND) >= 2, int(1e6 * np.log1p(late).mean()), 0))
             if tokens:
-                yield pd.DataFrame({"token": _as_long(np.concatenate(tokens)), "key": np.concatenate(keys)})
+                yield pd.DataFrame({"token": _as_long(np.concatenate(tokens)), "key": np.concatenate(keys), "central": np.concatenate(central)})
 
     return run
 
 
-def _heat(s: np.ndarray, hot: np.ndarray, count: np.ndarray) -> np.ndarray:
-    if not hot.size:
-        return np.zeros(len(s), dtype=np.int64)
-    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-    return np.where(hot[at] == s, count[at], 0)
-
+def _heat(s: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return table[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
 
-def _pieces(hot: np.ndarray, count: np.ndarray):
-    """key, central, piece, grams: a row for each fragment that the set has n-grams in."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for text in b["text"]:
-                s = shingle_set(text)
-                if not s.size:
-                    continue
-                key, central = set_key(s), int(1e6 * np.log1p(_heat(s, hot, count)).mean())
-                piece = (s >> np.uint64(61)).astype(int)
-                rows += [(key, central, p, _as_long(s[piece == p])) for p in np.unique(piece)]
-            yield pd.DataFrame(rows, columns=["key", "central", "piece", "grams"])
 
-    return run
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """key, piece, grams: a row for each fragment that the set has n-grams in."""
+    for b in batches:
+        rows = []
+        for text in b["text"]:
+            s = shingle_set(text)
+            key, piece = set_key(s), (s >> np.uint64(61)).astype(int)
+            rows += [(key, p, _as_long(s[piece == p])) for p in np.unique(piece)]
+        yield pd.DataFrame(rows, columns=["key", "piece", "grams"])
 
 
 def _overlaps(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -178,34 +190,29 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) for every row of ``docs``.
 
     Two texts link when 100 * shared >= 80 * joint n-grams. Null and empty texts have no n-grams and no links: their component is their own id.
-    Rows with equal sets are one class and link with each other; a null id never names a component that has another. Repeated
+    Rows with equal sets are one class and link with each other; a text that has only null ids links with nothing else and its component is null. Repeated
     rows give repeated results; other columns are dropped; an empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    first = materialize(docs.mapInPandas(_digest, f"kind int, doc_id {kind}, n long, key long"), "join-digests")
-    rows = first.where(F.col("kind") == 0)
-    often = (first.where(F.col("kind") == 1).groupBy("key").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "key").limit(HOT).toPandas())        # at most HOT rows of 16 bytes
-    order = np.argsort(often["key"].to_numpy().astype(np.int64).view(np.uint64))
-    hot = often["key"].to_numpy().astype(np.int64).view(np.uint64)[order]
-    count = often["n"].to_numpy().astype(np.int64)[order]
+    first = materialize(docs.mapInPandas(_digest, f"kind int, doc_id {kind}, n long, key long, counts binary"), "join-digests")
+    rows = first.where(F.col("kind") == 0).select("doc_id", "n", "key")
+    counts = docs.sparkSession.sparkContext.broadcast(_count_table(first))
     classes = materialize(rows.where(F.col("n") > 0).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n")), "join-classes")
 
     # tokens that at least two classes show; a pair needs the short prefix of one of them
-    posts = docs.mapInPandas(_postings(hot, count), "token long, key long")
+    posts = docs.mapInPandas(_postings(counts), "token long, key long, central long")
     posts = posts.withColumn("kind", F.col("token").bitwiseAND(7)).withColumn(
         "token", F.when(F.col("kind") < 2, F.col("token") - F.col("kind")).otherwise(F.col("token")))
     group = Window.partitionBy("token")
     shared = materialize(posts.repartition("token").dropDuplicates(["token", "key"]).withColumns(
         {"m": F.count(F.lit(1)).over(group), "least": F.min("kind").over(group)}).where(
-        (F.col("m") > 1) & (F.col("least") != 1)).select("token", "kind", "key"), "join-shared")
-    wanted = shared.select("key").distinct().join(classes, "key").select(F.col("rep").alias("__rep"), "key")
-    reps = docs.join(wanted.select("__rep").distinct(), F.col("doc_id") == F.col("__rep"), "left_semi")
-    pieces = materialize(reps.mapInPandas(_pieces(hot, count), "key long, central long, piece int, grams array<bigint>")
+        (F.col("m") > 1) & (F.col("least") != 1)).select("token", "kind", "key", "central"), "join-shared")
+    about = materialize(shared.select("key").distinct().join(classes, "key"), "join-about")
+    reps = docs.join(small(about.select(F.col("rep").alias("__rep")).distinct()), F.col("doc_id") == F.col("__rep"), "left_semi")
+    pieces = materialize(reps.select("text").mapInPandas(_pieces, "key long, piece int, grams array<bigint>")
                          .dropDuplicates(["key", "piece"]), "join-pieces")
-    about = materialize(pieces.groupBy("key").agg(F.max("central").alias("central"), F.sum(F.size("grams")).alias("n")), "join-about")
 
     # clusters: classes that link with the most central class of a min-hash group
     heads = shared.where(F.col("kind") >= 2).join(about, "key")
