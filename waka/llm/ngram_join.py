@@ -209,18 +209,27 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     shared = materialize(posts.repartition("token").dropDuplicates(["token", "key"]).withColumns(
         {"m": F.count(F.lit(1)).over(group), "least": F.min("kind").over(group)}).where(
         (F.col("m") > 1) & (F.col("least") != 1)).select("token", "kind", "key", "central"), "join-shared")
-    about = materialize(shared.select("key").distinct().join(classes, "key"), "join-about")
+    # candidates for clusters: classes of near size that share MINHASHES / 2 min-hashes with the most central class of each
+    heads = shared.where(F.col("kind") >= 2).join(classes, "key").select("token", "key", "central", "n")
+    best = heads.groupBy("token").agg(F.max(F.struct("central", "key", "n")).alias("hub"))
+    rays = heads.join(best, "token").where(
+        (F.col("key") != F.col("hub.key")) & (100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n"))).select(
+        F.col("key").alias("a"), F.col("hub.key").alias("b")).groupBy("a", "b").count().where(F.col("count") >= MINHASHES // 2).select("a", "b")
+    rays = materialize(rays, "join-rays")
+    # classes with a class of near size under one of their prefix n-grams
+    by_size = Window.partitionBy("token").orderBy("n")
+    shown = materialize(shared.where(F.col("kind") < 2).join(classes, "key").withColumns(
+        {"under": F.lag("n").over(by_size), "over": F.lead("n").over(by_size)}).where(
+        (100 * F.col("under") >= PERCENT * F.col("n")) | (100 * F.col("n") >= PERCENT * F.col("over"))).select(
+        "token", "kind", "key"), "join-shown")
+    wanted = rays.select(F.explode(F.array("a", "b")).alias("key")).union(shown.select("key")).distinct()
+    about = materialize(wanted.join(classes, "key"), "join-about")
     reps = docs.join(small(about.select(F.col("rep").alias("__rep")).distinct()), F.col("doc_id") == F.col("__rep"), "left_semi")
     pieces = materialize(reps.select("text").mapInPandas(_pieces, "key long, piece int, grams array<bigint>")
                          .dropDuplicates(["key", "piece"]), "join-pieces")
 
-    # clusters: classes that link with the most central class of a min-hash group
-    heads = shared.where(F.col("kind") >= 2).join(about, "key")
-    best = heads.groupBy("token").agg(F.max(F.struct("central", "key", "n")).alias("hub"))
-    rays = heads.join(best, "token").where(
-        (F.col("key") != F.col("hub.key")) & (100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n"))).select(
-        F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct()
-    rays = materialize(_measured(materialize(rays, "join-rays"), pieces, about).where("linked"), "join-linked")
+    # clusters: classes that link with such a hub
+    rays = materialize(_measured(rays, pieces, about).where("linked"), "join-linked")
     outer = rays.select(F.col("a").alias("x")).distinct()
     members = (rays.join(outer, F.col("b") == F.col("x"), "left_anti").groupBy(F.col("a").alias("key"))
                .agg(F.min(F.struct("dist", "b")).alias("m")).select("key", F.col("m.b").alias("hub"), F.col("m.dist").alias("dist")))
@@ -229,7 +238,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     radius = placed.groupBy("hub").agg(F.max("dist").alias("r"))
 
     # candidate pairs of clusters
-    shown = shared.where(F.col("kind") < 2).join(placed, "key").select("token", "kind", "key", "n", "hub")
+    shown = shown.join(placed, "key").select("token", "kind", "key", "n", "hub")
     lo, hi = shown.alias("lo"), shown.alias("hi")
     near = (lo.where(F.col("kind") == 0).join(hi, "token").where(
         (F.col("lo.hub") != F.col("hi.hub")) & (F.struct("lo.n", "lo.key") < F.struct("hi.n", "hi.key"))
