@@ -45,9 +45,10 @@ def has_letter(text: str | None) -> bool:
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """n rows of +1 / -1: every two-way split of up to 5 languages, else random columns (the best of 50 draws by least distance)."""
+    if n < 2:
+        return np.zeros((n, 0), dtype=np.float32)
     if n <= 5:
-        cols = [[1 if i == 0 or m >> (i - 1) & 1 else -1 for i in range(n)] for m in range(2 ** (n - 1) - 1)] if n > 1 else []
-        return np.array(cols, dtype=np.float32).reshape(-1, n).T
+        return np.array([[1 if i == 0 or m >> (i - 1) & 1 else -1 for i in range(n)] for m in range(2 ** (n - 1) - 1)], dtype=np.float32).T
     rng, best, far = np.random.default_rng(seed), None, -1
     bits = int(np.ceil(10 * np.log2(n)))
     for _ in range(50):

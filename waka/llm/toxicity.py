@@ -55,6 +55,8 @@ def tokens(text: str) -> set[str]:
 
 def _grid(words: list[str]) -> np.ndarray:
     """Code points of each word's letters, 0 past its end."""
+    if not words:
+        return np.zeros((0, 1), dtype=np.uint32)
     text = np.array(words, dtype=f"U{LONGEST}")
     return text.view(np.uint32).reshape(len(words), -1)[:, :max(1, max(map(len, words), default=1))]
 
