@@ -186,3 +186,25 @@ def test_upsert_is_idempotent(spark):
     once = sorted(tuple(r) for r in tb.upsert(old, new, ["k"]).collect())
     twice = sorted(tuple(r) for r in tb.upsert(tb.upsert(old, new, ["k"]), new, ["k"]).collect())
     assert once == twice == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
+
+
+def test_broken_documents_are_quarantined(spark):
+    """No JSON, no entity list: one rejected row each; an empty list has nothing to reject."""
+    docs = spark.createDataFrame([("{broken",), ('{"response": {}}',), ('{"response": {"header": {"timestamp": 1}, "entity": []}}',),
+                                  (_doc([_pos()]),)], "value string")
+    for parse, n_good in ((parse_positions, 1), (parse_updates, 0)):
+        good, bad = rt.validate(*parse(docs))
+        assert good.count() == n_good
+        assert [("document" in r.errors) for r in bad.collect()] == [True, True]
+
+
+def test_stream_dedupe_keeps_every_key_in_any_file_order(spark, tmp_path):
+    """Keys of a month, written by four tasks in random order, each twice."""
+    from waka.streaming.ingest_stream import dedupe_stream
+
+    rows = spark.range(3000).select((F.col("id") % 50).alias("id"), (F.lit(1_770_000_000) + F.col("id") * 900).alias("timestamp"))
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    rows.union(rows).orderBy(F.rand(3)).repartition(4).write.parquet(landing)
+    dedupe_stream(spark, landing, rows.schema, out, str(tmp_path / "ckpt"), files_per_trigger=1).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 3000 == got.select("id", "timestamp").distinct().count()

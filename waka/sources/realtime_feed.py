@@ -220,13 +220,14 @@ def read_fields(df: DataFrame, spec) -> tuple[DataFrame, dict[str, Column]]:
 
 
 def _documents_to_entities(docs: DataFrame) -> DataFrame:
-    """(tick, pos, e) per entity. The outer generator keeps the optimizer from adding a
+    """(tick, pos, e) per entity; a document that is no JSON or has no entity list is one row with
+    ``_no_entities`` set, which the rule ``document`` quarantines. The outer generator keeps the optimizer from adding a
     non-empty-array filter below it, which would parse every document a second time;
     rows without an entity are dropped by the callers' presence checks."""
     j = F.try_parse_json(F.col("value"))
     d = docs.select(F.try_variant_get(j, "$.response.header.timestamp", "long").alias("tick"),
                     F.try_variant_get(j, "$.response.entity", "array<variant>").alias("ents"))
-    return d.select("tick", F.posexplode_outer("ents").alias("pos", "e"))
+    return d.select("tick", F.col("ents").isNull().alias("_no_entities"), F.posexplode_outer("ents").alias("pos", "e"))
 
 
 POSITION_SPEC = [
@@ -276,8 +277,9 @@ def parse_positions(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     ents = _documents_to_entities(docs)
     trip = F.try_variant_get("e", "$.vehicle.trip", "variant")
     has_trip = trip.isNotNull() & ~F.is_variant_null(trip) & (F.schema_of_variant(trip) != "OBJECT<>")
-    ents = ents.where(has_trip)
+    ents = ents.where(F.col("_no_entities") | F.coalesce(has_trip, F.lit(False)))
     df, rules = read_fields(ents, POSITION_SPEC)
+    rules["document"] = ~F.col("_no_entities")
     inst, ok = _start_time(F.col("e"), "$.vehicle.trip")
     df = df.withColumns({"start_time": inst, "_start_time_ok": ok})
     rules["start_time"] = F.col("_start_time_ok")
@@ -289,7 +291,8 @@ def parse_updates(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     list contributes nothing, so its stop fields are missing)."""
     ents = _documents_to_entities(docs)
     tu = F.try_variant_get("e", "$.trip_update", "variant")
-    ents = ents.where(tu.isNotNull() & ~F.is_variant_null(tu) & (F.schema_of_variant(tu) != "OBJECT<>"))
+    has_update = tu.isNotNull() & ~F.is_variant_null(tu) & (F.schema_of_variant(tu) != "OBJECT<>")
+    ents = ents.where(F.col("_no_entities") | F.coalesce(has_update, F.lit(False)))
     raw = F.try_variant_get("e", "$.trip_update.stop_time_update", "variant")
     first = F.when(F.schema_of_variant(raw).startswith("ARRAY"),
                    F.try_variant_get("e", "$.trip_update.stop_time_update[0]", "variant")).otherwise(raw)
@@ -297,6 +300,7 @@ def parse_updates(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     ents = ents.withColumn("_stu_obj", first)
     v = F.col("e")
     df, rules = read_fields(ents, UPDATE_SPEC)
+    rules["document"] = ~F.col("_no_entities")
     df = df.withColumn("is_deleted", F.coalesce(F.col("is_deleted"), F.lit(False)))
     inst, ok = _start_time(v, "$.trip_update.trip")
     df = df.withColumns({"start_time": inst, "_start_time_ok": ok})
