@@ -21,8 +21,8 @@ rows each (uniform width over the group's [min, max] of ``slice_col``):
 
 Result = A rows outside the patch set UNION patched B rows: no join, one big
 shuffle (balanced slices, reused by both branches) plus a small one (2M rows per
-slice). The hot-group table has at most rows / ``chunk_rows`` entries, which bounds
-its broadcast. A cheap pre-pass (partial aggregate per group) decides whether any
+slice). The hot-group table grows with the data (rows / ``chunk_rows`` entries), so its
+join is left to the size-checked choice of the optimizer. A cheap pre-pass (partial aggregate per group) decides whether any
 group is hot; when none is, the plan is the single plain window.
 """
 
@@ -72,7 +72,7 @@ def trip_day_neighbours(df: DataFrame, keys, order, cols, lags=(1,), means=(), l
         w = Window.partitionBy(*keys).orderBy(*order)
         back, ahead = _features(w, lags, means, leads, lag_cols, mean_cols, lead_cols)
         return df.withColumns({**back, **ahead})
-    x = df.join(F.broadcast(hot), keys, "left")
+    x = df.join(hot, keys, "left")
     span = F.col("_hi") - F.col("_lo") + F.lit(1)
     x = x.withColumn("_slice", F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
         F.least(F.floor((F.col(slice_col) - F.col("_lo")) * F.col("_n") / span), F.col("_n") - 1)).cast("long"))
