@@ -307,6 +307,33 @@ def test_join_large_near_group_and_chain(spark):
     assert got == want and len(set(want.values())) > 5
 
 
+def test_join_outsiders_link_members(spark, monkeypatch):
+    """Texts too far from the hub of a large group that repeat the edits of some of its members."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+
+    def edited(w, times):
+        w = list(w)
+        for _ in range(times):
+            w[rng.randrange(len(w))] = word()
+        return w
+
+    pool = []
+    for _ in range(3):
+        base = [word() for _ in range(140)]
+        near = [edited(base, 1 + k % 3) for k in range(60)]
+        pool += [base, *near, *[edited(near[k], 1 + k % 3) for k in range(0, 60, 2)], *[edited(base, 4 + k % 3) for k in range(30)]]
+    rng.shuffle(pool)
+    s = {i: frozenset(tuple(w[j:j + 5]) for j in range(len(w) - 4)) for i, w in enumerate(pool)}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(pool)], "doc_id long, text string")
+    found = []
+    member_links = ngram_join._member_links
+    monkeypatch.setattr(ngram_join, "_member_links", lambda *a: found.extend(got := member_links(*a)) or got)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_groups(frame).collect()}
+    assert got == groups(s)
+    assert sum(e.count() for e in found) > 0
+
+
 def test_join_odd_rows(odd, none):
     got = ngram_join.similar_groups(odd).toPandas()
     assert len(got) == 8 and (got[got["n_shingles"] == 0]["component_id"].fillna(-1) == got[got["n_shingles"] == 0]["doc_id"].fillna(-1)).all()

@@ -8,7 +8,7 @@ in as many pieces, each piece of a candidate pair is intersected separately, and
 Large groups of near copies never yield all their pairs. Classes that share a min-hash are compared with the most
 central of them, its hub; those that link with a hub which is itself no other hub's member form its cluster. Candidates are pairs of
 clusters, and since 1 - Jaccard is a metric, a pair of clusters whose hubs are farther apart than the limit plus both
-radii holds no link. Other pairs of clusters are compared member by hub, and member by member only where that leaves a doubt.
+radii holds no link. The members of other pairs of clusters are joined on the few n-grams in which they differ from a hub.
 """
 
 from __future__ import annotations
@@ -237,39 +237,24 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         "key", "n", F.coalesce("hub", "key").alias("hub"), F.coalesce("dist", F.lit(0.0)).alias("dist")), "join-placed")
     radius = placed.groupBy("hub").agg(F.max("dist").alias("r"))
 
-    # candidate pairs of clusters
-    shown = shown.join(placed, "key").select("token", "kind", "key", "n", "hub")
-    lo, hi = shown.alias("lo"), shown.alias("hi")
-    near = (lo.where(F.col("kind") == 0).join(hi, "token").where(
-        (F.col("lo.hub") != F.col("hi.hub")) & (F.struct("lo.n", "lo.key") < F.struct("hi.n", "hi.key"))
-        & (100 * F.col("lo.n") >= PERCENT * F.col("hi.n"))).select(
-        F.least("lo.hub", "hi.hub").alias("a"), F.greatest("lo.hub", "hi.hub").alias("b")).distinct())
+    # candidate pairs of clusters; a cluster shows a token once, with the sizes of the classes behind it
+    short = F.when(F.col("kind") == 0, F.col("n"))
+    shown = shown.join(placed, "key").groupBy("token", "hub").agg(
+        F.min(short).alias("short_lo"), F.max(short).alias("short_hi"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    x, y = shown.where(F.col("short_lo").isNotNull()).alias("x"), shown.alias("y")
+    near = (x.join(y, "token").where(
+        (F.col("x.hub") != F.col("y.hub")) & (F.col("x.short_lo") <= F.col("y.hi"))
+        & (100 * F.col("x.short_hi") >= PERCENT * F.col("y.lo"))).select(
+        F.least("x.hub", "y.hub").alias("a"), F.greatest("x.hub", "y.hub").alias("b")).distinct())
     limit = 1 - PERCENT / 100 + 1e-9
     ra, rb = (radius.select(F.col("hub").alias(c), F.col("r").alias(f"r{c}")) for c in "ab")
     hubs = materialize(_measured(materialize(near, "join-near"), pieces, about).join(ra, "a").join(rb, "b").where(
         F.col("linked") | (F.col("dist") <= limit + F.col("ra") + F.col("rb"))), "join-hubs")
     edges = [rays.select("a", "b"), hubs.where("linked").select("a", "b")]
-    doubt = hubs.where(~F.col("linked") & (F.col("ra") + F.col("rb") > 0)).select("a", "b", "ra", "rb")
+    doubt = hubs.where(~F.col("linked") & (F.col("ra") + F.col("rb") > 0)).select("a", "b")
     if not doubt.isEmpty():
-        label = components(edges[0].union(edges[1]))
-        doubt = materialize(_apart(doubt, label), "join-doubt")
-        mem = placed.select("hub", F.col("key").alias("m"), F.col("dist").alias("d"))
-        # members of either cluster against the other's hub
-        out = (doubt.join(mem, F.col("a") == F.col("hub")).select("m", F.col("b").alias("o"), F.col("d"), F.col("rb").alias("r"), "a", "b")
-               .union(doubt.join(mem, F.col("b") == F.col("hub")).select("m", F.col("a").alias("o"), "d", F.col("ra").alias("r"), "a", "b"))
-               .where(F.col("m") != F.col("o")))
-        far = materialize(_measured(materialize(out.select(F.col("m").alias("a"), F.col("o").alias("b")).distinct(), "join-out"), pieces, about), "join-far")
-        edges.append(far.where("linked").select("a", "b"))
-        reach = out.join(far.select(F.col("a").alias("m"), F.col("b").alias("o"), "dist"), ["m", "o"]).where(
-            F.col("dist") <= limit + F.col("r")).select("a", "b", "m", "o", "d", "dist")
-        label = components(edges[0].union(edges[1]).union(edges[2]))
-        left = _apart(doubt, label).select("a", "b")
-        x = reach.where(F.col("o") == F.col("b")).select("a", "b", F.col("m").alias("x"), F.col("d").alias("xa"), F.col("dist").alias("xb"))
-        y = reach.where(F.col("o") == F.col("a")).select("a", "b", F.col("m").alias("y"), F.col("d").alias("yb"), F.col("dist").alias("ya"))
-        last = left.join(x, ["a", "b"]).join(y, ["a", "b"]).where(
-            (F.abs(F.col("xa") - F.col("ya")) <= limit) & (F.abs(F.col("xb") - F.col("yb")) <= limit)).select(
-            F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        edges.append(materialize(_measured(materialize(last, "join-last"), pieces, about).where("linked"), "join-lastlinks").select("a", "b"))
+        doubt = materialize(_apart(doubt, components(edges[0].union(edges[1]))), "join-doubt")
+        edges += _member_links(doubt, placed, pieces, about)
     links = edges[0]
     for e in edges[1:]:
         links = links.union(e)
@@ -281,6 +266,55 @@ def similar_groups(docs: DataFrame) -> DataFrame:
             .union(rows.where(F.col("n") == 0).select("doc_id", "n", "doc_id")))
 
 
+def _deltas(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+    """ref, key, delta: the n-grams that only one of the two sets has, a row for each fragment with any."""
+    none = F.array().cast("array<bigint>")
+    own = pieces.select("key", "piece", F.col("grams").alias("own"))
+    base = pieces.select(F.col("key").alias("ref"), "piece", F.col("grams").alias("base"))
+    both = (rows.select("ref", "key", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("piece"))
+            .join(own, ["key", "piece"], "left").join(base, ["ref", "piece"], "left")
+            .withColumns({"own": F.coalesce("own", none), "base": F.coalesce("base", none)}))
+    return both.select("ref", "key", F.concat(F.array_except("own", "base"), F.array_except("base", "own")).alias("delta")).where(
+        F.size("delta") > 0)
+
+
+def _member_links(doubt: DataFrame, placed: DataFrame, pieces: DataFrame, sizes: DataFrame) -> list[DataFrame]:
+    """Links (a, b) between the members of pairs of clusters whose hubs don't link, as frames.
+
+    Every class is written as its difference to one hub of the pair, that of the larger cluster; two classes differ by the
+    symmetric difference of their differences. An outsider y that doesn't link with the hub has a large one, so that a member m
+    can link with it only if it shares over (s + (hub's size - m's size) * (100 - PERCENT) / (100 + PERCENT)) / 2 of m's s
+    differing n-grams. Hence y has one of any s - that + 1 of them; those that fewest outsiders have are looked up.
+    """
+    size = placed.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
+    sa, sb = (size.select(F.col("hub").alias(c), F.col("size").alias(f"s{c}")) for c in "ab")
+    first = F.struct("sa", "a") > F.struct("sb", "b")
+    turned = doubt.join(sa, "a").join(sb, "b").select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("ref"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("other"))
+    inside = (turned.select("ref").distinct().join(placed.select(F.col("hub").alias("ref"), "key", "n"), "ref")
+              .where(F.col("key") != F.col("ref")).select("ref", "key", "n", F.lit(False).alias("outer")))
+    outside = turned.join(placed.select(F.col("hub").alias("other"), "key", "n"), "other").select("ref", "key", "n", F.lit(True).alias("outer"))
+    rows = materialize(inside.union(outside), "join-rows")
+    delta = materialize(_deltas(rows, pieces), "join-deltas")
+    hub = placed.where(F.col("key") == F.col("hub")).select(F.col("key").alias("ref"), F.col("n").alias("nh"))
+    known = (rows.join(delta.groupBy("ref", "key").agg(F.sum(F.size("delta")).alias("s")), ["ref", "key"]).join(hub, "ref"))
+    less, more = 100 - PERCENT, 100 + PERCENT
+    linked = more * F.col("s") <= less * (F.col("n") + F.col("nh"))
+    known = materialize(known.select("ref", "key", "outer", "s", (F.col("outer") & linked).alias("linked"), (
+        F.col("s") - F.floor((more * F.col("s") + less * (F.col("nh") - F.col("n"))) / (2 * more))).alias("tries")), "join-known")
+    grams = delta.join(known, ["ref", "key"]).where(~F.col("linked")).select(
+        "ref", "key", "outer", "s", "tries", F.explode("delta").alias("gram"))
+    out = materialize(grams.where("outer").select("ref", F.col("key").alias("b"), "gram"), "join-outside")
+    held = out.groupBy("ref", "gram").agg(F.count(F.lit(1)).alias("held"))
+    own = Window.partitionBy("ref", "key")
+    tried = grams.where(~F.col("outer")).join(held, ["ref", "gram"]).withColumns(
+        {"turn": F.row_number().over(own.orderBy("held", "gram")), "met": F.count(F.lit(1)).over(own)}).where(
+        F.col("turn") <= F.col("tries") - (F.col("s") - F.col("met"))).select("ref", F.col("key").alias("a"), "gram")
+    pairs = materialize(tried.join(out, ["ref", "gram"]).select("a", "b").distinct(), "join-tried")
+    return [known.where("linked").select(F.col("key").alias("a"), F.col("ref").alias("b")),
+            materialize(_measured(pairs, pieces, sizes).where("linked"), "join-found").select("a", "b")]
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs (a, b, ...) that the labels don't place together."""
     ca, cb = (label.select(F.col("v").alias(k), F.col("c").alias(f"c{k}")) for k in "ab")
