@@ -2,7 +2,7 @@
 
 Texts are sets of distinct word 5-grams (64-bit hashes). Equal sets are one class. The global order puts
 n-grams that many texts hold last, the others by hash; a class's first n-grams in that order (its prefix)
-meet those of every class similar enough. The hash range is cut into FRAGMENTS, a class's set is stored
+meet some of every class similar enough. The hash range is cut into FRAGMENTS, a class's set is stored
 in as many pieces, each piece of a candidate pair is intersected separately, and the counts are summed per pair.
 
 Large groups of near copies never yield all their pairs. Classes that share a min-hash are compared with the most
@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waka.llm.common import materialize, read, small
+from waka.llm.common import BROADCAST_ROWS, materialize, read, small
 
 N, PERCENT = 5, 80
 FRAGMENTS = 8
@@ -30,7 +30,7 @@ SLOT_BITS = 22         # n-grams are counted in so many slots, by the first bits
 CHUNKS = 64            # the count table travels in so many pieces
 FLUSH = 2_000_000      # n-grams a task holds to count them
 MINHASHES = 4
-_KIND = np.uint64(7)   # the lowest bits of a posting's token: 0 short prefix, 1 rest of the prefix, 2.. min-hash
+_KIND = np.uint64(7)   # the lowest bits of a posting's token: 0 prefix, 1.. min-hash
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -122,14 +122,11 @@ def _postings(counts: Broadcast):
                 n = len(s)
                 late = _heat(s, table)
                 prefix = s[np.lexsort((s, late))][:n - (PERCENT * n + 99) // 100 + 1] & ~_KIND
-                # a pair's shorter set needs to show only this much: the overlap is at least 2t / (1 + t) of its size
-                short = n - (2 * PERCENT * n + 99 + PERCENT) // (100 + PERCENT) + 1
-                prefix[short:] |= np.uint64(1)
-                least = [_mix(s ^ np.uint64(0x51ED27 * (k + 1))).min() & ~_KIND | np.uint64(2 + k) for k in range(MINHASHES)]
+                least = [_mix(s ^ np.uint64(0x51ED27 * (k + 1))).min() & ~_KIND | np.uint64(1 + k) for k in range(MINHASHES)]
                 row = np.concatenate([prefix, np.array(least, dtype=np.uint64)])
                 tokens.append(row)
                 keys.append(np.full(len(row), key, dtype=np.int64))
-                central.append(np.where((row & _KIND) >= 2, int(1e6 * np.log1p(late).mean()), 0))
+                central.append(np.where((row & _KIND) > 0, int(1e6 * np.log1p(late).mean()), 0))
             if tokens:
                 yield pd.DataFrame({"token": _as_long(np.concatenate(tokens)), "key": np.concatenate(keys), "central": np.concatenate(central)})
 
@@ -151,13 +148,24 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["key", "piece", "grams"])
 
 
+def _stored_pieces(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The stored pieces of the classes' sets."""
+    reps = small(materialize(classes.select(F.col("rep").alias("__rep")).distinct(), "join-reps"))
+    return materialize(docs.join(reps, F.col("doc_id") == F.col("__rep"), "left_semi").select("text").mapInPandas(
+        _pieces, "key long, piece int, grams array<bigint>").dropDuplicates(["key", "piece"]), "join-pieces")
+
+
 def _overlaps(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """a, b, overlap of each pair: partial counts by fragment, summed."""
+    """a, b, overlap of each stored pair: partial counts by fragment, summed. Up to BROADCAST_ROWS pairs go to the pieces,
+    more of them meet the pieces by shuffle."""
     x = pieces.select(F.col("key").alias("a"), "piece", F.col("grams").alias("ga"))
     y = pieces.select(F.col("key").alias("b"), "piece", F.col("grams").alias("gb"))
-    part = pairs.select("a", "b").join(x, "a").join(y, ["b", "piece"]).select(
-        "a", "b", F.size(F.array_intersect("ga", "gb")).alias("part"))
-    return pairs.select("a", "b").join(part.groupBy("a", "b").agg(F.sum("part").alias("overlap")), ["a", "b"], "left").select(
+    pairs = few = pairs.select("a", "b")
+    if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        few = F.broadcast(pairs)
+        y = y.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
+    part = few.join(x, "a").join(y, ["b", "piece"]).select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("part"))
+    return pairs.join(part.groupBy("a", "b").agg(F.sum("part").alias("overlap")), ["a", "b"], "left").select(
         "a", "b", F.coalesce("overlap", F.lit(0)).alias("overlap"))
 
 
@@ -201,16 +209,12 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     classes = materialize(rows.where(F.col("n") > 0).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n")), "join-classes")
 
-    # tokens that at least two classes show; a pair needs the short prefix of one of them
-    posts = docs.mapInPandas(_postings(counts), "token long, key long, central long")
-    posts = posts.withColumn("kind", F.col("token").bitwiseAND(7)).withColumn(
-        "token", F.when(F.col("kind") < 2, F.col("token") - F.col("kind")).otherwise(F.col("token")))
-    group = Window.partitionBy("token")
-    shared = materialize(posts.repartition("token").dropDuplicates(["token", "key"]).withColumns(
-        {"m": F.count(F.lit(1)).over(group), "least": F.min("kind").over(group)}).where(
-        (F.col("m") > 1) & (F.col("least") != 1)).select("token", "kind", "key", "central"), "join-shared")
+    # tokens that at least two classes show
+    posts = docs.mapInPandas(_postings(counts), "token long, key long, central long").withColumn("kind", F.col("token").bitwiseAND(7))
+    shared = materialize(posts.repartition("token").dropDuplicates(["token", "key"]).withColumn(
+        "m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where(F.col("m") > 1).select("token", "kind", "key", "central"), "join-shared")
     # candidates for clusters: classes of near size that share MINHASHES / 2 min-hashes with the most central class of each
-    heads = shared.where(F.col("kind") >= 2).join(classes, "key").select("token", "key", "central", "n")
+    heads = shared.where(F.col("kind") > 0).join(classes, "key").select("token", "key", "central", "n")
     best = heads.groupBy("token").agg(F.max(F.struct("central", "key", "n")).alias("hub"))
     rays = heads.join(best, "token").where(
         (F.col("key") != F.col("hub.key")) & (100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n"))).select(
@@ -218,15 +222,13 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     rays = materialize(rays, "join-rays")
     # classes with a class of near size under one of their prefix n-grams
     by_size = Window.partitionBy("token").orderBy("n")
-    shown = materialize(shared.where(F.col("kind") < 2).join(classes, "key").withColumns(
+    shown = materialize(shared.where(F.col("kind") == 0).join(classes, "key").withColumns(
         {"under": F.lag("n").over(by_size), "over": F.lead("n").over(by_size)}).where(
         (100 * F.col("under") >= PERCENT * F.col("n")) | (100 * F.col("n") >= PERCENT * F.col("over"))).select(
-        "token", "kind", "key"), "join-shown")
-    wanted = rays.select(F.explode(F.array("a", "b")).alias("key")).union(shown.select("key")).distinct()
-    about = materialize(wanted.join(classes, "key"), "join-about")
-    reps = docs.join(small(about.select(F.col("rep").alias("__rep")).distinct()), F.col("doc_id") == F.col("__rep"), "left_semi")
-    pieces = materialize(reps.select("text").mapInPandas(_pieces, "key long, piece int, grams array<bigint>")
-                         .dropDuplicates(["key", "piece"]), "join-pieces")
+        "token", "key"), "join-shown")
+    rayed = rays.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    about = materialize(rayed.union(shown.select("key")).distinct().join(classes, "key"), "join-about")
+    pieces = _stored_pieces(docs, about.join(rayed, "key"))
 
     # clusters: classes that link with such a hub
     rays = materialize(_measured(rays, pieces, about).where("linked"), "join-linked")
@@ -237,18 +239,22 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         "key", "n", F.coalesce("hub", "key").alias("hub"), F.coalesce("dist", F.lit(0.0)).alias("dist")), "join-placed")
     radius = placed.groupBy("hub").agg(F.max("dist").alias("r"))
 
-    # candidate pairs of clusters; a cluster shows a token once, with the sizes of the classes behind it
-    short = F.when(F.col("kind") == 0, F.col("n"))
-    shown = shown.join(placed, "key").groupBy("token", "hub").agg(
-        F.min(short).alias("short_lo"), F.max(short).alias("short_hi"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = shown.where(F.col("short_lo").isNotNull()).alias("x"), shown.alias("y")
-    near = (x.join(y, "token").where(
-        (F.col("x.hub") != F.col("y.hub")) & (F.col("x.short_lo") <= F.col("y.hi"))
-        & (100 * F.col("x.short_hi") >= PERCENT * F.col("y.lo"))).select(
-        F.least("x.hub", "y.hub").alias("a"), F.greatest("x.hub", "y.hub").alias("b")).distinct())
+    # candidate pairs of clusters: the prefixes of similar classes share as many n-grams as the shorter remainders leave of the
+    # overlap. A cluster shows a token once, with the sizes of the classes behind it
+    shown = shown.join(placed, "key").groupBy("token", "hub").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    x, y = (shown.select("token", F.col("hub").alias(c), F.col("lo").alias(f"lo{c}"), F.col("hi").alias(f"hi{c}")) for c in "ab")
+    least = lambda mine, other: PERCENT * (F.col(mine) + F.col(other)) / (100 + PERCENT) - PERCENT * F.col(mine) / 100
+    near = (x.join(y, "token").where((F.col("a") < F.col("b")) & (100 * F.col("hia") >= PERCENT * F.col("lob"))
+                                     & (100 * F.col("hib") >= PERCENT * F.col("loa")))
+            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("tokens"), F.min("loa").alias("loa"), F.max("hia").alias("hia"),
+                                   F.min("lob").alias("lob"), F.max("hib").alias("hib"))
+            .where(F.col("tokens") + 1e-6 >= F.least(least("hia", "lob"), least("hib", "loa"))).select("a", "b"))
+    near = materialize(near, "join-near")
+    more = near.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(rayed, "key", "left_anti")
+    pieces = pieces.union(_stored_pieces(docs, about.join(more, "key")))
     limit = 1 - PERCENT / 100 + 1e-9
     ra, rb = (radius.select(F.col("hub").alias(c), F.col("r").alias(f"r{c}")) for c in "ab")
-    hubs = materialize(_measured(materialize(near, "join-near"), pieces, about).join(ra, "a").join(rb, "b").where(
+    hubs = materialize(_measured(near, pieces, about).join(ra, "a").join(rb, "b").where(
         F.col("linked") | (F.col("dist") <= limit + F.col("ra") + F.col("rb"))), "join-hubs")
     edges = [rays.select("a", "b"), hubs.where("linked").select("a", "b")]
     doubt = hubs.where(~F.col("linked") & (F.col("ra") + F.col("rb") > 0)).select("a", "b")
