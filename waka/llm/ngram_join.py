@@ -240,15 +240,18 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     radius = placed.groupBy("hub").agg(F.max("dist").alias("r"))
 
     # candidate pairs of clusters: the prefixes of similar classes share as many n-grams as the shorter remainders leave of the
-    # overlap. A cluster shows a token once, with the sizes of the classes behind it
-    shown = shown.join(placed, "key").groupBy("token", "hub").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = (shown.select("token", F.col("hub").alias(c), F.col("lo").alias(f"lo{c}"), F.col("hi").alias(f"hi{c}")) for c in "ab")
+    # overlap. A cluster shows a token once, with the sizes of the classes behind it and the most tokens that one of them shows
+    shows = shown.groupBy("key").agg(F.count(F.lit(1)).alias("shows"))
+    shown = shown.join(placed.join(shows, "key"), "key").groupBy("token", "hub").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shows").alias("shows"))
+    x, y = (shown.select("token", F.col("hub").alias(c), *[F.col(k).alias(f"{k}{c}") for k in ("lo", "hi", "shows")]) for c in "ab")
     least = lambda mine, other: PERCENT * (F.col(mine) + F.col(other)) / (100 + PERCENT) - PERCENT * F.col(mine) / 100
+    enough = lambda tokens: tokens + 1e-6 >= F.least(least("hia", "lob"), least("hib", "loa"))
     near = (x.join(y, "token").where((F.col("a") < F.col("b")) & (100 * F.col("hia") >= PERCENT * F.col("lob"))
-                                     & (100 * F.col("hib") >= PERCENT * F.col("loa")))
+                                     & (100 * F.col("hib") >= PERCENT * F.col("loa")) & enough(F.least("showsa", "showsb")))
             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("tokens"), F.min("loa").alias("loa"), F.max("hia").alias("hia"),
                                    F.min("lob").alias("lob"), F.max("hib").alias("hib"))
-            .where(F.col("tokens") + 1e-6 >= F.least(least("hia", "lob"), least("hib", "loa"))).select("a", "b"))
+            .where(enough(F.col("tokens"))).select("a", "b"))
     near = materialize(near, "join-near")
     more = near.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(rayed, "key", "left_anti")
     pieces = pieces.union(_stored_pieces(docs, about.join(more, "key")))
