@@ -1,0 +1,20 @@
+"""What the training-data operators must not leave out."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from waka.llm import toxicity
+from waka.llm.language_id import bucket
+
+
+def test_toxicity_finds_plain_insults(spark):
+    sf = "/root/testdata/sf0.1"
+    lab = spark.read.parquet(f"{sf}/labels.parquet")
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.train(d, lab)
+    held = d.join(lab.select("doc_id", "toxic"), "doc_id").where(bucket(d["doc_id"], 3) == 1)
+    got = toxicity.score_documents(held, model, ["doc_id", "toxic"]).toPandas()
+    toxic = got["toxic"] == 1
+    print("held out:", toxic.sum(), "found", (got["predicted"][toxic] == 1).sum(), "clean rejected", (got["predicted"][~toxic] == 1).sum(), "of", (~toxic).sum())
+    assert (got["predicted"][toxic] == 1).sum() >= 75 and (got["predicted"][~toxic] == 1).sum() <= 12

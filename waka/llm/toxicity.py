@@ -2,13 +2,15 @@
 
 A text is read as its words, with punctuation inside a word dropped and runs of single letters joined. The kernel counts common
 subsequences of SUB letters, each shrunk by DECAY for every letter it spans, so an insult with gaps or
-inserted letters stays close to the insult. Words are mapped by their kernels with the landmarks; the
-machine is trained on words of labelled documents, and a document scores as its most toxic word,
-calibrated on the labelled documents.
+inserted letters stays close to the insult. A text's vector holds, for each landmark, the kernel of its closest word;
+the machine is trained on the vectors of labelled documents with the documents' own labels, so that all its evidence counts together,
+and is calibrated on labelled documents that neither the landmarks nor the machine have seen.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,14 +24,13 @@ from waka.llm.common import materialize, read
 from waka.llm.language_id import bucket
 
 SAMPLE = 4000          # labelled documents of each class that the model is fitted on, at most
-LANDMARKS = 48
+LANDMARKS = 96         # three quarters of them marking words; other words are seen through their kernels with these
 CLOSE = 0.55           # a word whose kernel with a landmark reaches this is no new landmark
-NEGATIVES = 3000       # common words that the machine is trained on, at most
-HARD, MINED = 1500, 2  # words of clean documents added in each round of mining; rounds
+COMMON = 3000          # common words that plain landmarks are chosen from, at most
+HELD = 4               # one in so many labelled documents calibrates and is not fitted on
 SUB, DECAY = 3, 0.6
-SHARE = 0.75            # a landmark counts for a word that shares a subsequence of this share of its letters
 LONGEST = 31           # letters of a piece; longer words are read in overlapping pieces
-CACHED = 300_000       # words whose values a worker keeps
+CACHED = 200_000       # tokens whose vectors a worker keeps
 THRESHOLD = 0.7
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -98,9 +99,9 @@ class Model:
 
     def __post_init__(self) -> None:
         letters = {c: i + 1 for i, c in enumerate(sorted({c for w in self.landmarks for c in w}))}
-        self.number = np.zeros(1 << 16, dtype=np.int32)      # of a letter by code point, the last for all beyond
+        self.number = np.zeros(0x110000, dtype=np.int32)     # of a letter by code point
         for c, i in letters.items():
-            self.number[min(ord(c), (1 << 16) - 1)] = i
+            self.number[ord(c)] = i
         self.sizes = np.array([len(w) for w in self.landmarks], dtype=np.int64)
         self.masks = np.zeros((len(letters) + 1, len(self.landmarks)), dtype=np.uint32)
         for k, w in enumerate(self.landmarks):
@@ -108,28 +109,69 @@ class Model:
                 self.masks[letters[c], k] |= np.uint32(1 << j)
         self.grid = _grid(self.landmarks)
         self.norm = np.sqrt(raw_kernel(self.grid, self.grid))
+        self.base = len(letters) + 1
+        parts: dict[int, np.ndarray] = {}                    # of a subsequence (a number to the base): its weight in each landmark
+        for k, row in enumerate(self.number[self.grid].astype(np.int64)):
+            row = row[:self.sizes[k]]
+            at, weight = _triples(len(row))
+            for code, v in zip(self._code(row[None, :], at)[0].tolist(), weight.tolist(), strict=True):
+                parts.setdefault(code, np.zeros(len(self.landmarks)))[k] += v
+        self.codes = np.array(sorted(parts), dtype=np.int64)
+        self.table = np.array([parts[c] for c in sorted(parts)]).reshape(len(parts), len(self.landmarks))
+
+    def _code(self, letters: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (letters[:, at[0]] * self.base + letters[:, at[1]]) * self.base + letters[:, at[2]]
 
     def kernel(self, words: list[str]) -> np.ndarray:
-        """Normalised kernel of words with landmarks, squared (again a kernel); 0 where too little is shared."""
+        """Normalised kernel of words with landmarks, squared (again a kernel).
+
+        The sum over common subsequences is taken subsequence by subsequence: of a word's, those that some landmark holds.
+        """
         out = np.zeros((len(words), len(self.landmarks)))
-        if not words or not self.landmarks:
+        if not words or not len(self.codes):
             return out
-        least = np.maximum(SUB, np.ceil(SHARE * self.sizes)).astype(np.int64)
-        order = np.argsort([len(w) for w in words], kind="stable")      # words of like length share a grid
-        for at in range(0, len(words), 8_000):
-            rows = order[at:at + 8_000]
-            grid = _grid([words[i] for i in rows])
-            w, k = np.nonzero(common_length(self.number[np.minimum(grid, (1 << 16) - 1)], self.masks, self.sizes) >= least)
-            if not w.size:
+        size = np.array([len(w) for w in words])
+        place = None
+        if self.base ** SUB <= 1 << 23:
+            place = np.full(self.base ** SUB, -1, dtype=np.int32)
+            place[self.codes] = np.arange(len(self.codes))
+        for n in np.unique(size):
+            if n < SUB:
                 continue
-            used, back = np.unique(w, return_inverse=True)
-            own = np.sqrt(raw_kernel(grid[used], grid[used]))[back]
-            got = np.concatenate([raw_kernel(grid[w[i:i + 4_000]], self.grid[k[i:i + 4_000]]) for i in range(0, len(w), 4_000)])
-            out[rows[w], k] = (got / (own * self.norm[k])) ** 2
+            at, weight = _triples(int(n))
+            chosen, step = np.flatnonzero(size == n), max(1, 1_000_000 // max(len(weight), len(self.codes)))
+            for rows in (chosen[i:i + step] for i in range(0, len(chosen), step)):
+                grid = _grid([words[i] for i in rows])
+                letters = self.number[grid].astype(np.int32 if place is not None else np.int64)
+                some = np.flatnonzero((letters > 0).sum(1) >= SUB)
+                code = self._code(letters[some], at)
+                if place is not None:
+                    found = place[code]
+                else:
+                    found = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+                    found[self.codes[found] != code] = -1
+                w, t = np.nonzero(found >= 0)
+                if not w.size:
+                    continue
+                held = np.bincount(w * len(self.codes) + found[w, t], weight[t], len(some) * len(self.codes)).reshape(len(some), -1)
+                own = np.sqrt(raw_kernel(grid[some], grid[some]))
+                out[rows[some]] = (held @ self.table / (own[:, None] * self.norm)) ** 2
         return out
 
-    def values(self, words: list[str]) -> np.ndarray:
-        return self.kernel(words) @ self.weights + self.bias
+    def shades(self, words: list[str]) -> np.ndarray:
+        """The kernel in steps of 1/255, as it is stored for each word."""
+        return np.rint(255 * np.minimum(self.kernel(words), 1)).astype(np.uint8)
+
+    def values(self, vectors: np.ndarray) -> np.ndarray:
+        """Of texts' vectors, in steps of 1/255."""
+        return vectors @ (self.weights / 255) + self.bias
+
+
+@functools.cache
+def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (SUB rows) and weights of all subsequences of SUB of n letters."""
+    at = np.array(list(itertools.combinations(range(n), SUB)), dtype=np.int64).reshape(-1, SUB).T
+    return at, DECAY ** (at[-1] - at[0] + 1)
 
 
 def hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 0.5, rounds: int = 40) -> tuple[np.ndarray, float]:
@@ -163,41 +205,43 @@ def calibrate(value: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
     return max(float(a), 1e-3), float(b)
 
 
-def pick_landmarks(stats: pd.DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], dict[str, int]]:
-    """From unit, toxic, clean (documents of the sample that hold it): landmarks, and all words that mark toxic documents.
-    Landmarks are the marking words that aren't close to one before, then common clean words."""
+def pick_landmarks(stats: pd.DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """From unit, toxic, clean (documents of the sample that hold it): landmarks.
+    These are words that mark toxic documents and aren't close to one before, then common clean words."""
     t, c = (stats["toxic"] + 0.1) / max(n_toxic, 1), (stats["clean"] + 0.1) / max(n_clean, 1)
     marking = (stats["toxic"] >= (3 if n_toxic >= 200 else 2)) & (t / (t + c) >= 0.95)
     own = stats[marking].sort_values(["toxic", "unit"], ascending=[False, True])["unit"].tolist()
     plain = stats[t / (t + c) <= 0.6].sort_values(["clean", "unit"], ascending=[False, True])["unit"].tolist()
     picked: list[str] = []
-    for w in own:
+    for at in range(0, len(own), LANDMARKS):       # kernels among a few candidates at a time
+        few = own[at:at + LANDMARKS]
+        near, among = Model(picked, np.zeros(len(picked)), 0.0, 1.0, 0.0).kernel(few), Model(few, np.zeros(len(few)), 0.0, 1.0, 0.0).kernel(few)
+        new: list[int] = []
+        for i, w in enumerate(few):
+            if len(picked) < LANDMARKS * 3 // 4 and near[i].max(initial=0) < CLOSE and among[i, new].max(initial=0) < CLOSE:
+                new.append(i)
+                picked.append(w)
         if len(picked) == LANDMARKS * 3 // 4:
             break
-        if not picked or Model(picked, np.zeros(len(picked)), 0.0, 1.0, 0.0).kernel([w]).max() < CLOSE:
-            picked.append(w)
-    return picked + plain[:LANDMARKS // 4], dict(zip(own, stats.set_index("unit")["toxic"].reindex(own).tolist(), strict=True))
+    return picked + plain[:LANDMARKS // 4]
 
 
-def fit_words(picked: list[str], own: dict[str, int], other: list[str]) -> Model:
-    """The machine that tells marking words (with the toxic documents that hold them) from other words; either side weighs the same,
-    and a marking word weighs as its documents."""
+def fit(picked: list[str], vectors: np.ndarray, toxic: np.ndarray) -> Model:
+    """The machine that tells the vectors of toxic documents from those of clean ones; either side weighs the same."""
     model = Model(picked, np.zeros(len(picked)), -1.0, 1.0, 0.0)
-    if not own or not other:
+    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
+    if not n1 or not n0 or not picked:
         return model
     gram = model.kernel(picked)
     val, vec = np.linalg.eigh((gram + gram.T) / 2)
     keep = val > 0.02
     root = vec[:, keep] / np.sqrt(val[keep])          # Nystroem: k -> k K^(-1/2)
-    x = model.kernel([*own, *other])
-    y = np.array([1.0] * len(own) + [-1.0] * len(other))
-    held = np.array([*own.values(), *[1] * len(other)], dtype=float)
-    w, b = hinge(x @ root, y, np.where(y > 0, held * (len(other) / sum(own.values())), 1.0))
+    w, b = hinge(vectors / 255 @ root, np.where(toxic == 1, 1.0, -1.0), np.where(toxic == 1, max(1, n0 / n1), max(1, n1 / n0)))
     return Model(picked, root @ w, b, 1.0, 0.0)
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic and the class's weight of at most SAMPLE labelled documents of each class, those with the least hash of their id.
+    """text, toxic, the class's weight and held (kept for the calibration) of at most SAMPLE labelled documents of each class, those with the least hash of their id.
     A repeated id counts as toxic if any of its labels is."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.max("toxic").alias("toxic")).where(bucket(F.col("doc_id"), 3) != 1))
@@ -206,11 +250,12 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
              .withColumn("weight", F.lit(n.get(t, 0) / max(1, min(n.get(t, 0), SAMPLE)))) for t in (0, 1)]
     ids = parts[0].union(parts[1]).withColumnRenamed("doc_id", "__id")      # at most 2 * SAMPLE rows
     return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select(
-        F.coalesce("text", F.lit("")).alias("text"), "toxic", "weight")
+        F.coalesce("text", F.lit("")).alias("text"), "toxic", "weight", (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(HELD)) == 0).alias("held"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """The words of the sample are counted by Spark; the driver gets the NEGATIVES commonest and the LANDMARKS * 40 that most mark toxic documents."""
+    """The words of the sample are counted by Spark; the driver gets the COMMON commonest and the LANDMARKS * 40 that most mark toxic
+    documents, and a vector of LANDMARKS bytes for each document of the sample."""
     some = materialize(sample(docs, labels), "toxic-sample")
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,77 +264,81 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                     for u in {u for token in tokens(text) for u in units(token)}]
             yield pd.DataFrame(rows, columns=["unit", "toxic"])
 
-    size = {r["toxic"]: r["count"] for r in some.groupBy("toxic").count().collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
-    count = materialize(some.select("text", "toxic").mapInPandas(listed, "unit string, toxic int").groupBy("unit").agg(
+    size = {(r["toxic"], r["held"]): r["count"] for r in some.groupBy("toxic", "held").count().collect()}
+    apart = all(size.get((t, h), 0) >= (1 if h else 2) for t in (0, 1) for h in (False, True))   # else there are too few to hold any back
+    known = some.where(~F.col("held")) if apart else some
+    n1, n0 = (size.get((t, False), 0) + (0 if apart else size.get((t, True), 0)) for t in (1, 0))
+    count = materialize(known.select("text", "toxic").mapInPandas(listed, "unit string, toxic int").groupBy("unit").agg(
         F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"),
         F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("clean")), "toxic-words")
     lift = F.col("toxic") / max(n1, 1) - F.col("clean") / max(n0, 1)
     stats = (count.orderBy(F.desc(lift), "unit").limit(LANDMARKS * 40)
-             .union(count.orderBy(F.desc("clean"), "unit").limit(NEGATIVES)).distinct().toPandas())
-    picked, own = pick_landmarks(stats, n1, n0)
-    other = stats[stats["clean"] > stats["toxic"]]["unit"].tolist()
-    model = fit_words(picked, own, other)
-    for _ in range(MINED if own else 0):      # the clean documents' words that the machine finds most toxic join the others
-        clean = count.where(F.col("clean") > 0).select("unit").mapInPandas(_judge(model), "unit string, value double")
-        hard = clean.orderBy(F.desc("value"), "unit").limit(HARD).toPandas()["unit"].tolist()
-        other = sorted({*other, *hard} - {*own})
-        model = fit_words(picked, own, other)
-    seen = some.select("text", "toxic", "weight").mapInPandas(_scorer(model, ["toxic", "weight"]), "toxic int, weight double, value double").toPandas()
+             .union(count.orderBy(F.desc("clean"), "unit").limit(COMMON)).distinct().toPandas())
+    picked = pick_landmarks(stats, n1, n0)
+    blank = Model(picked, np.zeros(len(picked)), -1.0, 1.0, 0.0)
+    seen = some.select("text", "toxic", "weight", "held").mapInPandas(
+        _scorer(blank, ["toxic", "weight", "held"], vectors=True), "toxic int, weight double, held boolean, vector binary").toPandas()
+    seen = seen.sort_values(["toxic", "held", "weight", "vector"])      # one order, however the rows were dealt
+    vectors = np.frombuffer(b"".join(seen["vector"]), dtype=np.uint8).reshape(len(seen), len(picked))
+    toxic, held = (seen["toxic"] == 1).to_numpy(float), seen["held"].to_numpy(bool)
+    used = ~held if apart else np.full(len(seen), True)
+    model = fit(picked, vectors[used], toxic[used])
     if n1 and n0:
-        model.slope, model.offset = calibrate(seen["value"].to_numpy(), (seen["toxic"] == 1).to_numpy(float), seen["weight"].to_numpy())
+        rest = held if apart else used
+        model.slope, model.offset = calibrate(model.values(vectors[rest]), toxic[rest], seen["weight"].to_numpy()[rest])
     return model
 
 
-def _judge(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"unit": b["unit"], "value": model.values(b["unit"].tolist())})
-
-    return run
+_KEPT: dict[str, int] = {}      # the place of a token's vector in _ROWS
+_ROWS: list[np.ndarray] = []
+_KEPT_FOR: list[list[str]] = []
 
 
-_KEPT: dict[str, float] = {}
-_KEPT_FOR: list[bytes] = []
+def _token_vectors(model: Model, fresh: list[str]) -> np.ndarray:
+    """For each token and landmark, the kernel of the closest of the token's units, in steps of 1/255."""
+    parts = [units(t) for t in fresh]
+    words = sorted({u for p in parts for u in p})
+    shade = np.vstack([model.shades(words), np.zeros((1, len(model.landmarks)), dtype=np.uint8)])
+    number = {u: i for i, u in enumerate(words)}
+    flat = [i for p in parts for i in ([number[u] for u in p] or [len(words)])]
+    first = np.cumsum([0] + [max(1, len(p)) for p in parts])[:-1]
+    return np.maximum.reduceat(shade[flat], first, axis=0) if parts else shade[:0]
 
 
-def _scorer(model: Model, columns: list[str]):
-    """Adds a text's value, that of its most toxic word. A worker keeps the values of CACHED tokens of one model."""
-    name = repr((model.landmarks, model.weights.tolist(), model.bias)).encode()
+def _scorer(model: Model, columns: list[str], vectors: bool = False):
+    """Adds a text's value or, for the fit, its vector. A worker keeps the vectors of CACHED tokens for one list of landmarks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from waka.llm import toxicity as here      # the worker's own module, which outlives a task
 
-        kept = here._KEPT
-        if here._KEPT_FOR != [name]:
+        kept, k = here._KEPT, len(model.landmarks)
+        if here._KEPT_FOR != [model.landmarks]:
             kept.clear()
-            here._KEPT_FOR[:] = [name]
-        least = model.bias      # of a word that shares nothing with a landmark
+            here._KEPT_FOR[:] = [model.landmarks]
+            here._ROWS[:] = [np.zeros((0, k), dtype=np.uint8)]
         for b in batches:
-            out = np.full(len(b), least)
+            out = np.zeros((len(b), k), dtype=np.uint8)
             texts = b["text"].tolist()
             at = 0
             while at < len(texts):
-                split, new, end, n = [], set(), at, 0
-                while end < len(texts) and n < 4_000_000:
-                    split.append(tokens(texts[end]) if texts[end] else set())
-                    new.update(t for t in split[-1] if t not in kept)
+                split, end, n = [], at, 0
+                while end < len(texts) and n < 2_000_000:
+                    split.append(list(tokens(texts[end])) if texts[end] else [])
                     n += len(texts[end] or "")
                     end += 1
+                new = {t for s in split for t in s if t not in kept}
+                if len(kept) + len(new) > CACHED:
+                    kept.clear()
+                    here._ROWS[:] = [np.zeros((0, k), dtype=np.uint8)]
+                    new = {t for s in split for t in s}
                 fresh = sorted(new)
-                parts = [units(t) for t in fresh]
-                words = sorted({u for p in parts for u in p})
-                value = dict(zip(words, model.values(words).tolist(), strict=True))
-                now = {t: max((value[u] for u in p), default=least) for t, p in zip(fresh, parts, strict=True)}
+                kept.update(zip(fresh, range(len(kept), len(kept) + len(fresh)), strict=True))
+                here._ROWS[:] = [rows := np.vstack([here._ROWS[0], _token_vectors(model, fresh)])]
                 for i, s in enumerate(split, at):
                     if s:
-                        out[i] = max(now[t] if t in now else kept[t] for t in s)
-                if len(kept) + len(now) > CACHED:
-                    kept.clear()
-                if len(now) <= CACHED:
-                    kept.update(now)
+                        out[i] = rows[[kept[t] for t in s]].max(0)
                 at = end
-            yield pd.DataFrame({c: b[c] for c in columns} | {"value": out})
+            yield pd.DataFrame({c: b[c] for c in columns} | ({"vector": [v.tobytes() for v in out]} if vectors else {"value": model.values(out)}))
 
     return run
 
