@@ -18,3 +18,20 @@ def test_toxicity_finds_plain_insults(spark):
     toxic = got["toxic"] == 1
     print("held out:", toxic.sum(), "found", (got["predicted"][toxic] == 1).sum(), "clean rejected", (got["predicted"][~toxic] == 1).sum(), "of", (~toxic).sum())
     assert (got["predicted"][toxic] == 1).sum() >= 75 and (got["predicted"][~toxic] == 1).sum() <= 12
+
+
+def test_word_far_from_landmarks_has_a_vector():
+    m = toxicity.Model(["worthless", "the"], np.zeros(2), 0.0, 1.0, 0.0)
+    far = m.kernel(["worldly"])[0, 0]      # shares w-o-r and the like, less than 75% of the landmark
+    w, l = (toxicity._grid([x]) for x in ("worldly", "worthless"))
+    want = toxicity.raw_kernel(w, l)[0] ** 2 / (toxicity.raw_kernel(w, w)[0] * toxicity.raw_kernel(l, l)[0])
+    assert far > 0 and abs(far - want) < 1e-9
+
+
+def test_toxic_by_ordinary_words(spark):
+    """Neither word marks a toxic document by itself; the two together do."""
+    rows = [(i, ("the ing" if i % 4 == 0 else "the bol" if i % 4 == 1 else "ing kel" if i % 4 == 2 else "kel bol") + " mm nn", int(i % 4 == 0)) for i in range(800)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(d.select("doc_id", "text"), d.select("doc_id", "toxic"))
+    got = toxicity.score_documents(d, model, ["toxic"]).toPandas()
+    assert (got["predicted"] == got["toxic"]).all()
