@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-from waka.llm import toxicity
+from waka.llm import secrets, toxicity
 from waka.llm.language_id import bucket
 
 
@@ -35,3 +37,22 @@ def test_toxic_by_ordinary_words(spark):
     model = toxicity.train(d.select("doc_id", "text"), d.select("doc_id", "toxic"))
     got = toxicity.score_documents(d, model, ["toxic"]).toPandas()
     assert (got["predicted"] == got["toxic"]).all()
+
+
+def test_rare_secret_is_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 40)
+    plain = [(i, f"lorem build {hashlib.md5(str(i).encode()).hexdigest()} ipsum", "src") for i in range(3000)]
+    keys = [(9000 + i, "lorem AKIA" + hashlib.md5(str(-i).encode()).hexdigest()[:16].upper() + " ipsum", "src") for i in range(3)]
+    got = secrets.scan(spark.createDataFrame(plain + keys, "doc_id long, text string, source string")).toPandas()
+    assert len(got) == 3003 and set(got["doc_id"][got["secret"]]) == {9000, 9001, 9002}
+
+
+def test_any_assigned_value_is_a_candidate(spark):
+    text = "db password=hunter2, then\npwd: \"P@ssw0rd!2024\" and api_key = 'correct horse' token = \"0a1b2c3d4e5f60718293\" author: Smith {\"secret\":\"a#1\",\"pwd\":\"b$2\"}"
+    got = secrets.candidates(spark.createDataFrame([(1, text, "s"), (2, "plain prose", "s"), (3, None, "s")], "doc_id long, text string, source string")).toPandas()
+    assert sorted(got["finding"]) == sorted(["password=hunter2", "hunter2", "P@ssw0rd!2024", "correct horse", "0a1b2c3d4e5f60718293", "a#1", "b$2"])
+    at = dict(zip(got["finding"], got["at_word"]))
+    assert (at["hunter2"], at["P@ssw0rd!2024"], at["correct horse"]) == (1, 4, 8) and got["place"][got["finding"] == "b$2"].item() == -2
+    many = [(i, f"lorem password = \"x{i}!y\" ipsum count = {10 ** 13 + i}", "s") for i in range(40)]
+    judged = secrets.scan(spark.createDataFrame(many, "doc_id long, text string, source string")).toPandas()
+    assert len(judged) == 80 and (judged["secret"] == judged["finding"].str.startswith("x")).all()

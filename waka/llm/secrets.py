@@ -1,6 +1,7 @@
 """Secret scans (6): a random forest that tells secrets from other opaque strings.
 
-Candidates are runs of at least LEAST key characters with a digit in them. A forest on their length, character
+Candidates are runs of at least LEAST key characters with a digit in them, and all values assigned to a credential's name, whatever
+their length and characters. A forest on their length, character
 classes and transitions, dictionary coverage, path (the document's source) and neighbouring words is trained on labelled findings.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from waka.llm.common import WORD, let, materialize, read, words
 
 LEAST = 12             # characters
-SAMPLE = 20_000        # labelled findings the forest is trained on, at most: those with the least hash
+SAMPLE = 20_000        # labelled findings of each class that the forest is trained on, at most: those with the least hash
 DICTIONARY = 2_000     # commonest words of three letters or more
 TREES, DEPTH = 24, 7
 THRESHOLD = 0.5
@@ -23,10 +24,40 @@ _RUN = rf"([A-Za-z0-9_+/=\-]{{{LEAST},}})"
 # Words that announce a credential, and the shapes that label findings.
 CUES = "secret|token|passw|pwd|api_?key|apikey|access|auth|bearer|credential"
 SHAPES = [r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36}$", r"^sk_(live|test)_[A-Za-z0-9]{16,}$", r"^xox[abp]-[A-Za-z0-9-]{10,}$"]
+# A credential's name with what stands between it and its value, then the value: quoted, or up to the next white space or quote.
+ASSIGNED = (rf"((?i:{CUES.replace('auth', 'auth(?!ors?(?![a-z]))')})\w*[\"'\])]*[ \t]*(?:=>|:=|==?|:)[ \t]*)"
+            r"(\"[^\"\r\n]+\"|'[^'\r\n]+'|[^\s\"']+)")
+_MARK = "\uE000"        # stands before such a value while its word is counted
+
+
+def assigned(docs: DataFrame) -> DataFrame:
+    """As candidates: the values assigned to a credential's name, but those that are a run of key characters and found as such."""
+    text = F.translate(F.coalesce("text", F.lit("")), _MARK, "")
+    some = docs.where(F.col("text").rlike(ASSIGNED)).select(
+        "doc_id", "source", F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(1)).alias("names"),
+        F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(2)).alias("values"),
+        words(F.regexp_replace(text, F.lit(ASSIGNED), F.lit(f"$1{_MARK}$2")), WORD).alias("w"))
+    # the words that hold a mark, once for each: the n-th mark is that of the n-th value
+    at = F.flatten(F.transform("w", lambda x, i: F.transform(
+        F.filter(F.split(x, ""), lambda c: c == _MARK), lambda _, k: F.struct(i.cast("long").alias("at"), k.alias("k"), F.get("w", i + 1).alias("n1")))))
+    marked = F.filter("w", lambda x: x.contains(_MARK))
+    rows = some.where(F.size(marked) > 0).select("doc_id", "source", F.explode(F.arrays_zip("names", "values", at.alias("at"))).alias("h"))
+    bare = F.regexp_replace("h.values", r"^[\"']|[\"',;]+$", "")
+    rows = rows.select("doc_id", "source", F.col("h.at.at").alias("at_word"), (-1 - F.col("h.at.k")).alias("place"), bare.alias("finding"),
+                       F.concat("h.names", F.regexp_extract("h.values", r"^([\"']?)", 1)).alias("left"), F.coalesce("h.at.n1", F.lit("")).alias("right"))
+    run = F.col("finding").rlike(r"^[A-Za-z0-9_+/\-]+=*$") & (F.length("finding") >= LEAST) & F.col("finding").rlike("[0-9]")
+    return rows.where((F.col("finding") != "") & ~run)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, source, at_word, place, finding, left and right context: one row for each candidate of each text."""
+    """doc_id, source, at_word, place, finding, left and right context: one row for each candidate of each text.
+
+    ``place`` counts the runs of a word from 0, and the assigned values that aren't runs from -1 downwards."""
+    return runs(docs).unionByName(assigned(docs))
+
+
+def runs(docs: DataFrame) -> DataFrame:
+    """As candidates: runs of key characters with a digit in them."""
     w = words(F.col("text"), WORD)
     run = F.lit(_RUN)
 
@@ -82,6 +113,8 @@ def label_findings(found: DataFrame) -> DataFrame:
     for s in SHAPES:
         known = known | F.col("finding").rlike(s)
     named = F.lower("left").rlike(rf"({CUES})\w*\W*[=:]\W*$") & ~F.col("finding").rlike("^[0-9-]+$")
+    if "f_covered" in found.columns:      # an assigned common word, such as "token: the"
+        named = named & ((F.col("f_covered") < 1) | (F.col("f_quoted") > 0))
     return found.withColumn("label", (known | named).cast("double"))
 
 
@@ -97,13 +130,17 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     ready, names = features(found, dictionary)
     given = features(labelled, dictionary)[0] if labelled is not None else label_findings(ready)
     order = F.xxhash64("finding", "left", "doc_id", "at_word", "place")
-    some = materialize(given.withColumn("__o", order).orderBy("__o", "finding").limit(SAMPLE).select("label", *names), "secret-sample")
-    kinds = [r["label"] for r in some.select("label").distinct().limit(2).collect()]
+    given = materialize(given.where(F.col("label").isNotNull()).select("label", *names, order.alias("__o"), "finding"), "secret-labelled")
+    held = {r["label"]: r["count"] for r in given.groupBy("label").count().collect()}
+    kinds = sorted(held)
     out = ["doc_id", "source", "at_word", "place", "finding"]
     if len(kinds) < 2:
         return ready.select(*out, F.lit(kinds[0] if kinds else 0.0).alias("score"), F.lit(bool(kinds and kinds[0])).alias("secret"))
+    parts = [given.where(F.col("label") == k).orderBy("__o", "finding").limit(SAMPLE)
+             .select("label", *names, F.lit(n / min(n, SAMPLE)).alias("__weight")) for k, n in sorted(held.items())]
+    some = materialize(parts[0].unionByName(parts[1]), "secret-sample")
     vector = VectorAssembler(inputCols=names, outputCol="__x")
-    forest = RandomForestClassifier(featuresCol="__x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=3,
+    forest = RandomForestClassifier(featuresCol="__x", labelCol="label", weightCol="__weight", numTrees=TREES, maxDepth=DEPTH, seed=3,
                                     predictionCol="__p", probabilityCol="__q", rawPredictionCol="__r").fit(vector.transform(some))
     judged = forest.transform(vector.transform(ready))
     return judged.withColumn("score", F.get(vector_to_array("__q"), F.lit(1))).select(*out, "score", (F.col("score") >= THRESHOLD).alias("secret"))
