@@ -1,9 +1,9 @@
 """A corpus pipeline of the training-data operators: each stage reads what the one before it wrote.
 
-toxicity (rejected documents go), n-gram Jaccard join (one document of each group stays), benchmark
+toxicity (rejected documents go), n-gram Jaccard join (one row of each linked group stays), benchmark
 decontamination (documents with a benchmark item go), mixing (documents as often as the mix takes them),
-sharding (shuffled order). Rows that share a doc_id are one document: they are kept or dropped together,
-and of a group's rows with the same id one stays. Rows with a null id are never dropped by the join.
+sharding (shuffled order). The join decides by doc_id and text: different texts that share a doc_id are kept or dropped
+each by their own links. Rows with a null id are never dropped by the join.
 """
 
 from __future__ import annotations
@@ -23,14 +23,23 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked documents; documents without words all stay."""
-    groups = materialize(ngram_join.similar_groups(docs), "pipeline-groups")
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(small(materialize(gone, "pipeline-gone")), "doc_id", "left_anti")
-    twice = materialize(groups.where((F.col("component_id") == F.col("doc_id")) & (F.col("n_shingles") > 0))
-                        .groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "pipeline-twice")
-    if not twice.isEmpty():
-        kept = kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """One row of each group of linked texts, that of the smallest (doc_id, text hash); texts without words and rows with a null id all stay."""
+    groups = materialize(ngram_join.text_groups(docs).where(F.col("group").isNotNull() & F.col("doc_id").isNotNull()), "pipeline-groups")
+    texts = groups.groupBy("group", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = groups.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    marked = materialize(texts.join(first, "group").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "n",
+        (F.struct("doc_id", "text_hash") == F.col("first")).alias("stays")), "pipeline-texts")
+    gone = small(materialize(marked.where(~F.col("stays")).select("__id", "__hash"), "pipeline-gone"))
+    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    kept = docs.join(gone, same, "left_anti")
+    twice = materialize(marked.where(F.col("stays") & (F.col("n") > 1)).select("__id", "__hash"), "pipeline-twice")
+    if not twice.isEmpty():      # rows of one id and text: that of the least hash stays
+        twice = small(twice)
+        row = F.struct(*docs.columns)
+        one = (kept.join(twice, same, "left_semi").groupBy("doc_id", F.xxhash64("text"))
+               .agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__row")).select("__row.*"))
+        kept = kept.join(twice, same, "left_anti").unionByName(one)
     return kept.select(*docs.columns)
 
 

@@ -62,7 +62,7 @@ def _as_long(x: np.ndarray) -> np.ndarray:
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """kind 0: doc_id, n, key of each row. kind 1: a chunk (n) of the task's counts by slot, one byte each."""
+    """kind 0: doc_id, text_hash, n, key of each row. kind 1: a chunk (n) of the task's counts by slot, one byte each."""
     table, held, size = np.zeros(1 << SLOT_BITS, dtype=np.int64), [], 0
 
     def add() -> None:
@@ -79,12 +79,12 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if size >= FLUSH:
                 add()
                 held, size = [], 0
-        yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"], "n": sizes, "key": keys, "counts": None})
+        yield pd.DataFrame({"kind": 0, "doc_id": b["doc_id"], "text_hash": b["text_hash"], "n": sizes, "key": keys, "counts": None})
     if held:
         add()
     if table.any():
         parts = np.minimum(table, 255).astype(np.uint8).reshape(CHUNKS, -1)
-        yield pd.DataFrame({"kind": 1, "doc_id": None, "n": range(CHUNKS), "key": 0, "counts": [p.tobytes() for p in parts]})
+        yield pd.DataFrame({"kind": 1, "doc_id": None, "text_hash": 0, "n": range(CHUNKS), "key": 0, "counts": [p.tobytes() for p in parts]})
 
 
 def _add_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,10 +201,17 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     Rows with equal sets are one class and link with each other; a text that has only null ids links with nothing else and its component is null. Repeated
     rows give repeated results; other columns are dropped; an empty table gives an empty result.
     """
+    return text_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def text_groups(docs: DataFrame) -> DataFrame:
+    """similar_groups with text_hash (xxhash64 of the text) and group, which tells linked groups apart even if they share
+    a component_id, as texts with one doc_id may; null for a text without n-grams."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    first = materialize(docs.mapInPandas(_digest, f"kind int, doc_id {kind}, n long, key long, counts binary"), "join-digests")
-    rows = first.where(F.col("kind") == 0).select("doc_id", "n", "key")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    first = materialize(hashed.mapInPandas(_digest, f"kind int, doc_id {kind}, text_hash long, n long, key long, counts binary"), "join-digests")
+    rows = first.where(F.col("kind") == 0).select("doc_id", "text_hash", "n", "key")
     counts = docs.sparkSession.sparkContext.broadcast(_count_table(first))
     classes = materialize(rows.where(F.col("n") > 0).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n")), "join-classes")
@@ -270,9 +277,9 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     label = components(links)
     named = classes.join(label, F.col("key") == F.col("v"), "left").select("key", "rep", F.coalesce("c", "key").alias("c"))
     least = named.where(F.col("c") != F.col("key")).select("c").distinct().join(named, "c").groupBy("c").agg(F.min("rep").alias("least"))
-    named = named.join(least, "c", "left").select(F.col("key"), F.coalesce("least", "rep").alias("component_id"))
-    return (rows.where(F.col("n") > 0).join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-            .union(rows.where(F.col("n") == 0).select("doc_id", "n", "doc_id")))
+    named = named.join(least, "c", "left").select("key", F.col("c").alias("group"), F.coalesce("least", "rep").alias("component_id"))
+    return (rows.where(F.col("n") > 0).join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "group")
+            .union(rows.where(F.col("n") == 0).select("doc_id", "n", "doc_id", "text_hash", F.lit(None).cast("long"))))
 
 
 def _deltas(rows: DataFrame, pieces: DataFrame) -> DataFrame:
