@@ -74,3 +74,15 @@ def number_rows(df: DataFrame, *order: Column, name: str = "row_no") -> DataFram
     return (stored.join(F.broadcast(first), part == F.col("__part"))
             .select(*[F.col(f"`{c}`") for c in cols],
                     (F.col("__first") + F.col("__place").bitwiseAND((1 << _POS_BITS) - 1)).alias(name)))
+
+
+#: DuckDB: table tab with list t, the 256 steps of the crc32 polynomial.
+CRC_TABLE = """tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc_sql(text: str) -> str:
+    """DuckDB: unsigned crc32 of a text's UTF-8 bytes, beside table tab."""
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, 2 * octet_length(encode({text})), 2), "
+            f"lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT)), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
