@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waka.llm import decontamination, fingerprints, language_id, licenses, manifest, mixing, ngram_join, secrets, sharding, token_count, toxicity
+from waka.llm import decontamination, fingerprints, language_id, licenses, manifest, mixing, ngram_join, repeats, secrets, sharding, spelling, token_count, toxicity
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_sharding,
@@ -15,10 +15,14 @@ QUERIES = {f.__name__: f for f in (
     token_count.op8_token_count,
     ngram_join.op9_ngram_join,
     fingerprints.op10_fingerprints,
+    spelling.op11_spelling_variants,
+    repeats.op12_substring_dedup,
     manifest.op13_merkle_manifest,
 )}
 ORACLES = {
     "op4_license_scan": licenses.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op12_substring_dedup": repeats.ORACLE,
     "op13_merkle_manifest": manifest.ORACLE,
 }
