@@ -41,9 +41,9 @@ def match_segments(locations: DataFrame, trip_segments: DataFrame, segments: Dat
 
 
 def matched_locations(locations: DataFrame, trip_segments: DataFrame, segments: DataFrame,
-                      week_start, tz: str = "UTC") -> DataFrame:
-    """P6 + J7 + X8: the week's locations matched to segments, with date parts."""
-    wk = locations.where(in_week("timestamp", week_start, tz))
+                      week_start=None, tz: str = "UTC") -> DataFrame:
+    """P6 + J7 + X8: the week's locations (all without a week) matched to segments, with date parts."""
+    wk = locations if week_start is None else locations.where(in_week("timestamp", week_start, tz))
     m = match_segments(wk, trip_segments, segments)
     return m.select(
         "id", "timestamp", "segment_id", "trip_id", "stop_id", "end_stop_id", "stop_sequence",
@@ -58,18 +58,18 @@ def generic_features(matched: DataFrame) -> DataFrame:
     return matched.select(*GENERIC_COLUMNS)
 
 
-def segment_sums(matched: DataFrame, cols=AVG_FEATURES) -> DataFrame:
-    """One partial aggregate at (segment, day_of_week, obs_month, obs_hour): sum and
+def segment_sums(matched: DataFrame, cols=AVG_FEATURES, by=()) -> DataFrame:
+    """One partial aggregate at (segment, day_of_week, obs_month, obs_hour), and the keys ``by``: sum and
     non-null count per feature. Every coarser grain is derived from this small frame,
     so the big input is shuffled once (map-side combined) instead of four times."""
     aggs = []
     for c in cols:
         aggs += [F.sum(F.col(c).cast("double")).alias(f"s_{c}"), F.count(c).alias(f"n_{c}")]
-    return matched.groupBy("segment_id", "day_of_week", "obs_month", "obs_hour").agg(*aggs)
+    return matched.groupBy(*by, "segment_id", "day_of_week", "obs_month", "obs_hour").agg(*aggs)
 
 
-def _roll(sums: DataFrame, prefix: str, key: str | None, cols) -> DataFrame:
-    keys = ["segment_id"] + ([key] if key else [])
+def _roll(sums: DataFrame, prefix: str, key: str | None, cols, by=()) -> DataFrame:
+    keys = [*by, "segment_id"] + ([key] if key else [])
     aggs = [
         (F.sum(f"s_{c}") / F.nullif(F.sum(f"n_{c}"), F.lit(0))).alias(f"{prefix}_{c}_avg")
         for c in cols
@@ -84,17 +84,17 @@ def segment_averages(matched: DataFrame, cols=AVG_FEATURES) -> dict[str, DataFra
     return {p: _roll(sums, p, k, cols) for p, k in AVG_GRAINS}
 
 
-def segment_average_table(matched: DataFrame, cols=AVG_FEATURES) -> DataFrame:
-    """All 16 averages keyed by the fine grain (segment, dow, month, hour).
+def segment_average_table(matched: DataFrame, cols=AVG_FEATURES, by=()) -> DataFrame:
+    """All 16 averages keyed by the fine grain (segment, dow, month, hour), within each group of ``by``.
 
     Built from the small partial aggregate, so the training set needs a single join
     on the fine key instead of four joins against the large side.
     """
-    sums = segment_sums(matched, cols)
-    fine = sums.select("segment_id", "day_of_week", "obs_month", "obs_hour")
+    sums = segment_sums(matched, cols, by)
+    fine = sums.select(*by, "segment_id", "day_of_week", "obs_month", "obs_hour")
     for p, k in AVG_GRAINS:
-        keys = ["segment_id"] + ([k] if k else [])
-        fine = fine.join(_roll(sums, p, k, cols), keys, "left")
+        keys = [*by, "segment_id"] + ([k] if k else [])
+        fine = fine.join(_roll(sums, p, k, cols, by), keys, "left")
     return fine
 
 
@@ -122,20 +122,20 @@ def avg_column_names(cols=AVG_FEATURES) -> list[str]:
     return [f"{p}_{c}_avg" for p, _ in AVG_GRAINS for c in cols]
 
 
-def training_set(matched: DataFrame, cols=AVG_FEATURES) -> DataFrame:
-    """J8 + P5: generic features, the 16 segment averages, lags and the next-position
+def training_set(matched: DataFrame, cols=AVG_FEATURES, by=()) -> DataFrame:
+    """J8 + P5 (with averages within each group of ``by``): generic features, the 16 segment averages, lags and the next-position
     target; rows without a next position are dropped.
 
     Lags and target come from one neighbour pass over the same rows, so the
     reference's two (id, timestamp) self-joins are not needed: each matched location
     is one row (checked by Q1 before writing).
     """
-    avgs = segment_average_table(matched, cols)
+    avgs = segment_average_table(matched, cols, by)
     nb = trip_day_neighbours(matched, TRIP_DAY, ORDER, cols + ["latitude", "longitude"],
                              lags=(1,), means=(5, 10), leads=(1,), mean_cols=cols, lag_cols=cols,
                              lead_cols=["latitude", "longitude"])
     nb = nb.withColumnsRenamed({"1_lead_longitude": "target_longitude", "1_lead_latitude": "target_latitude"})
-    joined = nb.join(avgs, ["segment_id", "day_of_week", "obs_month", "obs_hour"], "left")
+    joined = nb.join(avgs, [*by, "segment_id", "day_of_week", "obs_month", "obs_hour"], "left")
     return (
         joined.where(F.col("target_latitude").isNotNull() & F.col("target_longitude").isNotNull())
         .select(*GENERIC_COLUMNS, *avg_column_names(cols), *lag_column_names(cols),

@@ -1,29 +1,19 @@
-"""Neighbour features over an ordered group (W2-W5), safe for hot groups.
+"""Neighbour features over an ordered group (W1-W5), one plan for groups of any size.
 
 For each row of a group (``keys``), in a total order (``order``, unique per group):
   ``{k}_lag_{c}``     value k rows back,
   ``{n}_lag_{c}_avg`` mean of the current and n-1 previous values (nulls skipped),
   ``{k}_lead_{c}``    value k rows ahead.
 
-A plain window partitioned by the group puts a whole group into one task. Here a
-group larger than ``chunk_rows`` is cut into time slices of about ``chunk_rows``
-rows each (uniform width over the group's [min, max] of ``slice_col``):
+A plain window partitioned by the group puts a whole group into one task. Here the rows are
+range-partitioned and sorted by (keys, order): the cut points are quantiles of the data itself, so a
+hot group, or a burst of rows at one instant, is cut like any other stretch of the order. Each
+partition then gets the rows it lacks: the last rows before it and the first rows behind it, as
+many as the widest look-back and look-ahead (from several partitions, where one holds fewer). The
+window runs per (partition, group) over own and carried rows, and the carried rows are dropped. What
+is carried grows with the number of partitions, not of rows.
 
-  A. one window over (group, slice) computes every feature, plus the row's rank
-     from the start (rn) and from the end (rn_desc) of its slice;
-  B. only rows near slice edges of split groups (rn or rn_desc <= M, M = widest
-     look-back / look-ahead) are re-windowed over the whole group. They include
-     every row a slice-start row needs as look-back context and every row a
-     slice-end row needs as look-ahead context, even across short slices, so the
-     re-computed features are exact; a row takes its look-back features from B
-     when rn <= look-back and its look-ahead features from B when rn_desc <=
-     look-ahead, else from A.
-
-Result = A rows outside the patch set UNION patched B rows: no join, one big
-shuffle (balanced slices, reused by both branches) plus a small one (2M rows per
-slice). The hot-group table grows with the data (rows / ``chunk_rows`` entries), so its
-join is left to the size-checked choice of the optimizer. A cheap pre-pass (partial aggregate per group) decides whether any
-group is hot; when none is, the plan is the single plain window.
+The sorted rows are stored once with their places, so that all readers see the same cut.
 """
 
 from __future__ import annotations
@@ -32,69 +22,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-CHUNK_ROWS = 2_000_000
+from ..session import materialize
+
+PARTITIONS: int | None = None      # of the sorted rows; None leaves the number to the session
+PLACE = "_place"                   # partition << 33 | row within it
+_BITS = 33
+
+
+def stored_in_order(df: DataFrame, keys, order, partitions: int | None = None, name: str = "ordered") -> DataFrame:
+    """``df`` sorted by (keys, order) over range partitions and stored, with each row's PLACE."""
+    cols = [F.col(f"`{c}`") for c in [*keys, *order]]
+    n = partitions or PARTITIONS
+    ranged = df.repartitionByRange(*([n] if n else []), *cols)
+    return materialize(ranged.sortWithinPartitions(*cols).withColumn(PLACE, F.monotonically_increasing_id()), name)
+
 
+def _features(w, lags, means, leads, lag_cols, mean_cols, lead_cols) -> dict[str, Column]:
+    out = {f"{k}_lag_{c}": F.lag(c, k).over(w) for k in lags for c in lag_cols}
+    out |= {f"{n}_lag_{c}_avg": F.avg(F.col(c).cast("double")).over(w.rowsBetween(-(n - 1), 0)) for n in means for c in mean_cols}
+    return out | {f"{k}_lead_{c}": F.lead(c, k).over(w) for k in leads for c in lead_cols}
 
-def _features(w, lags, means, leads, lag_cols, mean_cols, lead_cols) -> tuple[dict[str, Column], dict[str, Column]]:
-    back, ahead = {}, {}
-    for k in lags:
-        for c in lag_cols:
-            back[f"{k}_lag_{c}"] = F.lag(c, k).over(w)
-    for n in means:
-        for c in mean_cols:
-            back[f"{n}_lag_{c}_avg"] = F.avg(F.col(c).cast("double")).over(w.rowsBetween(-(n - 1), 0))
-    for k in leads:
-        for c in lead_cols:
-            ahead[f"{k}_lead_{c}"] = F.lead(c, k).over(w)
-    return back, ahead
+
+def with_carried_rows(rows: DataFrame, back: int, ahead: int) -> DataFrame:
+    """Stored rows with ``_part`` and ``_own``: each partition's rows, and copies (``_own`` false) of the
+    ``back`` rows before it and the ``ahead`` rows behind it in the whole order."""
+    part, pos = F.shiftright(PLACE, _BITS), F.col(PLACE).bitwiseAND((1 << _BITS) - 1)
+    own = rows.withColumn("_part", part)
+    sizes = own.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)      # one row per partition
+    spans = sizes.select(F.col("_part").alias("_p"), "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    spans = materialize(spans, "ordered_spans")
+    lacks = F.concat(*[F.transform(F.sequence(F.lit(1), F.lit(k)), f) if k else F.array().cast("array<bigint>")
+                       for k, f in ((back, lambda i: F.col("_first") - i), (ahead, lambda i: F.col("_first") + F.col("_n") - 1 + i))])
+    wanted = spans.select(F.col("_p").alias("_to"), F.explode(lacks).alias("_no"))
+    edges = (own.join(F.broadcast(spans), F.col("_part") == F.col("_p"))
+             .where((pos < ahead) | (pos >= F.col("_n") - back)).withColumn("_at", F.col("_first") + pos))
+    carried = edges.join(wanted, F.col("_at") == F.col("_no")).select(
+        *[F.col(f"`{c}`") for c in rows.columns], F.col("_to").alias("_part"), F.lit(False).alias("_own"))
+    return own.withColumn("_own", F.lit(True)).unionByName(carried)
 
 
 def trip_day_neighbours(df: DataFrame, keys, order, cols, lags=(1,), means=(), leads=(),
-                        lag_cols=None, mean_cols=None, lead_cols=None, slice_col: str | None = None,
-                        chunk_rows: int | None = None) -> DataFrame:
+                        lag_cols=None, mean_cols=None, lead_cols=None, partitions: int | None = None) -> DataFrame:
+    """``df`` with the features. A frame from ``stored_in_order`` (same keys and order) isn't stored again."""
     lag_cols = cols if lag_cols is None else lag_cols
     mean_cols = cols if mean_cols is None else mean_cols
     lead_cols = cols if lead_cols is None else lead_cols
     keys, order = list(keys), list(order)
-    chunk_rows = chunk_rows or CHUNK_ROWS
-    slice_col = slice_col or order[0]
-    look_back = max([*lags, *[n - 1 for n in means], 0])
-    look_ahead = max([*leads, 0])
-    m = max(look_back, look_ahead, 1)
-
-    # hot groups: more rows than one slice should hold (partial aggregate, small result)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min(slice_col).alias("_lo"),
-                                  F.max(slice_col).alias("_hi"))
-    hot = stats.where(F.col("_cnt") > chunk_rows).select(
-        *keys, F.ceil(F.col("_cnt") / F.lit(chunk_rows)).alias("_n"), "_lo", "_hi")
-    if not hot.limit(1).count():
-        # no group needs splitting: one window over the group is the whole plan
-        w = Window.partitionBy(*keys).orderBy(*order)
-        back, ahead = _features(w, lags, means, leads, lag_cols, mean_cols, lead_cols)
-        return df.withColumns({**back, **ahead})
-    x = df.join(hot, keys, "left")
-    span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    x = x.withColumn("_slice", F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
-        F.least(F.floor((F.col(slice_col) - F.col("_lo")) * F.col("_n") / span), F.col("_n") - 1)).cast("long"))
-    x = x.withColumn("_split", F.col("_n").isNotNull()).drop("_n", "_lo", "_hi")
-
-    wa = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    back, ahead = _features(wa, lags, means, leads, lag_cols, mean_cols, lead_cols)
-    a = x.withColumns({**back, **ahead, "_rn": F.row_number().over(wa),
-                       "_cnt_s": F.count(F.lit(1)).over(Window.partitionBy(*keys, "_slice"))})
-    a = a.withColumn("_rn_desc", F.col("_cnt_s") - F.col("_rn") + 1)
-    need_back = F.col("_rn") <= look_back
-    need_ahead = F.col("_rn_desc") <= look_ahead
-    patch = F.col("_split") & (need_back | need_ahead)
-    helper = ["_slice", "_split", "_rn", "_cnt_s", "_rn_desc"]
-
-    keep = a.where(~patch).drop(*helper)
-    edge = a.where(F.col("_split") & ((F.col("_rn") <= m) | (F.col("_rn_desc") <= m)))
-    wb = Window.partitionBy(*keys).orderBy(*order)
-    b_back, b_ahead = _features(wb, lags, means, leads, lag_cols, mean_cols, lead_cols)
-    fixed = edge.withColumns({f"_b{n}": c for n, c in {**b_back, **b_ahead}.items()})
-    fixed = fixed.where(patch).withColumns(
-        {**{n: F.when(need_back, F.col(f"_b{n}")).otherwise(F.col(n)) for n in back},
-         **{n: F.when(need_ahead, F.col(f"_b{n}")).otherwise(F.col(n)) for n in ahead}})
-    fixed = fixed.drop(*helper, *[f"_b{n}" for n in {**back, **ahead}])
-    return keep.unionByName(fixed)
+    rows = df if PLACE in df.columns else stored_in_order(df, keys, order, partitions)
+    back, ahead = max([*lags, *[n - 1 for n in means], 0]), max([*leads, 0])
+    whole = with_carried_rows(rows, back, ahead)
+    w = Window.partitionBy("_part", *keys).orderBy(*order)
+    got = whole.withColumns(_features(w, lags, means, leads, lag_cols, mean_cols, lead_cols))
+    return got.where("_own").drop("_own", "_part", PLACE)

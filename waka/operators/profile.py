@@ -8,14 +8,18 @@ scalar subqueries, never through a driver-side collect or a join of the big side
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.dates import DOW_LABELS
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, select_ranks
 
 ID_COLS = {"id", "trip_id", "stop_id", "end_stop_id", "segment_id", "timestamp"}
 TARGET_COLS = ["target_latitude", "target_longitude"]
@@ -67,16 +71,17 @@ def unpivot(df: DataFrame, cols, value: str = "x") -> DataFrame:
     return df.select(F.inline(arr)).where(F.col(value).isNotNull())
 
 
-def _binned(long: DataFrame, bins: int) -> DataFrame:
-    """Equal-width bins per column_name over [min, max] (numpy's widening when min == max).
+def _binned(long: DataFrame, bins: int | Column) -> DataFrame:
+    """Equal-width bins (a number, or a function of column_name) per column_name over [min, max] (numpy's widening when min == max).
     The per-column edges table has one row per column, so it is broadcast."""
+    bins = bins if isinstance(bins, Column) else F.lit(bins)
     edges = long.groupBy("column_name").agg(F.min("x").alias("a0"), F.max("x").alias("b0")).select(
         "column_name",
         F.when(F.col("a0") == F.col("b0"), F.col("a0") - 0.5).otherwise(F.col("a0")).alias("a"),
         F.when(F.col("a0") == F.col("b0"), F.col("b0") + 0.5).otherwise(F.col("b0")).alias("b"))
     j = long.join(F.broadcast(edges), "column_name")
     a, b = F.col("a"), F.col("b")
-    idx = F.least(F.floor((F.col("x") - a) * bins / (b - a)), F.lit(bins - 1)).cast("int")
+    idx = F.least(F.floor((F.col("x") - a) * bins / (b - a)), bins - 1).cast("int")
     counts = j.groupBy("column_name", idx.alias("bin"), "a", "b").agg(F.count(F.lit(1)).alias("count"))
     w = (b - a) / bins
     return counts.select("column_name", "bin", (a + F.col("bin") * w).alias("bin_lo"),
@@ -95,7 +100,7 @@ def histogram(df: DataFrame, col, bins: int) -> DataFrame:
 
 def percentiles(df: DataFrame, cols, probs) -> DataFrame:
     """(column_name, p, value) linear-interpolated percentiles (as numpy /
-    quantile_cont) for several columns in one bracketing run."""
+    quantile_cont) for several columns in one radix selection."""
     return exact_quantiles(unpivot(df, cols), "x", list(probs), keys=["column_name"])
 
 
@@ -188,10 +193,21 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 80, mincnt: int = 1) -
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, keys=("id", "timestamp")) -> DataFrame:
     """Exactly min(n, rows) rows without replacement, reproducible under any
-    partitioning: order by md5(seed:key...) and take n (per-partition top-n, then
-    a bounded merge)."""
+    partitioning: the n rows whose md5(seed:key...) come first.
+
+    The n-th smallest hash (its first 60 bits) is found by radix selection, the rows are then
+    filtered by it where they stand; only rows that share the cut hash beyond n are ordered.
+    """
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[q(k).cast("string") for k in keys]))
-    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
+    k = F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+    hashes = df.select(k.alias("_k"), k.alias("_x"))
+    cut = select_ranks(hashes, [], lambda sizes: sizes.where(F.col("_n") > n).select(F.lit(n - 1).cast("long").alias("r"))).first()
+    if n < 1 or cut is None:
+        return df if n >= 1 else df.limit(0)
+    if cut["below"] + cut["n_at"] == n:
+        return df.where(k <= cut["value"])
+    at_cut = df.where(k == cut["value"]).orderBy(h).limit(n - cut["below"])      # equal in 60 bits: a handful
+    return df.where(k < cut["value"]).unionByName(at_cut)
 
 
 def mean_center(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -286,33 +302,75 @@ def lag_target_corr(df: DataFrame, targets=TARGET_COLS) -> DataFrame:
     return long.where(F.col("n") >= 2).drop("n")
 
 
-def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
-    """Pearson matrix over listwise-complete rows, lower triangle (col_a after
-    col_b in column order).
+def comoments(df: DataFrame, cols, by=()) -> DataFrame:
+    """(by..., n, mean, cross, lo, hi) over the rows without a null in ``cols``: the number of rows, the columns' means,
+    their centred cross sums (row by row of the lower triangle) and their bounds, as arrays.
 
-    The matrix comes from ``ml.stat.Correlation`` (one tree-aggregated pass that sums
-    the columns' Gram matrix); its size is bounded by the number of columns, so the
-    result is small. Columns that are constant (min = max, checked in a separate
-    aggregate) get null rather than a division by (almost) zero.
+    Each task reduces its rows batch by batch; the partial results are merged in two steps (the
+    usual update for means and centred sums), so no task gets more than a share of them, and nothing is computed
+    before the frame is used.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    by, k = list(by), len(cols)
+    low = np.tril_indices(k)
+    names = [f"c{i}" for i in range(k)]
+    kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*by).schema)
+    state = "n long, mean array<double>, cross array<double>, lo array<double>, hi array<double>"
+
+    def merged(parts: pd.DataFrame) -> list:
+        n = parts["n"].to_numpy(dtype=float)
+        means, total = np.vstack(parts["mean"]), n.sum()
+        mean = (n[:, None] * means).sum(0) / total
+        off = means - mean
+        cross = np.vstack(parts["cross"]).sum(0) + ((off * n[:, None]).T @ off)[low]
+        return [int(total), mean, cross, np.vstack(parts["lo"]).min(0), np.vstack(parts["hi"]).max(0)]
+
+    columns = [*by, "part", "n", "mean", "cross", "lo", "hi"]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list] = {}
+        part = TaskContext.get().partitionId() % 64        # a retried task repeats it
+        for b in batches:
+            for key, rows in (b.groupby(by, dropna=False, sort=False) if by else [((), b)]):
+                x = rows[names].to_numpy(dtype=float)
+                mean = x.mean(0)
+                d = x - mean
+                own = [len(x), mean, (d.T @ d)[low], x.min(0), x.max(0)]
+                key = tuple(None if pd.isna(v) else v for v in key)
+                held[key] = merged(pd.DataFrame([held[key], own], columns=columns[-5:])) if key in held else own
+            if len(held) > 1000:
+                yield pd.DataFrame([[*key, part, *own] for key, own in held.items()], columns=columns)
+                held = {}
+        if held:
+            yield pd.DataFrame([[*key, part, *own] for key, own in held.items()], columns=columns)
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([[*rows[by].iloc[0], *merged(rows)]], columns=[*by, *columns[-5:]])
+
+    values = df.select(*[q(c) for c in by], *[q(c).cast("double").alias(n) for c, n in zip(cols, names)]).dropna(subset=names)
+    parts = values.mapInPandas(partial, f"{kind}part int, {state}")
+    once = parts.groupBy(*by, "part").applyInPandas(merge, f"{kind}{state}")
+    return once.groupBy(*by).applyInPandas(merge, f"{kind}{state}")
+
+
+def corr_matrix(df: DataFrame, cols=None, by=()) -> DataFrame:
+    """Pearson matrix over listwise-complete rows, lower triangle (col_a after
+    col_b in column order), for each group of ``by``.
 
-    cols = cols or numeric_columns(df)
-    names = [f"c{i}" for i in range(len(cols))]
-    d = df.select(*[q(c).cast("double").alias(n) for c, n in zip(cols, names)]).dropna()
-    vec = VectorAssembler(inputCols=names, outputCol="_v").transform(d).select("_v")
-    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
-    flat = d.agg(*[(F.min(n) == F.max(n)).alias(n) for n in names]).head()
-    const = [bool(flat[n]) if flat[n] is not None else True for n in names]
-    rows = []
-    for i in range(len(cols)):
-        for j in range(i):
-            v = float(m[i][j])
-            ok = not (const[i] or const[j] or math.isnan(v))
-            rows.append((cols[i], cols[j], v if ok else None))
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "col_a string, col_b string, r double")
+    One lazy co-moment aggregate; its size is bounded by the number of columns. Pairs with a column that is
+    constant (min = max) or of a single row get null rather than a division by (almost) zero.
+    """
+    cols = list(cols or numeric_columns(df))
+    m = comoments(df, cols, by)
+    pairs = F.array(*[F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(i).alias("i"), F.lit(j).alias("j"))
+                      for i in range(len(cols)) for j in range(i)])
+    if len(cols) < 2:
+        pairs = pairs.cast("array<struct<col_a:string,col_b:string,i:int,j:int>>")
+    each = m.select(*by, "n", "cross", "lo", "hi", F.explode(pairs).alias("p")).select("*", "p.*")
+    i, j = F.col("i"), F.col("j")
+    cell = lambda a, b: F.get("cross", (a * (a + 1) / 2 + b).cast("int"))
+    same = lambda a: F.get("lo", a) == F.get("hi", a)
+    r = F.when((F.col("n") >= 2) & ~same(i) & ~same(j), cell(i, j) / F.nullif(F.sqrt(cell(i, i) * cell(j, j)), F.lit(0.0)))
+    return each.select(*by, "col_a", "col_b", F.when(~F.isnan(r), r).alias("r"))
 
 
 def target_slice(matrix: DataFrame, targets=TARGET_COLS) -> DataFrame:
@@ -326,13 +384,8 @@ def target_slice(matrix: DataFrame, targets=TARGET_COLS) -> DataFrame:
     return s.withColumn("rank", F.row_number().over(w))
 
 
-def describe(df: DataFrame, cols=None, quartiles: str = "nearest") -> DataFrame:
-    """Count, null_count, mean, std, min, 25/50/75%, max per numeric column.
-
-    Moments in one aggregate; quartiles exact (``nearest`` rank by default, or
-    ``linear``) via the bracketing quantile operator over the unpivoted columns.
-    """
-    cols = cols or numeric_columns(df)
+def moments(df: DataFrame, cols) -> DataFrame:
+    """A15 without quartiles: (column_name, count, null_count, mean, std, min, max), one aggregate."""
     aggs = []
     for i, c in enumerate(cols):
         x = q(c).cast("double")
@@ -340,10 +393,18 @@ def describe(df: DataFrame, cols=None, quartiles: str = "nearest") -> DataFrame:
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
     stack = ", ".join(f"'{c}', c{i}, z{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
-    mom = one.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, count, null_count, mean, std, min, max)")
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), q(c).cast("double").alias("v")) for c in cols])).alias("s")).select("s.*")
-    qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], keys=["column_name"], method=quartiles)
+    return one.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, count, null_count, mean, std, min, max)")
+
+
+def describe(df: DataFrame, cols=None, quartiles: str = "nearest") -> DataFrame:
+    """Count, null_count, mean, std, min, 25/50/75%, max per numeric column.
+
+    Moments in one aggregate; quartiles exact (``nearest`` rank by default, or
+    ``linear``) by radix selection over the unpivoted columns.
+    """
+    cols = cols or numeric_columns(df)
+    mom = moments(df, cols)
+    qs = exact_quantiles(unpivot(df, cols), "x", [0.25, 0.5, 0.75], keys=["column_name"], method=quartiles)
     wide = qs.groupBy("column_name").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF(
         "column_name", "q25", "q50", "q75")
     return mom.join(wide, "column_name", "left").select(

@@ -1,15 +1,15 @@
-"""Table maintenance on parquet (K1-K5, M1-M4) and table reads.
+"""Table maintenance on parquet (K1-K4, M1-M4) and table reads.
 
 Without a transactional table format, writes are copy-on-write: the new state of the
 touched data is written to a fresh location under the shared checkpoint folder and
-only then swapped in (dynamic partition overwrite or a published version marker).
+only then swapped in (dynamic partition overwrite; ``versions`` has the published kind).
 """
 
 from __future__ import annotations
 
-import json
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import split_trim
@@ -40,36 +40,55 @@ def read_text_file(spark: SparkSession, path: str) -> str:
 
 
 # ------------------------------------------------------------------ merge semantics
-def upsert(old: DataFrame, new: DataFrame, keys) -> DataFrame:
+def one_row_per_key(new: DataFrame, keys) -> DataFrame:
+    """``new``, failing when it is run if a key repeats (which of the rows should win is undefined)."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    checked = new.withColumn("_copies", copies).where(
+        F.assert_true(F.col("_copies") == 1, F.lit(f"the new rows repeat a key of {tuple(keys)}")).isNull())
+    return checked.drop("_copies")
+
+
+def upsert(old: DataFrame, new: DataFrame, keys, stamp: tuple[str, object] | None = None) -> DataFrame:
     """K2: new rows replace old rows with the same key (every non-key column is
-    overwritten); old rows absent from ``new`` are kept. When every column is a key
-    the upsert degenerates to insert-ignore."""
+    overwritten); old rows absent from ``new`` are kept. A key that repeats in ``new`` is an error. ``stamp`` (column, value)
+    marks when a row was last written: new rows get the value, kept rows keep theirs. When every
+    column is a key the upsert degenerates to insert-ignore."""
     keys = list(keys)
     if set(old.columns) <= set(keys):
         return old.unionByName(new.join(old, keys, "left_anti")).distinct()
+    new = one_row_per_key(new, keys)
+    if stamp:
+        new = new.withColumn(stamp[0], F.lit(stamp[1]))
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new.select(*old.columns))
 
 
-def insert_ignore(old: DataFrame, new: DataFrame, keys) -> DataFrame:
-    """K1 on whole tables: old rows, plus new rows whose key is not present yet."""
-    keys = list(keys)
-    return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti").select(*old.columns))
+# ------------------------------------------------------------------ writers
+def first_rows(batch: DataFrame, keys, order) -> DataFrame:
+    """The first row of each key in ``order`` (a partial aggregate, so a hot key is combined before the shuffle)."""
+    rest = [c for c in batch.columns if c not in keys]
+    first = batch.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return first.select(*[F.col(c) if c in keys else F.col(f"_r.`{c}`").alias(c) for c in batch.columns])
 
 
-# ------------------------------------------------------------------ writers
-def append_new_rows(spark: SparkSession, path: str, batch: DataFrame, keys, partition_by=None) -> int:
+def append_new_rows(spark: SparkSession, path: str, batch: DataFrame, keys, partition_by=None, order=None) -> int:
     """K1 sink: append the rows of ``batch`` whose key is not yet in the table at ``path``.
 
-    When the table is partitioned (e.g. by observation date) and the partition column
-    is part of the key, the anti-join prunes the existing side to the touched
-    partitions. Returns the number of appended rows."""
+    Of the rows that share a key the first in ``order`` is kept (any, without an order). Keys are compared null-safe, so a
+    null is a value like any other and a replay stores nothing twice. When the table is partitioned (e.g. by observation
+    date) and the partition column is part of the key, only the touched partitions of the
+    existing side are read. Returns the number of appended rows."""
     keys = list(keys)
-    b = batch.dropDuplicates(keys)
+    b = first_rows(batch, keys, order).drop(*order) if order else batch.dropDuplicates(keys)
+
+    def lacking(rows: DataFrame, other: DataFrame, cols, how: str) -> DataFrame:
+        other = other.select(*[F.col(c).alias(f"_{c}") for c in cols])
+        return rows.join(other, reduce(lambda x, y: x & y, [rows[c].eqNullSafe(other[f"_{c}"]) for c in cols]), how)
+
     if path_exists(spark, path):
         existing = spark.read.parquet(path).select(*keys)
         if partition_by:   # read only the partitions this batch touches (partition pruning)
-            existing = existing.join(b.select(*partition_by).distinct(), list(partition_by), "left_semi")
-        b = b.join(existing, keys, "left_anti")
+            existing = lacking(existing, b.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        b = lacking(b, existing, keys, "left_anti")
     staged = scratch_path(spark, "append")
     w = b.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
@@ -81,43 +100,6 @@ def append_new_rows(spark: SparkSession, path: str, batch: DataFrame, keys, part
     return n
 
 
-def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys, partition_col: str) -> None:
-    """K3: upsert into a table partitioned by ``partition_col``, rewriting only the
-    partitions present in ``new`` (dynamic partition overwrite).
-
-    The merged partitions are staged first: a path that is being read is never
-    overwritten in the same job."""
-    keys = list(keys)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    if path_exists(spark, path):
-        old = spark.read.parquet(path)
-        touched = new.select(partition_col).distinct()
-        old_touched = old.join(touched, partition_col, "left_semi")
-        merged = upsert(old_touched, new.select(*old.columns), keys)
-    else:
-        merged = new
-    staged = scratch_path(spark, "upsert")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-
-
-def publish_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
-    """K5: write every table of one refresh into a new version folder, then publish the
-    version by writing the marker last; readers follow the marker, so they see the
-    previous complete version until the new one is whole."""
-    version = scratch_path(spark, "v").rsplit("/", 1)[-1]
-    base = f"{root.rstrip('/')}/{version}"
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-    write_text_file(spark, f"{root.rstrip('/')}/published.json", json.dumps({"version": version, "tables": list(tables)}))
-    return base
-
-
-def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    meta = json.loads(read_text_file(spark, f"{root.rstrip('/')}/published.json"))
-    return spark.read.parquet(f"{root.rstrip('/')}/{meta['version']}/{name}")
-
-
 # ------------------------------------------------------------------ row operations on a keyed table (M1-M4)
 def create_rows(table: DataFrame, new: DataFrame, keys) -> DataFrame:
     """M1: append new rows; an existing key is an error (raised after a semi-join count)."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
+    catalog_c4,
     catalog_features,
     catalog_misc,
     catalog_network,

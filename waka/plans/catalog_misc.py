@@ -135,35 +135,3 @@ def x20(spark, sf):
     parsed = envelope_attributes(s.select(doc.alias("value")), "value",
                                  "stop_code string, stop_name string, stop_lat double, stop_lon double", id_col="stop_id")
     return parsed.select("stop_id", "stop_code", "stop_name", "stop_lat", "stop_lon")
-
-
-C4_SECTIONS = ["overview", "null_rates", "hour_counts", "segments", "describe"]
-
-
-@register("C4_profile_table", cp.sql(f"""
-, p as (
-  select 'overview' section, 'rows' key, 'value' metric, cast(count(*) as double) value from tr
-  union all select 'overview', 'columns', 'value', cast({len(cp.TRAIN_COLS)} as double))
-select * from p
-union all select 'null_rates', column_name, 'null_pct', null_pct from ({cp.NULL_SQL}) n
-union all select 'hour_counts', cast(obs_hour as varchar), 'n', cast(count(*) as double) from tr group by obs_hour
-union all select 'segments', segment_id, 'count', cast(count(*) as double) from tr group by segment_id
-union all select 'segments', segment_id, 'mean_delay', round(avg(delay), 6) from tr group by segment_id"""))
-def c4(spark, sf):
-    t = cp.train(spark, sf)
-    shape = pr.shape(t)
-    parts = [
-        shape.select(F.lit("overview").alias("section"), F.lit("rows").alias("key"), F.lit("value").alias("metric"),
-                     F.col("n_rows").cast("double").alias("value")),
-        shape.select(F.lit("overview"), F.lit("columns"), F.lit("value"), F.col("n_cols").cast("double")),
-        pr.null_rates(t).select(F.lit("null_rates"), "column_name", F.lit("null_pct"), "null_pct"),
-        pr.count_by(t, "obs_hour").select(F.lit("hour_counts"), F.col("obs_hour").cast("string"), F.lit("n"),
-                                          F.col("n").cast("double")),
-    ]
-    seg = round_doubles(pr.segment_summary(t))
-    parts += [seg.select(F.lit("segments"), "segment_id", F.lit("count"), F.col("count").cast("double")),
-              seg.select(F.lit("segments"), "segment_id", F.lit("mean_delay"), "mean_delay")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out

@@ -276,6 +276,17 @@ def c5(spark, sf):
     return trips_out
 
 
+@register("C5_stop_lists", explore_sql("""
+, ks as (select * from ronshape where trip_id in (select trip_id from rocc))
+select trip_id, route_id, count(*) n_stops, string_agg(stop_id || ':' || stop_code, ',' order by stop_sequence) stop_list
+from ks group by trip_id, route_id"""))
+def c5_lists(spark, sf):
+    """The ordered stop list of each key trip of the explored routes."""
+    _, lists = sr.explore_route(feed(spark, sf), ROUTES, journeys(spark))
+    item = F.transform("stops", lambda x: F.concat(x["stop_id"], F.lit(":"), x["stop_code"]))
+    return lists.select("trip_id", "route_id", F.size("stops").cast("long").alias("n_stops"), F.array_join(item, ",").alias("stop_list"))
+
+
 @register("P2_in_list_filter", with_views("trips") + f"select * from trips where route_id in ({_ROUTES_SQL})")
 def p2(spark, sf):
     return tv.trips(spark, sf).where(F.col("route_id").isin(ROUTES))

@@ -1,4 +1,4 @@
-"""Registered queries: dataset profile (C4) over the weekly training set."""
+"""Registered queries: dataset profile (C4) over the training sets of all weeks."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import features as fe
 from ..operators import profile as pr
+from ..operators.tables import _fs
+from ..oracle import with_views
 from . import catalog_features as cf
 from ..session import materialize
 from .registry import register, round_doubles
@@ -29,13 +31,17 @@ _STORED: dict = {}
 
 
 def train(spark, sf):
-    """The analytics table the profile reads: the weekly training set, materialized
-    once per application under the shared checkpoint folder (as the stored table
-    would be), so each profile pass scans it instead of re-deriving it."""
+    """The analytics table the profile reads: the training sets of all weeks, stored under the shared checkpoint
+    folder and read by every profile query of the application (as the stored table would be). It is built again when a file
+    of the locations has changed."""
+    fs, p = _fs(spark, f"{sf}/events.parquet")
+    status = fs.getFileStatus(p)
+    files = list(fs.listStatus(p)) if status.isDirectory() else [status]
+    seen = tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        _STORED[key] = materialize(cf.training(spark, sf), "analytics_data")
-    return _STORED[key]
+    if _STORED.get(key, (None,))[0] != seen:
+        _STORED[key] = (seen, materialize(cf.training_of_all_weeks(spark, sf), "analytics_data"))
+    return _STORED[key][1]
 
 
 def dq(c: str) -> str:
@@ -43,7 +49,7 @@ def dq(c: str) -> str:
 
 
 def sql(body: str) -> str:
-    return cf._w(list(cf.FEATURE_CTES), f", tr as materialized ({cf.TRAINING_SQL})\n{body}")
+    return with_views(*cf.VIEWS, extra=cf.ALL_WEEKS_CTES) + f", tr as materialized ({cf.ALL_WEEKS_SQL})\n{body}"
 
 
 def r6(e: str) -> str:
@@ -267,11 +273,14 @@ def corr_sql(x: str, y: str) -> str:
 LAGS = fe.lag_column_names()
 
 
-@register("A16_lag_target_corr", sql(" union all ".join(
+LAG_CORR_SQL = " union all ".join(
     f"""select '{c}' feature, {r6(corr_sql('x', 'a'))} r_target_lat, {r6(corr_sql('x', 'b'))} r_target_lon from (
         select cast({dq(c)} as double) x, target_latitude a, target_longitude b from tr
         where {dq(c)} is not null and target_latitude is not null and target_longitude is not null) q
-        having count(*) >= 2""" for c in LAGS)))
+        having count(*) >= 2""" for c in LAGS)
+
+
+@register("A16_lag_target_corr", sql(LAG_CORR_SQL))
 def a16(spark, sf):
     return round_doubles(pr.lag_target_corr(train(spark, sf)))
 
@@ -294,12 +303,15 @@ def a17(spark, sf):
     return round_doubles(pr.corr_matrix(train(spark, sf), NUMERIC_COLS))
 
 
-@register("A18_target_corr_slice", sql(_CC + f""", m as materialized ({_PAIRS}),
-s as (select col_a feature, col_b target, r from m where col_b in ('target_latitude', 'target_longitude')
-        and col_a not in ('target_latitude', 'target_longitude')
-      union all select col_b, col_a, r from m where col_a in ('target_latitude', 'target_longitude')
-        and col_b not in ('target_latitude', 'target_longitude'))
-select *, row_number() over (partition by target order by r asc nulls first, feature) rank from s"""))
+TARGET_SLICE_SQL = """
+select *, row_number() over (partition by target order by r asc nulls first, feature) rank from (
+  select col_a feature, col_b target, r from m where col_b in ('target_latitude', 'target_longitude')
+    and col_a not in ('target_latitude', 'target_longitude')
+  union all select col_b, col_a, r from m where col_a in ('target_latitude', 'target_longitude')
+    and col_b not in ('target_latitude', 'target_longitude')) s"""
+
+
+@register("A18_target_corr_slice", sql(_CC + f", m as materialized ({_PAIRS})" + TARGET_SLICE_SQL))
 def a18(spark, sf):
     m = round_doubles(pr.corr_matrix(train(spark, sf), NUMERIC_COLS))
     return pr.target_slice(m)

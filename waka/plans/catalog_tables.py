@@ -9,13 +9,16 @@ from ..operators import network as nw
 from ..operators import quality as qa
 from ..operators import tables as tb
 from ..oracle import with_views
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import feed_files as ff
 from ..sources import transit_views as tv
 from ..sources.tables import read_table
 from . import catalog_features as cf
 from . import catalog_network as cn
+from . import catalog_profile as cp
+from . import refresh_job as rj
 from . import static_refresh as sr
+from . import weekly
 from .registry import register
 
 STOP_COLS = ["stop_id", "location_type", "stop_code", "stop_lat", "stop_lon", "stop_name"]
@@ -111,7 +114,8 @@ def k1(spark, sf):
 , upd as (select trip_id, 'R-new' route_id, service_id, direction_id, shape_id from trips
           where trip_id in (select cast(o_orderkey as varchar) from orders where o_orderstatus = 'F')
           union all select trip_id, 'RT', 'SV5', 0, 'SH0' from rt)
-select * from trips where trip_id not in (select trip_id from upd) union all select * from upd""")
+select *, cast(100 as bigint) created_at from trips where trip_id not in (select trip_id from upd)
+union all select *, cast(200 as bigint) from upd""")
 def k2(spark, sf):
     trips = tv.trips(spark, sf)
     f_orders = read_table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
@@ -120,7 +124,8 @@ def k2(spark, sf):
     rt_trips = tv.realtime_trips(spark, sf).select("trip_id", F.lit("RT").alias("route_id"),
                                                    F.lit("SV5").alias("service_id"), F.lit(0).alias("direction_id"),
                                                    F.lit("SH0").alias("shape_id"))
-    return tb.upsert(trips, upd.unionByName(rt_trips), ["trip_id"])
+    old = trips.withColumn("created_at", F.lit(100).cast("long"))
+    return tb.upsert(old, upd.unionByName(rt_trips), ["trip_id"], stamp=("created_at", 200))
 
 
 @register("K2_upsert_all_key_table", with_views("trip_segments", "segments") + """
@@ -132,18 +137,17 @@ def k2b(spark, sf):
     return tb.upsert(ts, again, ["trip_id", "segment_id"])
 
 
-@register("K3_partitioned_upsert", cf._w(list(cf.FEATURE_CTES), f"""
-, tr as ({cf.TRAINING_SQL})
-select obs_year, count(*) n_rows, count(distinct (id, "timestamp")) n_keys, {'round(sum(speed), 6)'} sum_speed from tr group by obs_year"""))
+@register("K3_partitioned_upsert", cp.sql(f"""
+select id, "timestamp", obs_year, segment_id, case when "timestamp" between {cf.LO} and {cf.HI - 1} and id % 2 = 0 then speed + 1000 else speed end speed
+from tr"""))
 def k3(spark, sf):
-    ts = cf.training(spark, sf)
-    path = scratch_path(spark, "analytics_data")
-    qa.assert_unique(ts, ["id", "timestamp"], "training_set")
-    tb.upsert_partitions(spark, path, ts, ["id", "timestamp", "obs_year"], "obs_year")
-    tb.upsert_partitions(spark, path, ts, ["id", "timestamp", "obs_year"], "obs_year")   # idempotent
-    t = spark.read.parquet(path)
-    return t.groupBy("obs_year").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id", "timestamp").alias("n_keys"),
-                                     F.round(F.sum("speed"), 6).alias("sum_speed"))
+    """The training sets of all weeks, then new values for half of the rows of one week: its other rows and the other weeks stay."""
+    root = scratch_path(spark, "analytics_data")
+    ts = cp.train(spark, sf)
+    weekly.upsert_week(spark, root, ts)
+    again = ts.where(F.col("timestamp").between(cf.LO, cf.HI - 1) & (F.col("id") % 2 == 0)).withColumn("speed", F.col("speed") + 1000)
+    weekly.upsert_week(spark, root, again)
+    return weekly.stored_training_set(spark, root).select("id", "timestamp", "obs_year", "segment_id", "speed")
 
 
 @register("K4_json_csv_export", cn.explore_sql("""
@@ -157,22 +161,65 @@ def k4(spark, sf):
     return ff.read_feed_csv(spark, cpath, "trips", TRIP_COLS)
 
 
-@register("K5_publish_refresh", cn.net_sql("cstops", """
+_SIZES_SQL = """
 select 'calendar' table_name, count(*) n_rows from calendar union all
 select 'stops', count(*) from cstops union all select 'trips', count(*) from rtrips union all
-select 'segments', count(*) from useg union all select 'trip_segments', count(*) from tseg"""))
+select 'segments', count(*) from useg union all select 'trip_segments', count(*) from tseg"""
+
+
+@register("K5_publish_refresh", cn.net_sql("cstops", _SIZES_SQL))
 def k5(spark, sf):
-    r = cn.refresh(spark, sf)
     root = scratch_path(spark, "static")
-    tables = {"calendar": r.calendar, "stops": r.stops, "trips": r.trips, "segments": r.segments,
-              "trip_segments": r.trip_segments}
-    tb.publish_tables(spark, root, tables)
-    out = None
-    for name in tables:
-        one = tb.read_published(spark, root, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    rj.publish_refresh(spark, root, rj.tables_of(cn.refresh(spark, sf)), at=100)
+    return rj.table_sizes(spark, root)
+
+
+def _two_refreshes(spark, sf):
+    """Two refreshes from feeds that differ: the first lacks trips and stops, the second lacks others and has some
+    changed. Returns the root and the report of the second."""
+    tables = {n: materialize(df, n) for n, df in rj.tables_of(cn.refresh(spark, sf)).items()}
+    trip, stop = F.col("trip_id").cast("long"), F.substring("stop_id", 2, 30).cast("long")
+    first = tables | {"trips": tables["trips"].where(trip % 3 != 0), "stops": tables["stops"].where(stop % 3 != 0)}
+    second = tables | {
+        "trips": tables["trips"].where(trip % 5 != 0).withColumn("route_id", F.when(trip % 7 == 0, F.lit("R-new")).otherwise(F.col("route_id"))),
+        "stops": tables["stops"].where(stop % 5 != 0).withColumn("stop_name", F.when(stop % 7 == 0, F.lit("new")).otherwise(F.col("stop_name")))}
+    root = scratch_path(spark, "static")
+    rj.publish_refresh(spark, root, first, at=100)
+    return root, rj.publish_refresh(spark, root, second, at=200)
+
+
+_FEEDS_SQL = """
+, t1 as (select * from rtrips where cast(trip_id as bigint) % 3 <> 0),
+t2 as (select * replace (case when cast(trip_id as bigint) % 7 = 0 then 'R-new' else route_id end as route_id)
+       from rtrips where cast(trip_id as bigint) % 5 <> 0),
+s1 as (select * from cstops where cast(substr(stop_id, 2) as bigint) % 3 <> 0),
+s2 as (select * replace (case when cast(substr(stop_id, 2) as bigint) % 7 = 0 then 'new' else stop_name end as stop_name)
+       from cstops where cast(substr(stop_id, 2) as bigint) % 5 <> 0)"""
+
+
+@register("T5_static_refresh", cn.net_sql("cstops", _FEEDS_SQL + """
+select *, cast(200 as bigint) created_at from t2
+union all select *, cast(100 as bigint) from t1 where trip_id not in (select trip_id from t2)"""))
+def t5(spark, sf):
+    """The trips of the published version after two refreshes (C1, Q3, K2, K5): rows of the last feed, and rows it lacks kept."""
+    root, _ = _two_refreshes(spark, sf)
+    return rj.read_refreshed(spark, root, "trips")
+
+
+def _changes_sql(name: str, a: str, b: str, key: str, value: str) -> str:
+    pair = f"select count(*) from {b} n join {a} o using ({key}) where n.{value}"
+    return (f"select '{name}' table_name, (select count(*) from {b} where {key} not in (select {key} from {a})) n_new, "
+            f"({pair} <> o.{value}) n_changed, (select count(*) from {a} where {key} not in (select {key} from {b})) n_gone, "
+            f"({pair} = o.{value}) n_same")
+
+
+@register("T5_refresh_changes", cn.net_sql("cstops", _FEEDS_SQL + "\n" + " union all ".join([
+    _changes_sql("trips", "t1", "t2", "trip_id", "route_id"), _changes_sql("stops", "s1", "s2", "stop_id", "stop_name"),
+    *[f"select '{n}', 0, 0, 0, (select count(*) from {v})" for n, v in (("calendar", "calendar"), ("segments", "useg"), ("trip_segments", "tseg"))]])))
+def t5_changes(spark, sf):
+    """What the second refresh found, per table, by key and digest."""
+    _, report = _two_refreshes(spark, sf)
+    return report.drop("n_rewritten")
 
 
 # ------------------------------------------------------------------ M1-M4, P3, O2, C6
@@ -209,6 +256,38 @@ def m3(spark, sf):
     return tb.update_rows(tv.trips(spark, sf), u, ["trip_id"])
 
 
+@register("M3_update_report", with_views("trips") + """
+, u as (select distinct cast(o_orderkey as varchar) trip_id from orders where o_orderpriority = '1-URGENT'
+        union select distinct event_type from events)
+select u.trip_id, u.trip_id in (select trip_id from trips) as found from u""")
+def m3_report(spark, sf):
+    """Which of the requested trips an update found."""
+    asked = read_table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_orderkey").cast("string").alias("trip_id")).unionByName(tv.realtime_trips(spark, sf).select("trip_id"))
+    return tb.update_report(tv.trips(spark, sf), asked, ["trip_id"])
+
+
+_DELETE_SQL = """
+, alltrips as (select * from trips union all
+  select distinct event_type, concat('R', length(event_type)), concat('SV', length(event_type) % 25),
+         cast(length(event_type) % 2 as int), concat('SH', length(event_type) % 10) from events),
+req as (select cast(o_orderkey as varchar) trip_id from orders where o_orderstatus = 'P'
+        union select distinct event_type from events union select distinct 'missing-' || event_type from events)"""
+
+
+@register("M4_delete_report", with_views("trips", "vehicle_locations") + _DELETE_SQL + """
+select trip_id, trip_id in (select trip_id from alltrips) as found,
+       trip_id in (select trip_id from alltrips) and trip_id not in (select trip_id from vehicle_locations) as deleted from req""")
+def m4_report(spark, sf):
+    """For each requested trip, whether it was found and whether it was deleted (trips still referred to are not)."""
+    rt = tv.realtime_trips(spark, sf)
+    table = tv.trips(spark, sf).unionByName(rt)
+    asked = read_table(spark, sf, "orders").where(F.col("o_orderstatus") == "P").select(
+        F.col("o_orderkey").cast("string").alias("trip_id")).unionByName(rt.select("trip_id")).unionByName(
+        rt.select(F.concat(F.lit("missing-"), "trip_id").alias("trip_id")))
+    return tb.delete_rows(table, asked, "trip_id", restrict=[tv.vehicle_locations(spark, sf)])[1]
+
+
 @register("M4_delete_trips", with_views("trips", "vehicle_locations") + """
 , alltrips as (select * from trips union all
   select distinct event_type, concat('R', length(event_type)), concat('SV', length(event_type) % 25),

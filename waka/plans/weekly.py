@@ -1,30 +1,103 @@
-"""The weekly training set as one job.
+"""The weekly training set, as a frame and as one job that ends in the stored table.
 
-P6 + J7 + X8 (matched locations of the week) are written once to the shared
-checkpoint folder: the segment averages, the neighbour pass and the hot-group check
-all read the stored rows instead of re-deriving them, and the result does not depend
-on recomputing the week's scan after an executor loss. Q1 (abort on a duplicate
-(id, timestamp)) runs where the set is written (K3) or here with ``check_keys``.
+P6 + J7 + X8 (the matched locations) are stored once, sorted by trip-day and time: the segment averages
+and the neighbour pass read the stored rows. ``run_week`` then does the rest of the job:
+
+* the training set is staged once, by week of the year; the same pass observes the row count, the
+  rows beyond the first of each (id, timestamp) and the nulls of every column (Q1, Q2);
+* a duplicate key aborts the job before anything is published (Q1); columns with many nulls are
+  reported (Q2);
+* the staged rows replace the stored rows of their keys (K3). Only the touched weeks are read; the
+  staged folder becomes part of the table as it is, and the stored rows that stay are written beside
+  it. The new version is published last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..functions.dates import local_time
 from ..operators import features as fe
 from ..operators import quality as qa
-from ..session import materialize
+from ..operators import versions as vs
+from ..operators.ordered import stored_in_order
+from ..session import scratch_path
+
+TABLE = "analytics_data"
+KEYS = ["id", "timestamp", "obs_year"]
+NULL_THRESHOLD = 0.40
 
 
-def build_training_set(locations: DataFrame, trip_segments: DataFrame, segments: DataFrame, week_start,
+def build_training_set(locations: DataFrame, trip_segments: DataFrame, segments: DataFrame, week_start=None,
                        tz: str = "UTC", check_keys: bool = False) -> DataFrame:
-    matched = materialize(fe.matched_locations(locations, trip_segments, segments, week_start, tz), "matched")
-    ts = fe.training_set(matched)
+    """The training set of one week; without ``week_start`` that of every week, each with the averages of
+    its own locations, as if the weekly job had run for each (the week is one more grouping key)."""
+    matched = fe.matched_locations(locations, trip_segments, segments, week_start, tz)
+    by = []
+    if week_start is None:
+        matched, by = matched.withColumn("week", F.date_trunc("week", local_time("timestamp", tz)).cast("date")), ["week"]
+    ts = fe.training_set(stored_in_order(matched, fe.TRIP_DAY, fe.ORDER, name="matched"), by=by)
     if check_keys:
         qa.assert_unique(ts, ["id", "timestamp"], "training_set")
     return ts
 
 
-def null_warnings(training: DataFrame, threshold: float = 0.40) -> DataFrame:
-    """Q2 report for a built training set."""
-    return qa.high_null_columns(training, threshold)
+@dataclass
+class WeekReport:
+    version: int
+    rows: int
+    replaced_parts: list[str]
+    null_counts: dict[str, int]
+
+    def high_nulls(self, threshold: float = NULL_THRESHOLD) -> list[tuple[str, int, float]]:
+        """Q2: (column, nulls, rate) of the columns whose null rate is strictly above the threshold."""
+        return [(c, n, n / self.rows) for c, n in self.null_counts.items() if self.rows and n / self.rows > threshold]
+
+
+def stage(training: DataFrame, folder: str, tz: str = "UTC") -> tuple[dict, WeekReport]:
+    """Write the training set by year and week; Q1 and Q2 come from the same pass. Raises on a repeated (id, timestamp)."""
+    week = F.date_format(F.date_trunc("week", local_time("timestamp", tz)), "yyyy-MM-dd")
+    copy = F.row_number().over(Window.partitionBy("id", "timestamp").orderBy("trip_id", "segment_id"))
+    seen = Observation("weekly_training_set")
+    names = training.columns
+    rows = (training.withColumn("_copy", copy).withColumn("_part", F.concat_ws("w", F.col("obs_year"), week))
+            .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_copy") > 1).alias("copies"),
+                     *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls{i}") for i, c in enumerate(names)]))
+    parts = vs.write_parts(rows.drop("_copy"), "_part", folder)
+    got = seen.get
+    if got["copies"]:
+        raise ValueError(f"training_set contains {got['copies']:,} duplicate ('id', 'timestamp') rows; aborting write")
+    return parts, WeekReport(0, got["rows"], sorted(parts), {c: got[f"nulls{i}"] for i, c in enumerate(names)})
+
+
+def upsert_week(spark: SparkSession, root: str, training: DataFrame, tz: str = "UTC") -> WeekReport:
+    """Q1, Q2 and K3 for a built training set; see the module's text."""
+    seen = vs.current(spark, root)
+    parts, report = stage(training, scratch_path(spark, "training_set"), tz)
+    schema = training.schema.json()
+    changes = {k: list(v) for k, v in parts.items()}
+    stored = seen["tables"].get(TABLE, {"parts": {}})["parts"]
+    touched = [k for k in parts if k in stored]
+    if touched:
+        old = vs.read_parts(spark, seen, TABLE, touched)
+        new = spark.read.schema(training.schema).parquet(*[p for k in touched for p in parts[k]])
+        week = F.date_format(F.date_trunc("week", local_time("timestamp", tz)), "yyyy-MM-dd")
+        kept = old.join(new.select(*KEYS), KEYS, "left_anti").withColumn("_part", F.concat_ws("w", F.col("obs_year"), week))
+        for k, paths in vs.write_parts(kept, "_part", scratch_path(spark, "kept_rows")).items():
+            changes[k] += paths
+    state = vs.publish(spark, root, seen, {TABLE: {"schema": schema, "parts": changes}})
+    report.version = state["version"]
+    return report
+
+
+def run_week(spark: SparkSession, root: str, locations: DataFrame, trip_segments: DataFrame, segments: DataFrame,
+             week_start, tz: str = "UTC") -> WeekReport:
+    """The weekly job: from the locations to the published table."""
+    return upsert_week(spark, root, build_training_set(locations, trip_segments, segments, week_start, tz), tz)
+
+
+def stored_training_set(spark: SparkSession, root: str) -> DataFrame:
+    return vs.read_parts(spark, vs.current(spark, root), TABLE)

@@ -5,8 +5,7 @@ T1  the feed fetcher lands one bundle file per snapshot (tick) holding both feed
     hands whole files to ``foreachBatch``, which runs the batch ingest (C2) on the
     micro-batch and appends only new (id, timestamp) keys to the table (K1), so a
     replayed batch after a failure writes nothing twice.
-T2  at-most-once per key across ticks: ``dropDuplicatesWithinWatermark`` on
-    (id, timestamp) with an event-time watermark.
+T2  the first row of each key across ticks: ``foreachBatch`` against the stored keys.
 T3  here the two feeds of a tick are joined inside the micro-batch (a snapshot bundle is
     one file, never split across micro-batches); ``merge_stream`` joins two separate
     feed streams instead.
@@ -59,17 +58,24 @@ def start_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint:
     return w.start()
 
 
+#: Where a row was landed: file by file as they came, then by place.
+ARRIVAL = ["_arrived", "_file", "_row"]
+
+
 def dedupe_stream(spark: SparkSession, landing: str, schema: str, out_path: str, checkpoint: str,
                   files_per_trigger: int = 50):
-    """Keep the first row of each (id, timestamp) key, whatever order the files land in.
+    """Keep the first row of each (id, timestamp) key in the order of arrival.
 
-    The table itself is the state: each micro-batch is anti-joined with the stored keys of the
-    dates it touches, so nothing is too late and no key is ever forgotten."""
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
+    Files are taken in the order in which they landed, so within a micro-batch the first row is that of the oldest file (ties: of
+    the smallest path, then the first place in it). The table itself is the state: each micro-batch is anti-joined with the
+    stored keys of the dates it touches, so nothing is too late and no key is ever forgotten. Nulls count as key values."""
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
+         .select("*", F.col("_metadata.file_modification_time").alias("_arrived"), F.col("_metadata.file_path").alias("_file"),
+                 F.col("_metadata.row_index").alias("_row")))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("obs_date", F.to_date(F.timestamp_seconds("timestamp")))
-        append_new_rows(batch.sparkSession, out_path, rows, ["obs_date", "id", "timestamp"], partition_by=["obs_date"])
+        append_new_rows(batch.sparkSession, out_path, rows, ["obs_date", "id", "timestamp"], partition_by=["obs_date"], order=ARRIVAL)
 
     return (s.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
