@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waka.session import materialize
 
@@ -12,6 +13,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table of at most so many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 100_000
+#: A table whose values take at most so many bytes is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 _POS_BITS = 33   # monotonically_increasing_id: partition << 33 | position
 
@@ -46,9 +49,32 @@ def shingles(w: Column, n: int = 5) -> Column:
     return let(w, of)
 
 
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value: 8 for a number, the length of a text, the sum of what an array or struct holds."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        own = F.octet_length(value)
+    elif isinstance(kind, T.ArrayType):
+        fixed = not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType))
+        own = F.size(value) * 8 if fixed else F.aggregate(value, F.lit(0).cast("long"), lambda s, x: s + _bytes(x, kind.elementType))
+    elif isinstance(kind, T.StructType):
+        own = sum((_bytes(value[f.name], f.dataType) for f in kind), F.lit(0).cast("long"))
+    else:
+        return F.lit(8).cast("long")
+    return F.greatest(F.coalesce(own, F.lit(0)), F.lit(0)).cast("long") + 8
+
+
+def is_small(table: DataFrame) -> bool:
+    """Whether the bytes of a stored table are proven to stay within BROADCAST_BYTES: its rows are added up, and the more of them than
+    could be small aren't read."""
+    most = BROADCAST_BYTES // (8 * max(1, len(table.columns)))
+    size = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in table.schema), F.lit(0).cast("long"))
+    n, total = table.limit(most + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n <= most and (total or 0) <= BROADCAST_BYTES
+
+
 def small(table: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast only if a count of its rows proves it small."""
-    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+    """A stored table, marked for broadcast only if its measured size proves it small."""
+    return F.broadcast(table) if is_small(table) else table
 
 
 def number_rows(df: DataFrame, *order: Column, name: str = "row_no") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from waka.llm.common import materialize, read, small
 
 WINDOW = 35
-ROUNDS = 4
+ROUNDS = 3
 CHUNK = 500_000        # words that numpy works on at once
 CACHED = 1_000_000     # words whose hashes a worker keeps
 
@@ -43,7 +43,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _ROW: dict[str, int] = {}
-_HASHES: list[np.ndarray] = [np.zeros((2, 0), dtype=np.uint64)]
+_HASHES: list[np.ndarray] = [np.zeros((2, 1 << 12), dtype=np.uint64)]      # grows by doubling
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
@@ -53,12 +53,14 @@ def word_hashes(words: list[str]) -> np.ndarray:
     row = here._ROW
     if len(row) > CACHED:
         row.clear()
-        here._HASHES[:] = [np.zeros((2, 0), dtype=np.uint64)]
     new = [w for w in set(words) if w not in row]
     if new:
-        whole = [xxhash.xxh3_128_intdigest(w.encode("utf-8", "surrogatepass")) for w in new]
-        row.update(zip(new, range(len(row), len(row) + len(new)), strict=True))
-        here._HASHES[:] = [np.hstack([here._HASHES[0], np.array([[x & _ALL for x in whole], [x >> 64 for x in whole]], dtype=np.uint64)])]
+        old, end = len(row), len(row) + len(new)
+        while here._HASHES[0].shape[1] < end:
+            here._HASHES[:] = [np.hstack([here._HASHES[0], np.zeros_like(here._HASHES[0])])]
+        whole = b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in new)
+        here._HASHES[0][:, old:end] = np.frombuffer(whole, dtype=">u8").reshape(-1, 2).T
+        row.update(zip(new, range(old, end), strict=True))
     return here._HASHES[0][:, np.fromiter(map(row.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
@@ -111,8 +113,9 @@ class Symbols:
         return out
 
 
-def pick(levels: list[Symbols], at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window start: the key of the symbol that the window picks, and the symbol's place (start and round)."""
+def pick(levels: list[Symbols], words: Hashes, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window start: the key of the symbol that the window picks, and the symbol's place (start and round). The key stands for
+    the symbol with all words that settle it, for a window holds these too."""
     key, place = np.zeros(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.int64)
     todo = np.arange(len(at))
     for k in range(len(levels) - 1, -1, -1):
@@ -128,7 +131,7 @@ def pick(levels: list[Symbols], at: np.ndarray, window: int) -> tuple[np.ndarray
             open_ = open_[b[open_] - a[open_] > step]
         some = a < b
         j = best[some]
-        key[todo[some]] = mix(s.name[j] + U(k))
+        key[todo[some]] = mix(s.name[j] + words.of(s.left[j], s.right[j]) + U(k))
         place[todo[some]] = s.start[j] * 16 + k
         todo = todo[~some]
         if not todo.size:
@@ -147,10 +150,11 @@ def stretches(texts: list[list[str]], window: int = WINDOW, rounds: int = ROUNDS
     n_windows = size - window + 1
     of_text = np.repeat(np.arange(len(texts)), n_windows)
     at = np.arange(len(of_text)) + (offsets[:-1] - np.concatenate([[0], np.cumsum(n_windows)[:-1]]))[of_text]
-    key, place = pick(levels, at, window)
+    whole = Hashes(hashes)
+    key, place = pick(levels, whole, at, window)
     first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (of_text[1:] != of_text[:-1])]))
     count = np.diff(np.append(first, len(at)))
-    words = Hashes(hashes).of(at[first], at[first] + count + window - 1)
+    words = whole.of(at[first], at[first] + count + window - 1)
     owner = of_text[first]
     cuts = np.searchsorted(owner, np.arange(1, len(texts)))
     parts = [np.split(x, cuts) for x in (key[first].view(np.int64), words.view(np.int64), at[first] - offsets[owner], count)]
