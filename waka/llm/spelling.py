@@ -16,6 +16,7 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,20 @@ VISITS = 16 * PART     # visits to a part that one task takes; a part with more
 LEAF = 8               # words of a trie node that are compared at once
 FLUSH = 200_000        # words that a task counts before it hands them on
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LOWER = str.maketrans(UPPER, LOWER)
 
 
-def words_of(doc_id: str | None, text: str, every: int = EVERY) -> Counter:
-    """The words of a text with their counts: runs of letters, A-Z lower-cased, some of them short of a letter."""
+@cache
+def runs_of(min_length: int) -> re.Pattern:
+    """Maximal runs of so many letters at least."""
+    return re.compile(f"[A-Za-zÀ-ÿ]{{{min_length},}}")
+
+
+def words_of(doc_id: str | None, text: str, every: int = EVERY, min_length: int = MIN_LENGTH) -> Counter:
+    """The words of a text with their counts: runs of letters, A-Z lower-cased, some of them short of a letter. Runs
+    below ``min_length`` are left out, for words are no longer than their runs."""
     low: Counter = Counter()
-    for run, n in Counter(_RUN.findall(text)).items():
+    for run, n in Counter(runs_of(min_length).findall(text)).items():
         low[run.lower() if run.isascii() else run.translate(_LOWER)] += n
     if doc_id is None:
         return low
@@ -65,7 +72,7 @@ def count_words(docs: DataFrame, every: int = EVERY, min_length: int = MIN_LENGT
         sums: Counter = Counter()
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                for w, n in words_of(doc_id, text, every).items():
+                for w, n in words_of(doc_id, text, every, min_length).items():
                     if len(w) >= min_length:
                         sums[w] += n
                 if len(sums) >= FLUSH:
@@ -98,15 +105,18 @@ def one_edit(a: str, b: str) -> bool:
     return a[i:] == b[i + 1:] if len(a) < len(b) else a[i + 1:] == b[i + 1:]
 
 
-def parts_in_reach(vector: tuple[int, ...], firsts: list[tuple[int, ...]]) -> list[int]:
-    """The parts (by the first vector of each, in order) that may hold a vector within one surplus and one deficit of this one."""
+def parts_in_reach(vector: tuple[int, ...], firsts: list[tuple[int, ...]], least: int = 0) -> list[int]:
+    """The parts from ``least`` on (by the first vector of each, in order) that may hold a vector within one surplus and one deficit
+    of this one."""
     found: set[int] = set()
     todo = [((), 0, len(firsts) - 1, 1, 1)]
     while todo:
         prefix, lo, hi, surplus, deficit = todo.pop()
+        if hi < least:
+            continue
         depth = len(prefix)
         if lo == hi or depth == GROUPS:
-            found.update(range(lo, hi + 1))
+            found.update(range(max(lo, least), hi + 1))
             continue
         own = vector[depth]
         for c in range(max(0, own - deficit), own + surplus + 1):
@@ -126,11 +136,13 @@ def search(trie: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np
         if not who.size:
             continue
         if hi - lo <= LEAF or depth == GROUPS:
+            own = asked[who, depth:]
             for row in range(lo, hi):
-                more = trie[row, depth:] - asked[who, depth:]
-                fits = (np.maximum(more, 0).sum(1) <= surplus) & (np.maximum(-more, 0).sum(1) <= deficit)
-                if fits.any():
-                    yield who[fits], np.full(int(fits.sum()), row)
+                more = trie[row, depth:] - own
+                up = np.maximum(more, 0).sum(1)
+                fits = np.flatnonzero((up <= surplus) & (up - more.sum(1) <= deficit))
+                if fits.size:
+                    yield who[fits], np.full(fits.size, row)
             continue
         column = trie[lo:hi, depth]
         edges = [0, *(np.flatnonzero(np.diff(column)) + 1).tolist(), hi - lo]
@@ -159,14 +171,17 @@ def near_words(words: DataFrame) -> DataFrame:
     firsts = spark.sparkContext.broadcast([p for _, p in cuts])
 
     @F.pandas_udf("array<int>")
-    def reach(w: pd.Series) -> pd.Series:
-        return pd.Series([np.array(parts_in_reach(tuple(v), firsts.value), dtype=np.int32) for v in vectors(w.tolist()).tolist()])
+    def reach(w: pd.Series, part: pd.Series) -> pd.Series:
+        return pd.Series([np.array(parts_in_reach(tuple(v), firsts.value, p), dtype=np.int32)
+                          for v, p in zip(vectors(w.tolist()).tolist(), part.tolist(), strict=True)])
 
-    visits = materialize(placed.select("word", "n", F.explode(reach("word")).alias("part")), "spelling-visits")
+    # a pair of words in two parts is found once, by the word of the earlier part, and counts for both
+    visits = materialize(placed.select("word", "n", F.col("part").alias("home"), F.explode(reach("word", "part")).alias("part")), "spelling-visits")
     tasks = small(materialize(visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / VISITS).cast("int").alias("tasks"))
                               .withColumnRenamed("part", "p"), "spelling-tasks"))
     visits = visits.join(tasks, F.col("part") == F.col("p")).select(
-        "part", F.pmod(F.xxhash64("word"), F.col("tasks")).cast("int").alias("task"), F.lit(1).alias("kind"), "word", "n")
+        "part", F.pmod(F.xxhash64("word"), F.col("tasks")).cast("int").alias("task"), F.when(F.col("home") == F.col("part"), 1).otherwise(2).alias("kind"),
+        "word", "n")
     index = placed.join(tasks, F.col("part") == F.col("p")).select(
         "part", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(0).alias("kind"), "word", "n")
 
@@ -180,24 +195,30 @@ def near_words(words: DataFrame) -> DataFrame:
                 if len(own):
                     held += own["word"].tolist()
                     ns += own["n"].tolist()
-                asking = rows[rows["kind"] == 1]
+                asking = rows[rows["kind"] > 0]
                 if not len(asking):
                     continue
                 if trie is None:
                     grid = vectors(held)
                     order = np.lexsort(grid.T[::-1])
                     trie, held, ns = grid[order], [held[i] for i in order], [ns[i] for i in order]
-                asked = asking["word"].tolist()
-                best: dict[int, list] = {}
+                asked, n_asked, far = asking["word"].tolist(), asking["n"].tolist(), (asking["kind"] == 2).tolist()
+                best: dict[str, list] = {}
+
+                def note(word: str, near: str, n: int) -> None:
+                    b0 = best.setdefault(word, [0, -1, ""])
+                    b0[0] += 1
+                    if n > b0[1] or (n == b0[1] and near < b0[2]):
+                        b0[1:] = n, near
+
                 for who, row in search(trie, vectors(asked)):
                     for i, j in zip(who.tolist(), row.tolist(), strict=True):
                         if one_edit(asked[i], held[j]):
-                            b0 = best.setdefault(i, [0, -1, ""])
-                            b0[0] += 1
-                            if ns[j] > b0[1] or (ns[j] == b0[1] and held[j] < b0[2]):
-                                b0[1:] = ns[j], held[j]
+                            note(asked[i], held[j], ns[j])
+                            if far[i]:
+                                note(held[j], asked[i], n_asked[i])
                 if best:
-                    yield pd.DataFrame({"word": [asked[i] for i in best], "n_near": [v[0] for v in best.values()],
+                    yield pd.DataFrame({"word": list(best), "n_near": [v[0] for v in best.values()],
                                         "near": [v[2] for v in best.values()], "near_n": [v[1] for v in best.values()]})
 
     dealt = index.unionByName(visits).repartition("part", "task").sortWithinPartitions("part", "task", "kind")
