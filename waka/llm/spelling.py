@@ -176,9 +176,12 @@ def near_words(words: DataFrame) -> DataFrame:
                           for v, p in zip(vectors(w.tolist()).tolist(), part.tolist(), strict=True)])
 
     # a pair of words in two parts is found once, by the word of the earlier part, and counts for both
-    visits = materialize(placed.select("word", "n", F.col("part").alias("home"), F.explode(reach("word", "part")).alias("part")), "spelling-visits")
-    tasks = small(materialize(visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / VISITS).cast("int").alias("tasks"))
-                              .withColumnRenamed("part", "p"), "spelling-tasks"))
+    visits = materialize(placed.select("word", "n", F.col("part").alias("home")).repartition(len(cuts), "home")
+                         .select("word", "n", "home", F.explode(reach("word", "home")).alias("part")), "spelling-visits")
+    tasks = materialize(visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / VISITS).cast("int").alias("tasks"))
+                         .withColumnRenamed("part", "p"), "spelling-tasks")
+    n_tasks = tasks.agg(F.sum("tasks")).first()[0]
+    tasks = small(tasks)
     visits = visits.join(tasks, F.col("part") == F.col("p")).select(
         "part", F.pmod(F.xxhash64("word"), F.col("tasks")).cast("int").alias("task"), F.when(F.col("home") == F.col("part"), 1).otherwise(2).alias("kind"),
         "word", "n")
@@ -221,7 +224,8 @@ def near_words(words: DataFrame) -> DataFrame:
                     yield pd.DataFrame({"word": list(best), "n_near": [v[0] for v in best.values()],
                                         "near": [v[2] for v in best.values()], "near_n": [v[1] for v in best.values()]})
 
-    dealt = index.unionByName(visits).repartition("part", "task").sortWithinPartitions("part", "task", "kind")
+    # as many partitions as tasks: the searches are long for the few bytes they read
+    dealt = index.unionByName(visits).repartition(n_tasks, "part", "task").sortWithinPartitions("part", "task", "kind")
     found = dealt.mapInPandas(run, "word string, n_near long, near string, near_n long")
     first = F.min(F.struct((-F.col("near_n")).alias("minus"), "near"))
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), first.alias("b"))
