@@ -131,20 +131,20 @@ def identify(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with lang_pred, score and ambiguous, from column text alone.
 
     A text that is null or has no letter, or any text when nothing was learned, is ``und`` with score 0. Ties go to the language first in
-    code point order; repeated rows are judged alike; an empty table gives an empty result.
+    code point order; repeated rows are judged alike; an empty table gives an empty result. Clashing columns are replaced.
     """
-    kept = docs.select(*columns, F.col("text").alias("__text"))
-    spread = kept.sparkSession.sparkContext.broadcast(model)      # SLOTS x bits floats
+    spread = docs.sparkSession.sparkContext.broadcast(model)      # SLOTS x bits floats
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = spread.value
         for b in batches:
-            got = [decode(margins(t, m), m) if has_letter(t) else (UNKNOWN, 0.0, False) for t in b.pop("__text")]
-            b["lang_pred"], b["score"], b["ambiguous"] = map(list, zip(*got, strict=True)) if got else ([], [], [])
-            yield b
+            got = [decode(margins(t, m), m) if has_letter(t) else (UNKNOWN, 0.0, False) for t in b]
+            yield pd.DataFrame(got, columns=["lang_pred", "score", "ambiguous"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return kept.mapInPandas(run, f"{kinds}, lang_pred string, score double, ambiguous boolean")
+    # only the text goes to Python: the other columns stay as they are
+    own = [F.col(f"`{c}`") for c in columns if c not in ("lang_pred", "score", "ambiguous")]
+    return docs.select(*own, judge(F.col("text")).alias("__judged")).select(*own, "__judged.*")
 
 
 def bucket(doc_id: Column, n: int) -> Column:

@@ -101,18 +101,17 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
     rows count alike; other columns are dropped. ``vocabulary`` is a file of public_tokenizers.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import public_tokenizers
 
         count = counter(public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
         for b in batches:
-            tokens = [count(t) if t else 0 for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": b["n_bytes"], "n_tokens": tokens})
+            yield pd.Series([count(t) if t else 0 for t in b], dtype="int64")
 
-    sized = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    kind = sized.schema["doc_id"].dataType.simpleString()
-    return (sized.mapInPandas(run, f"doc_id {kind}, n_bytes long, n_tokens long")
-            .withColumn("over_limit", F.col("n_tokens") > limit))
+    # only the text goes to Python: the id stays as it is
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return docs.select("doc_id", n_bytes, tokens(F.col("text")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
