@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waka.llm.common import BROADCAST_ROWS, materialize, read, small
+from waka.llm.common import BROADCAST_ROWS, LOWER, UPPER, materialize, read, small
 
 N, PERCENT = 5, 80
 FRAGMENTS = 8
@@ -209,9 +209,9 @@ def text_groups(docs: DataFrame) -> DataFrame:
     a component_id, as texts with one doc_id may; null for a text without n-grams."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    first = materialize(hashed.mapInPandas(_digest, f"kind int, doc_id {kind}, text_hash long, n long, key long, counts binary"), "join-digests")
-    rows = first.where(F.col("kind") == 0).select("doc_id", "text_hash", "n", "key")
+    hashed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))    # pandas rounds long ids beside a null
+    first = materialize(hashed.mapInPandas(_digest, "kind int, doc_id string, text_hash long, n long, key long, counts binary"), "join-digests")
+    rows = first.where(F.col("kind") == 0).select(F.col("doc_id").cast(kind).alias("doc_id"), "text_hash", "n", "key")
     counts = docs.sparkSession.sparkContext.broadcast(_count_table(first))
     classes = materialize(rows.where(F.col("n") > 0).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n")), "join-classes")
@@ -340,3 +340,16 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_aggregate(w[i:i + {N - 1}], 'string_agg', ' ') AS gram
+      FROM d, unnest(range(1, greatest(len(w) - {N - 2}, 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= {PERCENT} * (x.n + y.n - shared)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c ON d.doc_id = c.doc_id
+"""
