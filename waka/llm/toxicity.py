@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waka.llm.common import materialize, read
@@ -30,7 +30,7 @@ COMMON = 3000          # common words that plain landmarks are chosen from, at m
 HELD = 4               # one in so many labelled documents calibrates and is not fitted on
 SUB, DECAY = 3, 0.6
 LONGEST = 31           # letters of a piece; longer words are read in overlapping pieces
-CACHED = 200_000       # tokens whose vectors a worker keeps
+CACHED = 200_000       # units whose vectors a worker keeps in each of two generations
 THRESHOLD = 0.7
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -62,31 +62,23 @@ def _grid(words: list[str]) -> np.ndarray:
     return text.view(np.uint32).reshape(len(words), -1)[:, :max(1, max(map(len, words), default=1))]
 
 
+@functools.cache
+def _decays(n: int) -> np.ndarray:
+    """Powers of DECAY by distance, of each place to those before it."""
+    far = np.arange(n)[:, None] - np.arange(n)[None, :]
+    return np.where(far >= 0, DECAY ** np.maximum(far, 0), 0.0)
+
+
 def raw_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Subsequence kernel of each row of a with the same row of b (code points; 0 is past the end)."""
     n, la, lb = len(a), a.shape[1], b.shape[1]
-    same = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0)
-    kp = np.ones((n, la + 1, lb + 1))
-    for step in range(1, SUB + 1):
-        if step == SUB:
-            return (DECAY ** 2 * same * kp[:, :la, :lb]).sum((1, 2))
-        new = np.zeros_like(kp)
-        for i in range(1, la + 1):
-            run = np.zeros(n)
-            for j in range(1, lb + 1):
-                run = DECAY * run + DECAY ** 2 * same[:, i - 1, j - 1] * kp[:, i - 1, j - 1]
-                new[:, i, j] = DECAY * new[:, i - 1, j] + run
-        kp = new
-    return np.zeros(n)
-
-
-def common_length(words: np.ndarray, masks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Longest common subsequence of each word (letter numbers; 0: a letter of no landmark) with each landmark, bit-parallel."""
-    v = np.full((len(words), len(sizes)), 0xFFFFFFFF, dtype=np.uint32)
-    for j in range(words.shape[1]):
-        u = v & masks[words[:, j]]
-        v = (v + u) | (v - u)
-    return np.bitwise_count(~v & ((np.uint32(1) << sizes.astype(np.uint32)) - np.uint32(1)))
+    same = DECAY ** 2 * ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0))
+    ahead = np.ones((n, la, lb))       # weight of the common subsequences that end before each pair of places
+    for _ in range(SUB - 1):
+        ends = _decays(la) @ (same * ahead) @ _decays(lb).T
+        ahead = np.zeros((n, la, lb))
+        ahead[:, 1:, 1:] = ends[:, :-1, :-1]
+    return (same * ahead).sum((1, 2))
 
 
 @dataclass
@@ -103,10 +95,6 @@ class Model:
         for c, i in letters.items():
             self.number[ord(c)] = i
         self.sizes = np.array([len(w) for w in self.landmarks], dtype=np.int64)
-        self.masks = np.zeros((len(letters) + 1, len(self.landmarks)), dtype=np.uint32)
-        for k, w in enumerate(self.landmarks):
-            for j, c in enumerate(w):
-                self.masks[letters[c], k] |= np.uint32(1 << j)
         self.grid = _grid(self.landmarks)
         self.norm = np.sqrt(raw_kernel(self.grid, self.grid))
         self.base = len(letters) + 1
@@ -122,6 +110,18 @@ class Model:
     def _code(self, letters: np.ndarray, at: np.ndarray) -> np.ndarray:
         return (letters[:, at[0]] * self.base + letters[:, at[1]]) * self.base + letters[:, at[2]]
 
+    @functools.cached_property
+    def place(self) -> np.ndarray | None:
+        """Where each subsequence (by its number) stands in codes, -1 if no landmark holds it; None if that would be too large."""
+        if self.base ** SUB > 1 << 23:
+            return None
+        place = np.full(self.base ** SUB, -1, dtype=np.int32)
+        place[self.codes] = np.arange(len(self.codes))
+        return place
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "place"}
+
     def kernel(self, words: list[str]) -> np.ndarray:
         """Normalised kernel of words with landmarks, squared (again a kernel).
 
@@ -130,11 +130,7 @@ class Model:
         out = np.zeros((len(words), len(self.landmarks)))
         if not words or not len(self.codes):
             return out
-        size = np.array([len(w) for w in words])
-        place = None
-        if self.base ** SUB <= 1 << 23:
-            place = np.full(self.base ** SUB, -1, dtype=np.int32)
-            place[self.codes] = np.arange(len(self.codes))
+        size, place = np.array([len(w) for w in words]), self.place
         for n in np.unique(size):
             if n < SUB:
                 continue
@@ -276,8 +272,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
              .union(count.orderBy(F.desc("clean"), "unit").limit(COMMON)).distinct().toPandas())
     picked = pick_landmarks(stats, n1, n0)
     blank = Model(picked, np.zeros(len(picked)), -1.0, 1.0, 0.0)
-    seen = some.select("text", "toxic", "weight", "held").mapInPandas(
-        _scorer(blank, ["toxic", "weight", "held"], vectors=True), "toxic int, weight double, held boolean, vector binary").toPandas()
+
+    @F.pandas_udf("binary")
+    def vector(text: pd.Series) -> pd.Series:
+        return pd.Series([v.tobytes() for v in text_vectors(blank, text.tolist())], dtype=object)
+
+    seen = some.select("toxic", "weight", "held", vector("text").alias("vector")).toPandas()
     seen = seen.sort_values(["toxic", "held", "weight", "vector"])      # one order, however the rows were dealt
     vectors = np.frombuffer(b"".join(seen["vector"]), dtype=np.uint8).reshape(len(seen), len(picked))
     toxic, held = (seen["toxic"] == 1).to_numpy(float), seen["held"].to_numpy(bool)
@@ -289,71 +289,77 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-_KEPT: dict[str, int] = {}      # the place of a token's vector in _ROWS
-_ROWS: list[np.ndarray] = []
-_KEPT_FOR: list[list[str]] = []
+class Kept:
+    """The vectors of units that a worker has met, in two generations of CACHED: when the younger is full it becomes the older, and the older
+    is dropped but for what is met again."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.young, self.old = {}, {}
+        self.rows = np.zeros((0, len(model.landmarks)), dtype=np.uint8)
+        self.old_rows = self.rows
+
+    def find(self, units_of_texts: list[set[str]]) -> np.ndarray:
+        """The largest kernel with each landmark of any unit of each text, in steps of 1/255."""
+        wanted = set().union(*units_of_texts)
+        fresh = sorted(u for u in wanted if u not in self.young)
+        again = [u for u in fresh if u in self.old]
+        fresh = [u for u in fresh if u not in self.old]
+        if len(self.young) + len(fresh) + len(again) > CACHED and self.young:
+            self.old, self.old_rows = self.young, self.rows
+            self.young, self.rows = {}, self.rows[:0]
+            return self.find(units_of_texts)
+        new = np.vstack([self.old_rows[[self.old[u] for u in again]], self.model.shades(fresh)]) if again else self.model.shades(fresh)
+        self.young.update(zip([*again, *fresh], range(len(self.rows), len(self.rows) + len(new)), strict=True))
+        self.rows = np.vstack([self.rows, new]) if len(new) else self.rows
+        out = np.zeros((len(units_of_texts), self.rows.shape[1]), dtype=np.uint8)
+        for i, own in enumerate(units_of_texts):
+            if own:
+                out[i] = self.rows[[self.young[u] for u in own]].max(0)
+        return out
+
 
+_KEPT: list[Kept] = []
 
-def _token_vectors(model: Model, fresh: list[str]) -> np.ndarray:
-    """For each token and landmark, the kernel of the closest of the token's units, in steps of 1/255."""
-    parts = [units(t) for t in fresh]
-    words = sorted({u for p in parts for u in p})
-    shade = np.vstack([model.shades(words), np.zeros((1, len(model.landmarks)), dtype=np.uint8)])
-    number = {u: i for i, u in enumerate(words)}
-    flat = [i for p in parts for i in ([number[u] for u in p] or [len(words)])]
-    first = np.cumsum([0] + [max(1, len(p)) for p in parts])[:-1]
-    return np.maximum.reduceat(shade[flat], first, axis=0) if parts else shade[:0]
 
+def text_vectors(model: Model, texts: list[str | None]) -> np.ndarray:
+    """The vector of each text; a worker keeps those of units for one list of landmarks."""
+    from waka.llm import toxicity as here      # the worker's own module, which outlives a task
 
-def _scorer(model: Model, columns: list[str], vectors: bool = False):
-    """Adds a text's value or, for the fit, its vector. A worker keeps the vectors of CACHED tokens for one list of landmarks."""
+    if not here._KEPT or here._KEPT[0].model.landmarks != model.landmarks:
+        here._KEPT[:] = [Kept(model)]
+    out, at = np.zeros((len(texts), len(model.landmarks)), dtype=np.uint8), 0
+    while at < len(texts):
+        some, end, n = [], at, 0
+        while end < len(texts) and n < 2_000_000:
+            some.append({u for t in tokens(texts[end]) for u in units(t)} if texts[end] else set())
+            n += len(texts[end] or "")
+            end += 1
+        out[at:end] = here._KEPT[0].find(some)
+        at = end
+    return out
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from waka.llm import toxicity as here      # the worker's own module, which outlives a task
 
-        kept, k = here._KEPT, len(model.landmarks)
-        if here._KEPT_FOR != [model.landmarks]:
-            kept.clear()
-            here._KEPT_FOR[:] = [model.landmarks]
-            here._ROWS[:] = [np.zeros((0, k), dtype=np.uint8)]
+def score(model: Model, text: Column) -> Column:
+    """Between 0 and 1, higher for texts likelier to be toxic. Null and empty texts score as a text without any insult; whole texts are read."""
+
+    @F.pandas_udf("double")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            out = np.zeros((len(b), k), dtype=np.uint8)
-            texts = b["text"].tolist()
-            at = 0
-            while at < len(texts):
-                split, end, n = [], at, 0
-                while end < len(texts) and n < 2_000_000:
-                    split.append(list(tokens(texts[end])) if texts[end] else [])
-                    n += len(texts[end] or "")
-                    end += 1
-                new = {t for s in split for t in s if t not in kept}
-                if len(kept) + len(new) > CACHED:
-                    kept.clear()
-                    here._ROWS[:] = [np.zeros((0, k), dtype=np.uint8)]
-                    new = {t for s in split for t in s}
-                fresh = sorted(new)
-                kept.update(zip(fresh, range(len(kept), len(kept) + len(fresh)), strict=True))
-                here._ROWS[:] = [rows := np.vstack([here._ROWS[0], _token_vectors(model, fresh)])]
-                for i, s in enumerate(split, at):
-                    if s:
-                        out[i] = rows[[kept[t] for t in s]].max(0)
-                at = end
-            yield pd.DataFrame({c: b[c] for c in columns} | ({"vector": [v.tobytes() for v in out]} if vectors else {"value": model.values(out)}))
-
-    return run
+            value = np.clip(model.values(text_vectors(model, b.tolist())), -3, 3)
+            yield pd.Series(1 / (1 + np.exp(-(model.slope * value + model.offset))))
+
+    return of(text)
 
 
 def score_documents(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from THRESHOLD), from column text alone.
 
-    Null and empty texts score as a text without any insult; whole texts are read; repeated rows score alike.
+    Repeated rows score alike; columns of these names are replaced; only the text goes to Python.
     """
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    need = [c for c in dict.fromkeys([*columns, "text"])]
-    got = docs.select(*need).mapInPandas(_scorer(model, columns), f"{kinds}, value double")
-    z = F.lit(model.slope) * F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.col("value"))) + F.lit(model.offset)
-    return (got.withColumn("score", 1 / (1 + F.exp(-z))).drop("value")
-            .withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)))
+    own = [F.col(f"`{c}`") for c in columns if c not in ("score", "predicted")]
+    return docs.select(*own, score(model, F.col("text")).alias("score")).withColumn(
+        "predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
