@@ -14,7 +14,6 @@ from waka.llm.common import WORD, materialize, read, small
 
 WEIGHTS = (5, 2, 1)     # of the sources by code point, repeating
 MAX_EPOCHS = 3
-BUCKET_ROWS = 2048      # rows of a source whose prefix sum one task forms at a time
 SEED = "mix-1"
 
 
@@ -48,41 +47,89 @@ def source_plan(sized: DataFrame) -> DataFrame:
         free["level"] * F.col("weight")).alias("target"))
 
 
+def keyed(docs: DataFrame, size: Column, weight: Column, seed: str = SEED) -> DataFrame:
+    """``docs`` with ``__size``, ``__key`` and ``__tie``, a hash of the whole row: the order in which a source's rows are taken is (key, doc_id, size, tie)."""
+    w = F.when(weight > 0, weight).otherwise(F.lit(1.0)).cast("double")
+    return docs.withColumns({"__size": F.coalesce(size.cast("long"), F.lit(0).cast("long")),
+                             "__key": -F.log(uniform(F.col("doc_id"), seed)) / w,
+                             "__tie": F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])})
+
+
+def walk(sized: DataFrame) -> DataFrame:
+    """Of stored rows with source, doc_id, __size, __key and __tie: the rows with source_size, target, ``epochs`` (times every row of the source is
+    taken) and ``extra`` (1 for the rows at the start of the source's order that are taken once more).
+
+    All rows are range-partitioned and sorted by source and order, so a hot source, id or key is cut like any other stretch, and equal rows by
+    their place; a row's prefix sum is that of its partition's rows before it and of the partitions before.
+    """
+    plan = source_plan(sized.select("source", F.col("__size").alias("size"))).withColumnsRenamed({"source": "__name", "rank": "__src"})
+    own = (sized.join(small(materialize(plan, "mix-plan")), F.col("source").eqNullSafe(F.col("__name"))).drop("__name", "n_rows")
+           .withColumn("__scan", F.monotonically_increasing_id()))
+    order = [F.col(c) for c in ("__src", "__key", "doc_id", "__size", "__tie", "__scan")]
+    stored = materialize(own.repartitionByRange(*order).sortWithinPartitions(*order).drop("__scan")
+                         .withColumn("__place", F.monotonically_increasing_id()), "mix-order")
+    stored = stored.withColumn("__part", F.shiftright("__place", 33))
+    sums = stored.groupBy("__src", "__part").agg(F.sum("__size").alias("__sum"))
+    ahead = Window.partitionBy("__src").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)      # one row per source and partition
+    sums = sums.select(F.col("__src").alias("__s"), F.col("__part").alias("__p"), F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__ahead"))
+    within = Window.partitionBy("__src", "__part").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("__ahead") + F.coalesce(F.sum("__size").over(within), F.lit(0))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1)).cast("int")
+    rest = F.col("target") - F.col("epochs") * F.col("source_size")
+    return (stored.join(small(materialize(sums, "mix-sums")), (F.col("__src") == F.col("__s")) & (F.col("__part") == F.col("__p")))
+            .withColumn("__start", start).withColumn("epochs", epochs)
+            .withColumn("extra", F.when((rest > 0) & (2 * F.col("__start") + F.col("__size") <= 2 * rest), 1).otherwise(0))
+            .drop("__s", "__p", "__ahead", "__start", "__src", "__part", "__place"))
+
+
 def mix(docs: DataFrame, size: Column, weight: Column, seed: str = SEED) -> DataFrame:
     """``docs`` (with doc_id and source) plus size, source_size, target, ``copies`` (times the mix takes
     the document) and ``taken`` (words).
 
     A source's taken words miss its target by at most half a document. Documents of size 0 are taken
-    with no words. Null sources form one source, sorted last; null ids share one key; equal rows
-    tie and trade places only with each other; a weight that is null or not positive counts as 1.
-    The prefix sums are cut into buckets of the key, so no source meets in one task. Clashing
-    columns (size, source_size, target, copies, taken) are replaced.
+    with no words. Null sources form one source, sorted last; null ids share one key; rows of one key are ordered by a hash of the
+    row, and equal rows trade places only with each other; a weight that is null or not positive counts as 1. An empty table gives an empty
+    result. Clashing columns (size, source_size, target, copies, taken) are replaced.
     """
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    w = F.when(weight > 0, weight).otherwise(F.lit(1.0))
-    sized = docs.withColumns({"__size": F.coalesce(size.cast("long"), F.lit(0).cast("long")), "__w": w.cast("double")})
-    sized = materialize(sized.select(*[F.col(f"`{c}`") for c in own], F.col("__size").alias("size"), F.col("__w").alias("__w"),
-                                     (-F.log(uniform(F.col("doc_id"), seed)) / F.col("__w")).alias("__key")), "mix-sized")
-    plan = source_plan(sized).withColumnsRenamed({"source": "__name", "rank": "__src"})
-    keyed = (sized.join(small(materialize(plan, "mix-plan")), F.col("source").eqNullSafe(F.col("__name")))
-             .withColumn("__nb", F.ceil(F.col("n_rows") / BUCKET_ROWS))
-             # 1 - exp(-key) rises with the key and is close to uniform: a bucket is a stretch of the key order
-             .withColumn("__bucket", F.least(F.floor((1 - F.exp(-F.col("__key") * 1.5)) * F.col("__nb")), F.col("__nb") - 1)))
-    sums = keyed.groupBy("__src", "__bucket").agg(F.sum("size").alias("__sum"))
-    ahead = Window.partitionBy("__src").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("__src").alias("__s"), F.col("__bucket").alias("__b"),
-                       F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__ahead"))
-    within = (Window.partitionBy("__src", "__bucket").orderBy("__key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    start = F.col("__ahead") + F.coalesce(F.sum("size").over(within), F.lit(0))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1))
-    rest = F.col("target") - epochs * F.col("source_size")
-    return (keyed.join(sums, (F.col("__src") == F.col("__s")) & (F.col("__bucket") == F.col("__b")))
-            .withColumn("__start", start)
-            .withColumn("copies", (epochs + F.when((rest > 0) & (2 * F.col("__start") + F.col("size") <= 2 * rest), 1)
-                                   .otherwise(0)).cast("int"))
-            .withColumn("taken", F.col("copies") * F.col("size"))
-            .select(*[F.col(f"`{c}`") for c in own], "size", "source_size", "target", "copies", "taken"))
+    row = F.struct(*[F.col(f"`{c}`") for c in own])
+    sized = keyed(docs, size, weight, seed).select("source", "doc_id", "__size", "__key", "__tie", row.alias("__row"))
+    got = walk(materialize(sized, "mix-sized"))
+    copies = F.col("epochs") + F.col("extra")
+    return got.select("__row.*", F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"),
+                      (copies * F.col("__size")).alias("taken"))
+
+
+def taken_rows(docs: DataFrame, size: Column, weight: Column, seed: str = SEED) -> DataFrame:
+    """``docs``, each row as often as the mix takes it, none of its columns changed.
+
+    The rows of a source that are taken once more are those up to one place in its order. That place is found on narrow rows
+    without the text, and every row is then judged by itself, so no text is shuffled. Rows equal to the one at that
+    place can only be told from it by their number: as many of them stay as the mix takes.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = keyed(docs, size, weight, seed).select("source", "doc_id", "__size", "__key", "__tie", row.alias("__row"))
+    at = F.struct("__key", "doc_id", "__size", "__tie")
+    mixed = materialize(walk(materialize(rows.drop("__row"), "mix-sized")).select("source", at.alias("at"), "epochs", "extra"), "mix-walked")
+    per = mixed.groupBy("source").agg(F.max("epochs").alias("epochs"), F.max(F.when(F.col("extra") == 1, F.col("at"))).alias("last"))
+    per = materialize(per.withColumnRenamed("source", "__name"), "mix-last")
+    here = F.col("source").eqNullSafe(F.col("__name"))
+    equal = (mixed.select("source", "at", "extra").join(small(per), here & (F.col("at") == F.col("last"))).groupBy("__name", "epochs", "last")
+             .agg(F.sum("extra").alias("held"), F.count(F.lit(1)).alias("met")))
+    split = materialize(equal.where(F.col("held") < F.col("met")).select(F.col("__name").alias("__cut"), "held", "met"), "mix-split")
+    judged = rows.select("source", "__row", at.alias("at")).join(small(per), here)
+    copies = F.col("epochs") + F.when(F.col("at") <= F.col("last"), 1).otherwise(0)
+    repeat = lambda n: F.explode(F.sequence(F.lit(1), n.cast("int")))
+    if split.isEmpty():
+        return judged.withColumn("n", copies).where(F.col("n") > 0).select("__row", repeat(F.col("n"))).select("__row.*")
+    judged = judged.join(small(split), F.col("source").eqNullSafe(F.col("__cut")), "left")
+    on_cut = F.col("held").isNotNull() & (F.col("at") == F.col("last"))
+    plain = judged.where(~F.coalesce(on_cut, F.lit(False))).withColumn("n", copies)
+    cut = (judged.where(on_cut).groupBy("__name").agg(F.first("__row").alias("__row"), F.max("epochs").alias("epochs"),
+                                                     F.max("held").alias("held"), F.max("met").alias("met"))
+           .withColumn("n", F.col("epochs") * F.col("met") + F.col("held")))
+    both = plain.select("__row", "n").unionByName(cut.select("__row", "n"))
+    return both.where(F.col("n") > 0).select("__row", repeat(F.col("n"))).select("__row.*")
 
 
 def quality_weight(quality: Column) -> Column:
@@ -94,16 +141,16 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with ``__quality`` from the labels (the best label of a repeated id; null ids have none)."""
+def label_weight(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Column]:
+    """``docs`` beside a column that holds each row's weight (by the best label of its id; null ids have none)."""
     best = labels.groupBy(F.col("doc_id").alias("__label_id")).agg(F.max("quality").alias("__quality"))
-    return docs.join(best, F.col("doc_id") == F.col("__label_id"), "left").drop("__label_id")
+    return docs.join(small(materialize(best, "mix-labels")), F.col("doc_id") == F.col("__label_id"), "left"), quality_weight(F.col("__quality"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("__n"))
-    docs = with_quality(docs, read(spark, sf_dir, "labels"))
-    return mix(docs, F.col("__n"), quality_weight(F.col("__quality"))).select(
+    docs, weight = label_weight(docs, read(spark, sf_dir, "labels"))
+    return mix(docs, F.col("__n"), weight).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
