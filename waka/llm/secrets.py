@@ -1,7 +1,7 @@
 """Secret scans (6): a random forest that tells secrets from other opaque strings.
 
-Candidates are runs of at least LEAST key characters with a digit in them, and all values assigned to a credential's name, whatever
-their length and characters. A forest on their length, character
+Candidates are runs of at least LEAST key characters with a digit in them, and, whatever their length and characters, all values assigned to a
+credential's name, keys of an issuer's shape, passwords in addresses and blocks of private keys. A forest on their length, character
 classes and transitions, dictionary coverage, path (the document's source) and neighbouring words is trained on labelled findings.
 """
 
@@ -19,19 +19,26 @@ LEAST = 12             # characters
 SAMPLE = 20_000        # labelled findings of each class that the forest is trained on, at most: those with the least hash
 DICTIONARY = 2_000     # commonest words of three letters or more
 TREES, DEPTH = 24, 7
+PATHS = 8              # classes of paths (by hash)
+_CLASSES = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "other": "[^A-Za-z0-9]"}
 THRESHOLD = 0.5
 _RUN = rf"([A-Za-z0-9_+/=\-]{{{LEAST},}})"
 # Words that announce a credential, and the shapes that label findings.
 CUES = "secret|token|passw|pwd|api_?key|apikey|access|auth|bearer|credential"
 SHAPES = [r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36}$", r"^sk_(live|test)_[A-Za-z0-9]{16,}$", r"^xox[abp]-[A-Za-z0-9-]{10,}$"]
-# A credential's name with what stands between it and its value, then the value: quoted, or up to the next white space or quote.
-ASSIGNED = (rf"((?i:{CUES.replace('auth', 'auth(?!ors?(?![a-z]))')})\w*[\"'\])]*[ \t]*(?:=>|:=|==?|:)[ \t]*)"
-            r"(\"[^\"\r\n]+\"|'[^'\r\n]+'|[^\s\"']+)")
+_SHAPED = "|".join(x.strip("^$").replace("(live", "(?:live") for x in SHAPES)
+_BLOCK = "-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*(?:-----END [A-Z ]*PRIVATE KEY-----)?"
+_NAME = rf"(?i:{CUES.replace('auth', 'auth(?!ors?(?![a-z]))')})\w*[\"'\])]*[ \t]*(?:=>|:=|==?|:)[ \t]*"
+_ADDRESS = r"://[^\s:/@]+:(?=[^\s:/@]+@)"
+# What announces a value, then the value: a credential's name and what is assigned to it, quoted or up to the next white space or quote;
+# an address up to its password; nothing before a key block or an issuer's shape.
+ASSIGNED = (rf"({_NAME}|{_ADDRESS}|(?=-----BEGIN [A-Z ]*PRIVATE KEY)|(?<![A-Za-z0-9_])(?=(?:{_SHAPED})(?![A-Za-z0-9_])))"
+            rf"({_BLOCK}|(?<=://[^\s:/@]{{1,99}}:)[^\s:/@]+(?=@)|(?:{_SHAPED})(?![A-Za-z0-9_])|\"[^\"\r\n]+\"|'[^'\r\n]+'|[^\s\"']+)")
 _MARK = "\uE000"        # stands before such a value while its word is counted
 
 
 def assigned(docs: DataFrame) -> DataFrame:
-    """As candidates: the values assigned to a credential's name, but those that are a run of key characters and found as such."""
+    """As candidates: the announced values, but those that are a run of key characters and found as such."""
     text = F.translate(F.coalesce("text", F.lit("")), _MARK, "")
     some = docs.where(F.col("text").rlike(ASSIGNED)).select(
         "doc_id", "source", F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(1)).alias("names"),
@@ -94,22 +101,25 @@ def features(found: DataFrame, dictionary: list[str]) -> tuple[DataFrame, list[s
     own = {
         "f_length": n, "f_digit": share("[0-9]"), "f_upper": share("[A-Z]"), "f_lower": share("[a-z]"),
         "f_hex": share("[0-9a-f]"), "f_mark": share(r"[_+/=\-]"),
-        "f_turns": share("(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"),
+        **{f"f_turn_{a}_{b}": share(f"(?<={x})(?={y})") for a, x in _CLASSES.items() for b, y in _CLASSES.items() if a != b},
         "f_distinct": F.size(F.array_distinct(F.split(f, ""))) / n,
         "f_covered": covered,
         "f_vowel": share("[aeiouAEIOU]"),
-        "f_path": F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(64)).cast("double"),
+        **{f"f_path_{k}": (F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(PATHS)) == k).cast("double") for k in range(PATHS)},
         "f_cue": F.lower("left").rlike(CUES).cast("double"),
         "f_assigned": F.col("left").rlike("[=:]").cast("double"),
         "f_quoted": F.col("left").rlike("[\"']").cast("double"),
+        "f_address": F.col("left").rlike(r"://[^\s:/@]+:$").cast("double"),
         "f_right": F.length("right").cast("double"),
+        "f_left_known": F.arrays_overlap(F.regexp_extract_all(F.lower("left"), F.lit(r"[\p{Ll}]{3,12}"), F.lit(0)), known).cast("double"),
+        "f_right_known": F.array_contains(known, F.lower(F.regexp_replace("right", r"[^\p{L}]", ""))).cast("double"),
     }
     return found.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in own.items()}), list(own)
 
 
 def label_findings(found: DataFrame) -> DataFrame:
-    """Findings labelled from their issuer's shape or an assignment to a credential's name: the labels at hand where no one has judged findings."""
-    known = F.lit(False)
+    """Findings labelled from their issuer's shape, their place in an address, a key block or an assignment to a credential's name: the labels at hand where no one has judged findings."""
+    known = F.col("left").rlike(r"://[^\s:/@]+:$") | F.col("finding").startswith("-----BEGIN")
     for s in SHAPES:
         known = known | F.col("finding").rlike(s)
     named = F.lower("left").rlike(rf"({CUES})\w*\W*[=:]\W*$") & ~F.col("finding").rlike("^[0-9-]+$")
