@@ -20,8 +20,10 @@ QUERIES = {f.__name__: f for f in (
     manifest.op13_merkle_manifest,
 )}
 ORACLES = {
+    "op1_sharding": sharding.ORACLE,
     "op4_license_scan": licenses.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op9_ngram_join": ngram_join.ORACLE,
     "op11_spelling_variants": spelling.ORACLE,
     "op12_substring_dedup": repeats.ORACLE,
     "op13_merkle_manifest": manifest.ORACLE,

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waka.llm.common import number_rows, read
+from waka.llm.common import CRC_TABLE, crc_sql, number_rows, read
 
 ROUNDS = 6
 
@@ -90,3 +90,37 @@ def op1_sharding(spark: SparkSession, sf_dir: str, n_shards: int = 24) -> DataFr
     return shard_rows(docs, F.col("doc_id"), n_shards=n_shards).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _sql_times(x: str, factor: int) -> str:
+    """x times a factor modulo 2 ** 64."""
+    return f"((({x})::UHUGEINT * {factor}::UHUGEINT) % {1 << 64}::UHUGEINT)::UBIGINT"
+
+
+def _sql_round(inner: str, key: int) -> str:
+    """One round over rows (no, n, side, l, r) of a subquery: left and right are swapped, left gains the mixed right. A layer for each step."""
+    steps = [_sql_times(f"((r::UHUGEINT + {key}::UHUGEINT) % {1 << 64}::UHUGEINT)", 0x9E3779B97F4A7C15), _sql_times("xor(m, m >> 30)", 0xBF58476D1CE4E5B9),
+             _sql_times("xor(m, m >> 27)", 0x94D049BB133111EB)]
+    q = inner
+    for e in steps:
+        q = f"SELECT no, n, side, step, l, r, {e} AS m FROM ({q})"
+    return f"SELECT no, n, side, step, r AS l, (l + xor(m, m >> 31) % side) % side AS r FROM ({q})"
+
+
+def _oracle(n_shards: int = 24, seed: int = 20) -> str:
+    q = "SELECT no, n, side, step, x // side AS l, x % side AS r FROM walk WHERE step = 0 OR x >= n"
+    for key in _keys(seed):
+        q = _sql_round(q, key)
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1)::UBIGINT AS no, (count(*) OVER ())::UBIGINT AS n FROM documents),
+walk AS (
+  SELECT no, n, (floor(sqrt(n - 1)) + 1)::UBIGINT AS side, 0 AS step, no AS x FROM d
+  UNION ALL SELECT no, n, side, step + 1, l * side + r FROM ({q}))
+SELECT doc_id, (coalesce(octet_length(encode(text)), 0) + 8)::BIGINT AS size, {crc_sql("text")} AS text_crc32, 'rows' AS law,
+       (x % {n_shards})::INT AS shard, (x // {n_shards})::BIGINT AS slot, NULL::INT AS grown_shard
+FROM d JOIN walk USING (no), tab WHERE step > 0 AND x < d.n
+"""
+
+
+ORACLE = _oracle()
