@@ -3,59 +3,72 @@
 toxicity (rejected documents go), n-gram Jaccard join (one row of each linked group stays), benchmark
 decontamination (documents with a benchmark item go), mixing (documents as often as the mix takes them),
 sharding (shuffled order). The join decides by doc_id and text: different texts that share a doc_id are kept or dropped
-each by their own links. Rows with a null id are never dropped by the join.
+each by their own links.
+
+All stages: rows with a null id or text stay unless a rule says otherwise, equal rows are judged alike, texts of any length are
+read whole, an empty table stays empty, and every column of the input, whatever its name, comes out as it went in (the last
+stage adds shard and slot, replacing columns of these names). Only the text is handed to Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waka.llm import decontamination, mixing, ngram_join, sharding, toxicity
 from waka.llm.common import read, small
-from waka.session import materialize
+from waka.session import drop_scratch, materialize, scratch_mark
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``__row``, the whole row as one struct, with ``__id`` and ``__hash`` (of the text) beside it."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("__row")).select("__row", F.col("__row.doc_id").alias("__id"), F.xxhash64("__row.text").alias("__hash"))
+
+
+def _these(keys: DataFrame) -> tuple[DataFrame, Column]:
+    """Stored ids and text hashes, and the condition that a packed row is one of them."""
+    keys = small(keys.select(F.col("doc_id").alias("__key_id"), F.col("text_hash").alias("__key_hash")))
+    return keys, F.col("__id").eqNullSafe(F.col("__key_id")) & (F.col("__hash") == F.col("__key_hash"))
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model does not reject. It is trained on the labelled documents among those given."""
+    """Documents that the model does not reject. It is trained on the labelled documents among those given; without any, all stay."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model, docs.columns).where(F.col("predicted") == 0).select(*docs.columns)
+    return docs.where(toxicity.score(model, F.col("text")) < toxicity.THRESHOLD)
 
 
 def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of linked texts, that of the smallest (doc_id, text hash); texts without words and rows with a null id all stay."""
+    """One row of each group of linked texts, that of the smallest (doc_id, text hash), of such rows the one of least hash; texts without words and
+    rows with a null id all stay."""
     groups = materialize(ngram_join.text_groups(docs).where(F.col("group").isNotNull() & F.col("doc_id").isNotNull()), "pipeline-groups")
     texts = groups.groupBy("group", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     first = groups.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     marked = materialize(texts.join(first, "group").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "n",
-        (F.struct("doc_id", "text_hash") == F.col("first")).alias("stays")), "pipeline-texts")
-    gone = small(materialize(marked.where(~F.col("stays")).select("__id", "__hash"), "pipeline-gone"))
-    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    kept = docs.join(gone, same, "left_anti")
-    twice = materialize(marked.where(F.col("stays") & (F.col("n") > 1)).select("__id", "__hash"), "pipeline-twice")
-    if not twice.isEmpty():      # rows of one id and text: that of the least hash stays
-        twice = small(twice)
-        row = F.struct(*docs.columns)
-        one = (kept.join(twice, same, "left_semi").groupBy("doc_id", F.xxhash64("text"))
-               .agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__row")).select("__row.*"))
-        kept = kept.join(twice, same, "left_anti").unionByName(one)
-    return kept.select(*docs.columns)
+        "doc_id", "text_hash", "n", (F.struct("doc_id", "text_hash") == F.col("first")).alias("stays")), "pipeline-texts")
+    gone, is_gone = _these(materialize(marked.where(~F.col("stays")).select("doc_id", "text_hash"), "pipeline-gone"))
+    kept = packed(docs).join(gone, is_gone, "left_anti")
+    twice = materialize(marked.where(F.col("stays") & (F.col("n") > 1)).select("doc_id", "text_hash"), "pipeline-twice")
+    if not twice.isEmpty():
+        twice, is_twice = _these(twice)
+        one = (kept.join(twice, is_twice, "left_semi").groupBy("__id", "__hash").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row")))
+        kept = kept.join(twice, is_twice, "left_anti").select("__row").unionByName(one.select("__row"))
+    return kept.select("__row.*")
 
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found."""
     leaks = decontamination.find_leaks(docs, read(spark, sf_dir, "benchmark"))
-    leaked = small(materialize(leaks.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "pipeline-leaks"))
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")
+    leaked, is_leaked = _these(materialize(leaks.select("doc_id", "text_hash").distinct(), "pipeline-leaks"))
+    return packed(docs).join(leaked, is_leaked, "left_anti").select("__row.*")
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    labelled = mixing.with_quality(docs, read(spark, sf_dir, "labels"))
-    mixed = mixing.mix(labelled, mixing.n_words(F.col("text")), mixing.quality_weight(F.col("__quality")))
-    return (mixed.where(F.col("copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*docs.columns))
+    row = packed(docs).select("__row", F.col("__id").alias("doc_id"), F.col("__row.source").alias("source"))
+    weighed, weight = mixing.label_weight(row, read(spark, sf_dir, "labels"))
+    taken = mixing.taken_rows(weighed, mixing.n_words(F.col("__row.text")), weight)
+    return taken.select("__row.*")
 
 
 def stage_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +89,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; what a stage stored for itself is deleted once its result is stored."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        mark = scratch_mark()
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_scratch(spark, mark, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -94,6 +94,23 @@ def ensure_local_dir(path: str) -> str:
     return p
 
 
+_SCRATCH: list[str] = []      # folders that materialize has written, oldest first
+
+
+def scratch_mark() -> int:
+    """How many folders materialize has written so far."""
+    return len(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, mark: int, keep: int = 0) -> None:
+    """Delete what materialize has written since ``mark``, but for the last ``keep`` folders. Frames that read a deleted folder can't be used again."""
+    last = len(_SCRATCH) - keep
+    for path in _SCRATCH[mark:last]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    del _SCRATCH[mark:max(mark, last)]
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` once as parquet under the shared checkpoint folder
     and reading it back (a reliable ``checkpoint()`` computes its input twice unless it
@@ -101,4 +118,5 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)
