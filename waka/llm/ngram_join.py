@@ -28,7 +28,7 @@ N, PERCENT = 5, 80
 FRAGMENTS = 8
 SLOT_BITS = 22         # n-grams are counted in so many slots, by the first bits of their hashes; any order gives the same links
 CHUNKS = 64            # the count table travels in so many pieces
-FLUSH = 2_000_000      # n-grams a task holds to count them
+FLUSH = 500_000        # n-grams a task holds to count them
 MINHASHES = 4
 _KIND = np.uint64(7)   # the lowest bits of a posting's token: 0 prefix, 1.. min-hash
 

@@ -30,7 +30,8 @@ COMMON = 3000          # common words that plain landmarks are chosen from, at m
 HELD = 4               # one in so many labelled documents calibrates and is not fitted on
 SUB, DECAY = 3, 0.6
 LONGEST = 31           # letters of a piece; longer words are read in overlapping pieces
-CACHED = 200_000       # units whose vectors a worker keeps in each of two generations
+CACHED = 75_000        # units whose vectors a worker keeps in each of two generations
+CHUNK = 500_000        # characters of texts that are looked up at once
 THRESHOLD = 0.7
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -331,7 +332,7 @@ def text_vectors(model: Model, texts: list[str | None]) -> np.ndarray:
     out, at = np.zeros((len(texts), len(model.landmarks)), dtype=np.uint8), 0
     while at < len(texts):
         some, end, n = [], at, 0
-        while end < len(texts) and n < 2_000_000:
+        while end < len(texts) and n < CHUNK:
             some.append({u for t in tokens(texts[end]) for u in units(t)} if texts[end] else set())
             n += len(texts[end] or "")
             end += 1
