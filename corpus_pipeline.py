@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from waka.llm import decontamination, mixing, ngram_join, sharding, toxicity
 from waka.llm.common import read, small
-from waka.session import drop_scratch, materialize, scratch_mark
+from waka.session import drop_scratch, materialize, prepare, scratch_mark
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -34,6 +34,7 @@ def _these(keys: DataFrame) -> tuple[DataFrame, Column]:
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model does not reject. It is trained on the labelled documents among those given; without any, all stay."""
+    prepare(spark)
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
     return docs.where(toxicity.score(model, F.col("text")) < toxicity.THRESHOLD)
 
@@ -41,6 +42,7 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of linked texts, that of the smallest (doc_id, text hash), of such rows the one of least hash; texts without words and
     rows with a null id all stay."""
+    prepare(spark)
     groups = materialize(ngram_join.text_groups(docs).where(F.col("group").isNotNull() & F.col("doc_id").isNotNull()), "pipeline-groups")
     texts = groups.groupBy("group", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     first = groups.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))

@@ -7,7 +7,6 @@ setting is absent (a laptop, a unit test) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,6 +26,8 @@ BASE_CONF = {
     # The feed validation builds dozens of field expressions; inferring constraints over
     # them grows combinatorially in the optimizer. Null filters on join keys are explicit.
     "spark.sql.constraintPropagation.enabled": "false",
+    # Rows handed to Python at once: whole texts may be long, and a worker holds a batch more than once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -51,6 +52,7 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BASE_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"])
     checkpoint_root(spark)
 
 
@@ -79,21 +81,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/waka/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must open the path directly."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_path(path)
-    os.makedirs(p, exist_ok=True)
-    return p
-
-
 _SCRATCH: list[str] = []      # folders that materialize has written, oldest first
 
 
