@@ -40,3 +40,25 @@ def test_feed_zip_member_rows_and_missing_members(spark):
         ff.feed_zip_table(spark, part, "stops", ["stop_id"], on_missing="fail").collect()
     got = ff.feed_zip_table(spark, part, "stops", ["stop_id"], on_missing="report").count()
     assert got == 2
+
+
+def test_feed_in_part_archives(spark, tmp_path):
+    """A member spread over parts, quoted fields with line ends, other column orders, an empty member and a part without a column."""
+    (tmp_path / "feed").mkdir()
+    head = "stop_id,stop_name,stop_lat,stop_lon,location_type,stop_code\n"
+    _zip(tmp_path / "feed" / "a.zip", {m: "x\n1\n" for m in ff.REQUIRED_MEMBERS} | {"stops": head + 'S1,"A, the\nfirst",1.5,2.5,0,7\n', "trips": ""})
+    _zip(tmp_path / "feed" / "b.zip", {"stops": "stop_lat,stop_id\n3.25,S2\n"})
+    _zip(tmp_path / "feed" / "c.zip", {"sub/stops": head})
+    got = ff.feed_zip_table(spark, str(tmp_path / "feed"), "stops", ["stop_id", "stop_name", "stop_lat", "location_type"]).orderBy("stop_id").collect()
+    assert [tuple(r) for r in got] == [("S1", "A, the\nfirst", 1.5, 0), ("S2", None, 3.25, None)]
+    assert ff.feed_zip_table(spark, str(tmp_path / "feed"), "trips", ["trip_id"]).count() == 0
+
+
+def test_packed_members_come_back(spark):
+    df = spark.range(950).selectExpr("concat('T', id) trip_id", "concat('S', id % 7) stop_id", "cast(id as int) stop_sequence").repartition(3)
+    packed = ff.pack_member(df, "stop_times", part_rows=100)
+    assert packed.count() >= 3
+    back = ff.feed_rows(packed, "stop_times", df.columns)
+    assert back.schema["stop_sequence"].dataType.simpleString() == "int"
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert ff.feed_rows(packed, "trips", ["trip_id"]).count() == 0 and ff.absent_members(packed).count() == 5

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.strings import segment_id
+from ..session import materialize
 from .ordered import trip_day_neighbours
 
 STOP_FIELDS = ["stop_id", "stop_code", "stop_lat", "stop_lon", "stop_sequence"]
@@ -20,11 +21,8 @@ TRIP_COLUMNS = ["trip_id", "route_id", "service_id", "direction_id", "shape_id"]
 
 
 def journeys_df(spark: SparkSession, journeys) -> DataFrame:
-    """Journeys (lists of stop codes) as rows (journey_id, pos, stop_code).
-
-    A parameter, not data: its size is the length of the list given by the caller,
-    which is what makes broadcasting it safe below.
-    """
+    """Journeys (lists of stop codes) as rows (journey_id, pos, stop_code). Joins with them
+    are left to the size-checked choice of the optimizer: there may be thousands."""
     rows = [(j, p, str(c)) for j, codes in enumerate(journeys) for p, c in enumerate(codes)]
     return spark.createDataFrame(rows, "journey_id int, pos int, stop_code string")
 
@@ -41,18 +39,34 @@ def trip_stop_codes(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
         stops.select("stop_id", "stop_code"), "stop_id")
 
 
-def candidate_trips(trip_codes: DataFrame, journeys: DataFrame) -> DataFrame:
-    """Trips whose set of stop codes contains every code of at least one journey.
+def trips_with_all(held: DataFrame, journeys: DataFrame) -> DataFrame:
+    """(trip_id, journey_id) where the trip has every code of the journey. ``held``: distinct (trip_id, stop_code).
 
-    Relational division by counting: rows are reduced to (trip, journey, code) hits
-    against the broadcast journey list, distinct codes are counted per (trip, journey)
-    with partial aggregation, and compared with the journey's set size.
+    An inverted list on each journey's rarest code: only trips with that code are looked at, and of these the
+    journey's other codes are looked up, one by one, and counted. A journey with a code that no
+    trip has ends at once. What is joined grows with the hits of the rarest codes, not with those of every code of every journey.
     """
-    jc = F.broadcast(journeys.select("journey_id", "stop_code").distinct())
-    sizes = F.broadcast(journey_sizes(journeys))
-    hits = trip_codes.select("trip_id", "stop_code").join(jc, "stop_code")
-    per = hits.groupBy("trip_id", "journey_id").agg(F.count_distinct("stop_code").alias("n"))
-    return per.join(sizes, "journey_id").where(F.col("n") == F.col("set_size")).select("trip_id").distinct()
+    held = materialize(held.where(F.col("stop_code").isNotNull()), "trip_codes")      # read by the counts, the lists and the look-ups
+    wanted = journeys.select("journey_id", "stop_code").where(F.col("stop_code").isNotNull()).distinct()
+    often = (held.join(wanted.select("stop_code").distinct(), "stop_code", "left_semi")
+             .groupBy("stop_code").agg(F.count(F.lit(1)).alias("n_trips")))
+    rarest = (wanted.join(often, "stop_code", "left").groupBy("journey_id")
+              .agg(F.min(F.struct(F.coalesce("n_trips", F.lit(0)).alias("n_trips"), "stop_code")).alias("r"),
+                   F.count(F.lit(1)).alias("set_size"))
+              .where(F.col("r.n_trips") > 0).select("journey_id", F.col("r.stop_code").alias("stop_code"), "set_size"))
+    rarest = materialize(rarest, "rarest_codes")
+    rest = wanted.join(rarest.select("journey_id", "stop_code"), ["journey_id", "stop_code"], "left_anti")
+    listed = held.join(rarest, "stop_code").select("trip_id", "journey_id", "set_size")
+    single = listed.where(F.col("set_size") == 1).select("trip_id", "journey_id")
+    asked = listed.where(F.col("set_size") > 1).join(rest, "journey_id")
+    met = (asked.join(held, ["trip_id", "stop_code"], "left_semi").groupBy("trip_id", "journey_id", "set_size")
+           .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.col("set_size") - 1))
+    return single.unionByName(met.select("trip_id", "journey_id"))
+
+
+def candidate_trips(trip_codes: DataFrame, journeys: DataFrame) -> DataFrame:
+    """Trips whose set of stop codes contains every code of at least one journey (relational division)."""
+    return trips_with_all(trip_codes.select("trip_id", "stop_code").distinct(), journeys).select("trip_id").distinct()
 
 
 def on_shape_stops(trips: DataFrame, trip_codes: DataFrame, stops: DataFrame, shapes: DataFrame) -> DataFrame:
@@ -88,12 +102,22 @@ def ordered_stops(trip_stops: DataFrame) -> DataFrame:
 def occurrence_match(trip_stops: DataFrame, journeys: DataFrame) -> DataFrame:
     """(trip, journey) pairs where the number of the trip's on-shape stops whose
     code is in the journey equals the journey's list length (a repeated stop counts
-    twice). Counting replaces list evaluation; each row meets each journey once."""
-    jset = F.broadcast(journeys.select("journey_id", "stop_code").distinct())
-    sizes = F.broadcast(journey_sizes(journeys))
-    hits = trip_stops.select("trip_id", "stop_code").join(jset, "stop_code")
-    per = hits.groupBy("trip_id", "journey_id").agg(F.count(F.lit(1)).alias("n"))
-    return per.join(sizes, "journey_id").where(F.col("n") == F.col("list_size")).select("trip_id", "journey_id")
+    twice).
+
+    A trip that stops nowhere twice reaches the length only with every code of a
+    journey whose list has no code twice: these pairs come from the inverted list (``trips_with_all``). Only
+    the trips with a repeated code are counted against every journey they meet.
+    """
+    per = materialize(trip_stops.groupBy("trip_id", "stop_code").agg(F.count(F.lit(1)).alias("n")), "trip_code_counts")
+    twice = per.where(F.col("n") > 1).select("trip_id").distinct()
+    sizes = journey_sizes(journeys)
+    plain = sizes.where(F.col("set_size") == F.col("list_size")).select("journey_id")
+    listed = trips_with_all(per.join(twice, "trip_id", "left_anti").select("trip_id", "stop_code"),
+                            journeys.join(plain, "journey_id", "left_semi"))
+    hits = per.join(twice, "trip_id", "left_semi").join(journeys.select("journey_id", "stop_code").distinct(), "stop_code")
+    counted = hits.groupBy("trip_id", "journey_id").agg(F.sum("n").alias("n")).join(sizes, "journey_id").where(
+        F.col("n") == F.col("list_size")).select("trip_id", "journey_id")
+    return listed.unionByName(counted)
 
 
 def key_trips(trip_stops: DataFrame, journeys: DataFrame) -> DataFrame:

@@ -28,6 +28,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def table_state(spark: SparkSession, sf_dir: str, table: str) -> tuple:
+    """Names, sizes and times of a base table's files: differs when a file has changed."""
+    fs, p = _fs(spark, f"{sf_dir}/{table}.parquet")
+    status = fs.getFileStatus(p)
+    files = list(fs.listStatus(p)) if status.isDirectory() else [status]
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def write_text_file(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)

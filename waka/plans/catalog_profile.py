@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as fe
 from ..operators import profile as pr
-from ..operators.tables import _fs
+from ..operators.tables import table_state
 from ..oracle import with_views
 from . import catalog_features as cf
 from ..session import materialize
@@ -34,10 +34,7 @@ def train(spark, sf):
     """The analytics table the profile reads: the training sets of all weeks, stored under the shared checkpoint
     folder and read by every profile query of the application (as the stored table would be). It is built again when a file
     of the locations has changed."""
-    fs, p = _fs(spark, f"{sf}/events.parquet")
-    status = fs.getFileStatus(p)
-    files = list(fs.listStatus(p)) if status.isDirectory() else [status]
-    seen = tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+    seen = table_state(spark, sf, "events")
     key = (spark.sparkContext.applicationId, sf)
     if _STORED.get(key, (None,))[0] != seen:
         _STORED[key] = (seen, materialize(cf.training_of_all_weeks(spark, sf), "analytics_data"))
@@ -64,7 +61,7 @@ NULL_SQL = " union all ".join(
 
 @register("A14_null_rates", sql(NULL_SQL))
 def a14(spark, sf):
-    return pr.null_rates(train(spark, sf))
+    return pr.null_rates(train(spark, sf)).orderBy(F.desc("null_pct"), "column_name")
 
 
 @register("A23_shape", sql(f"select count(*) n_rows, {len(TRAIN_COLS)} n_cols from tr"))
@@ -200,7 +197,7 @@ def a12(spark, sf):
     for c in CATEGORICAL:
         v = pr.value_counts(t, c)
         out = v if out is None else out.unionByName(v)
-    return out
+    return out.orderBy("column_name", "value")
 
 
 @register("A6_count_by_hour", sql("select obs_hour, count(*) n from tr group by obs_hour"))
@@ -282,7 +279,7 @@ LAG_CORR_SQL = " union all ".join(
 
 @register("A16_lag_target_corr", sql(LAG_CORR_SQL))
 def a16(spark, sf):
-    return round_doubles(pr.lag_target_corr(train(spark, sf)))
+    return round_doubles(pr.lag_target_corr(train(spark, sf))).orderBy(F.desc("r_target_lat"), "feature")
 
 
 def _matrix_parts() -> tuple[str, str]:

@@ -3,6 +3,8 @@ M1-M4), trip-table reads (P3, O2, C6), referential checks (Q4) and small operato
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import network as nw
@@ -50,25 +52,39 @@ def s2(spark, sf):
     return sh.join(shapes_wanted, "shape_id", "left_semi")
 
 
-@register("S3_feed_zip_members", with_views("stops") + "select * from stops")
+#: Columns of each feed member, and what of them identifies a row.
+MEMBER_COLS = {
+    "calendar": ["service_id", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"],
+    "stops": STOP_COLS, "stop_times": ["trip_id", "stop_id", "stop_sequence"], "trips": TRIP_COLS,
+    "shapes": ["shape_id", "shape_pt_lat", "shape_pt_lon", "shape_pt_sequence"], "routes": ["route_id"],
+}
+_SCALED = {"stop_lat", "stop_lon", "shape_pt_lat", "shape_pt_lon"}      # compared in millionths of a degree
+
+
+@register("S3_feed_zip_members", with_views("calendar", "stops", "stop_times", "trips", "shapes", extra={
+    "routes": "select distinct route_id from trips"}) + " union all ".join(
+    f"select '{m}' as member, concat_ws('|', " + ", ".join(f"cast(round({c} * 1000000) as bigint)" if c in _SCALED else c for c in cols) + f") as row_text from {m}"
+    for m, cols in MEMBER_COLS.items()))
 def s3(spark, sf):
-    staging = scratch_path(spark, "feed_members")
-    archive = scratch_path(spark, "feed") + ".zip"
-    members = {"calendar": tv.calendar(spark, sf), "stops": tv.stops(spark, sf),
-               "stop_times": tv.stop_times(spark, sf), "trips": tv.trips(spark, sf),
-               "shapes": tv.shapes(spark, sf), "routes": tv.trips(spark, sf).select("route_id").distinct()}
-    from ..session import ensure_local_dir
-    ensure_local_dir(archive.rsplit("/", 1)[0])
-    ff.build_archive(spark, members, archive, staging)
-    return ff.feed_zip_table(spark, archive, "stops", STOP_COLS)
+    """All six members of a feed: packed into part archives by the tasks that hold the rows, landed, unpacked and typed again."""
+    tables = {"calendar": tv.calendar(spark, sf), "stops": tv.stops(spark, sf), "stop_times": tv.stop_times(spark, sf), "trips": tv.trips(spark, sf),
+              "shapes": tv.shapes(spark, sf), "routes": tv.trips(spark, sf).select("route_id").distinct()}
+    packed = [ff.pack_member(tables[m].select(*cols), m, part_rows=20_000) for m, cols in MEMBER_COLS.items()]
+    landed = materialize(reduce(lambda a, b: a.unionByName(b), packed), "feed_archives")
+    text = lambda c: F.round(F.col(c) * 1000000).cast("long") if c in _SCALED else F.col(c)
+    rows = [ff.feed_rows(landed, m, cols).select(F.lit(m).alias("member"), F.concat_ws("|", *[text(c) for c in cols]).alias("row_text"))
+            for m, cols in MEMBER_COLS.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @register("S6_parametrised_sql", with_views("vehicle_locations") + f"""
 select id, "timestamp", trip_id, speed from vehicle_locations where "timestamp" >= {cf.LO} and "timestamp" < {cf.HI}""")
 def s6(spark, sf):
-    tv.vehicle_locations(spark, sf).createOrReplaceTempView("vehicle_locations")
-    return spark.sql("""select id, `timestamp`, trip_id, speed from vehicle_locations
-                        where `timestamp` >= :lo and `timestamp` < :hi""", args={"lo": cf.LO, "hi": cf.HI})
+    """Parameters bound by name; the bounds of the date prune the stored table's partitions."""
+    return spark.sql("""select id, `timestamp`, trip_id, speed from identifier(:locations)
+                        where `timestamp` >= :lo and `timestamp` < :hi
+                          and obs_date between date(timestamp_seconds(:lo)) and date(timestamp_seconds(:hi - 1))""",
+                     args={"locations": cf.stored_locations(spark, sf), "lo": cf.LO, "hi": cf.HI})
 
 
 @register("S7_json_documents", cn.net_sql("kstops", """

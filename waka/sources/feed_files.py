@@ -8,6 +8,12 @@ reach the scan.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,120 +52,105 @@ def read_json_documents(spark: SparkSession, path: str, schema=None) -> DataFram
 
 
 # ------------------------------------------------------------------ S3: feed archive members
-try:
-    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-    class _Member(InputPartition):
-        def __init__(self, archive: str, member: str):
-            super().__init__((archive, member))
-            self.archive = archive
-            self.member = member
-
-    class FeedZipReader(DataSourceReader):
-        def __init__(self, options, schema):
-            self.paths = [p for p in options.get("path", "").split(",") if p]
-            self.member = options.get("member")
-            self.on_missing = options.get("onMissing", "fail")
-
-        def partitions(self):
-            import zipfile
-            parts = []
-            from waka.session import local_path
-            for a in self.paths:
-                with zipfile.ZipFile(local_path(a)) as z:
-                    names = {n.rsplit("/", 1)[-1]: n for n in z.namelist()}
-                missing = [m for m in REQUIRED_MEMBERS if f"{m}.txt" not in names]
-                if missing and self.on_missing == "fail":
-                    raise FileNotFoundError(f"{a}: missing feed members {missing}")
-                want = [self.member] if self.member else [m for m in REQUIRED_MEMBERS if f"{m}.txt" in names]
-                parts += [_Member(a, names[f"{m}.txt"]) for m in want if f"{m}.txt" in names]
-            return parts
-
-        def read(self, partition):
-            """Stream one member line by line (never the whole member in memory)."""
-            import csv
-            import io
-            import zipfile
-            from waka.session import local_path
-            with zipfile.ZipFile(local_path(partition.archive)) as z, z.open(partition.member) as fh:
-                rows = csv.reader(io.TextIOWrapper(fh, encoding="utf-8-sig", newline=""))
-                header = next(rows, None)
-                if header is None:
-                    return
-                tname = partition.member.rsplit("/", 1)[-1][:-4]
-                for rec in rows:
-                    yield (partition.archive, tname, dict(zip(header, rec)))
-
-    class FeedZipDataSource(DataSource):
-        """S3: ``spark.read.format("feed_zip").option("onMissing", "fail"|"report")
-        .option("member", name).load(path[,path...])`` -> (archive, member, fields map).
-        One partition per (archive, member)."""
-
-        @classmethod
-        def name(cls):
-            return "feed_zip"
-
-        def schema(self):
-            return "archive string, member string, fields map<string,string>"
-
-        def reader(self, schema):
-            return FeedZipReader(self.options, schema)
-
-    HAVE_DATASOURCE = True
-except ImportError:  # pragma: no cover - older Spark
-    HAVE_DATASOURCE = False
-
-
-def register_feed_zip(spark: SparkSession) -> None:
-    if HAVE_DATASOURCE:
-        spark.dataSource.register(FeedZipDataSource)
-
-
-def feed_zip_table(spark: SparkSession, archive: str, table: str, columns, on_missing: str = "fail") -> DataFrame:
-    """One member of feed archive(s) as a typed table; ``columns`` are read by name."""
-    register_feed_zip(spark)
-    raw = (spark.read.format("feed_zip").option("member", table).option("onMissing", on_missing)
-           .load(archive))
-    types = FEED_TYPES.get(table, {})
-    return raw.select(*[F.col("fields")[c].cast(types.get(c, "string")).alias(c) for c in columns])
-
-
-def build_archive(spark: SparkSession, members: dict[str, DataFrame], archive: str, staging: str) -> str:
-    """Write each member as one header CSV under ``staging`` and pack them into a zip
-    at ``archive``. Packing runs inside one Spark task (an archive is one file); the
-    member files are streamed into it, never held whole."""
-    for name, df in members.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{staging}/{name}")
-    names = list(members)
-
-    def pack(it):
-        import glob
-        import os
-        import zipfile
-        import pandas as pd
-        from waka.session import local_path
-        for _ in it:
-            with zipfile.ZipFile(local_path(archive), "w", zipfile.ZIP_DEFLATED) as z:
-                for name in names:
-                    part = sorted(glob.glob(os.path.join(local_path(staging), name, "part-*.csv")))
-                    with z.open(f"{name}.txt", "w") as out:
-                        for i, f in enumerate(part):
-                            with open(f, "rb") as fh:
-                                if i:
-                                    fh.readline()
-                                while chunk := fh.read(1 << 20):
-                                    out.write(chunk)
-            yield pd.DataFrame({"archive": [archive]})
-
-    spark.range(1).coalesce(1).mapInPandas(pack, "archive string").collect()
-    return archive
-
-
-def missing_members(spark: SparkSession, archive: str) -> DataFrame:
-    """S3 report mode: the required members absent from an archive."""
-    import zipfile
-    from ..session import local_path
-    with zipfile.ZipFile(local_path(archive)) as z:
-        names = {n.rsplit("/", 1)[-1] for n in z.namelist()}
-    rows = [(archive, m) for m in REQUIRED_MEMBERS if f"{m}.txt" not in names]
-    return spark.createDataFrame(rows, "archive string, member string")
+# A feed arrives as one archive or, when it is large, as several part archives, each holding a stretch of
+# one or more members. Archives are read as (path, content) by Spark, from whatever store it reaches, so each
+# file is one row of one task; its members are unpacked there and leave as Arrow batches.
+
+PART_ROWS = 100_000     # rows of a member in one part archive
+BLOCK = 1 << 20         # bytes of CSV that one Arrow batch comes from
+
+
+def archives(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of the zip files at ``path`` (a file, a folder or a comma-separated list)."""
+    return spark.read.format("binaryFile").load(path.split(",")).select("path", "content")
+
+
+def pack_member(df: DataFrame, member: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(path, content): the rows of ``df`` as part archives, each with ``<member>.txt``, a CSV with a header. Every task packs its own rows."""
+    columns = df.columns
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.csv as pc
+
+        part, held, n = TaskContext.get().partitionId(), [], 0
+
+        def archive(tables: list, k: int) -> pa.RecordBatch:
+            raw, out = io.BytesIO(), io.BytesIO()
+            pc.write_csv(pa.Table.from_batches(tables), raw)
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(f"{member}.txt", raw.getvalue())
+            return pa.RecordBatch.from_pydict({"path": [f"{member}-{part:05d}-{k:05d}.zip"], "content": pa.array([out.getvalue()], pa.binary())})
+
+        k = 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= part_rows:
+                yield archive(held, k)
+                held, n, k = [], 0, k + 1
+        if n:
+            yield archive(held, k)
+
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+    return text.mapInArrow(pack, "path string, content binary")
+
+
+def _members(content: bytes) -> tuple[zipfile.ZipFile, dict[str, str]]:
+    z = zipfile.ZipFile(io.BytesIO(content))
+    return z, {n.rsplit("/", 1)[-1].removesuffix(".txt"): n for n in z.namelist() if n.endswith(".txt")}
+
+
+def feed_rows(packed: DataFrame, member: str, columns) -> DataFrame:
+    """The rows of one member in all archives; ``columns`` are read by name (a column that a part lacks is null) and typed."""
+    columns = list(columns)
+    schema = pa.schema([(c, pa.string()) for c in columns])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.csv as pc
+
+        for b in batches:
+            for content in b.column("content"):
+                z, names = _members(content.as_py())
+                if member not in names:
+                    continue
+                with z.open(names[member]) as f:
+                    first = f.readline()
+                if not first.strip():
+                    continue
+                with z.open(names[member]) as f:
+                    rows = pc.open_csv(f, pc.ReadOptions(block_size=max(BLOCK, 2 * len(first))), pc.ParseOptions(newlines_in_values=True),
+                                       pc.ConvertOptions(column_types=schema, include_columns=columns, include_missing_columns=True,
+                                                         strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=False))
+                    for batch in rows:
+                        yield batch
+
+    types = FEED_TYPES.get(member, {})
+    rows = packed.select("content").mapInArrow(unpack, ", ".join(f"`{c}` string" for c in columns))
+    return rows.select(*[F.col(f"`{c}`").cast(types.get(c, "string")).alias(c) for c in columns])
+
+
+def absent_members(packed: DataFrame) -> DataFrame:
+    """S3 report mode: the required members that no archive holds."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = sorted({n for content in b.column("content") for n in _members(content.as_py())[1]})
+            yield pa.RecordBatch.from_pydict({"member": pa.array(found, pa.string())})
+
+    spark = packed.sparkSession
+    required = spark.createDataFrame([(m,) for m in REQUIRED_MEMBERS], "member string")
+    return required.join(packed.select("content").mapInArrow(names, "member string").distinct(), "member", "left_anti")
+
+
+def missing_members(spark: SparkSession, path: str) -> DataFrame:
+    return absent_members(archives(spark, path))
+
+
+def feed_zip_table(spark: SparkSession, path: str, table: str, columns, on_missing: str = "fail") -> DataFrame:
+    """One member of the feed archive(s) at ``path`` as a typed table; fails, or not, if the feed lacks a required member."""
+    packed = archives(spark, path)
+    if on_missing == "fail":
+        absent = [r.member for r in absent_members(packed).collect()]      # REQUIRED_MEMBERS at most
+        if absent:
+            raise FileNotFoundError(f"{path}: missing feed members {absent}")
+    return feed_rows(packed, table, columns)
