@@ -80,7 +80,7 @@ def t3(spark, sf):
     """Both feeds replayed in the order of their snapshots; the watermark's delay is ten minutes, so the state of a snapshot
     is dropped as the feeds go on."""
     from ..sources import realtime_feed as rf
-    from ..streaming.merge_stream import end_marker_documents, merge_streams
+    from ..streaming.merge_stream import end_marker_documents, merge_streams, start_merge
     folders = {}
     for name, docs in (("positions", rf.position_documents(spark, sf)), ("updates", rf.update_documents(spark, sf))):
         folders[name] = scratch_path(spark, f"{name}_landing")
@@ -94,7 +94,5 @@ def t3(spark, sf):
     out, ckpt = scratch_path(spark, "merged_stream"), scratch_path(spark, "ckpt_merge")
     m = merge_streams(spark, folders["positions"], folders["updates"], tv.realtime_trips(spark, sf), tv.calendar(spark, sf),
                       cr.holidays(spark), files_per_trigger=1)
-    q = (m.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    start_merge(m, out, ckpt).awaitTermination()
     return spark.read.schema(m.schema).parquet(out).select("tick", "trip_id", "id", "timestamp", "stop_id", "delay", "label")

@@ -90,16 +90,13 @@ def s6(spark, sf):
 @register("S7_json_documents", cn.net_sql("kstops", """
 select trip_id, stop_id, stop_code, stop_lat, stop_lon, stop_sequence from kstops"""))
 def s7(spark, sf):
-    """Write each key trip's ordered stop list as its own JSON array document (as the
-    exploration exports it), then read the documents back with the multi-line reader."""
+    """Each key trip's ordered stop list as a JSON document of its own, a line of the files that the tasks write (with the trip
+    before it), and read back."""
     lists = nw.ordered_stops(cn._key_stops(spark, sf))
     path = scratch_path(spark, "stop_lists")
-    docs = lists.select("trip_id", F.to_json("stops").alias("value"))
-    docs.repartition("trip_id").write.partitionBy("trip_id").mode("overwrite").text(path)
-    back = ff.read_json_documents(spark, path, "stop_id string, stop_code string, stop_lat double, "
-                                               "stop_lon double, stop_sequence int")
-    return back.withColumn("trip_id", F.regexp_extract(F.input_file_name(), r"trip_id=([^/]+)/", 1)).select(
-        "trip_id", "stop_id", "stop_code", "stop_lat", "stop_lon", "stop_sequence")
+    lists.select(F.concat_ws("\t", "trip_id", F.to_json("stops"))).write.text(path)
+    back = ff.read_json_lines(spark, path, "stop_id string, stop_code string, stop_lat double, stop_lon double, stop_sequence int")
+    return back.select(F.col("name").alias("trip_id"), "stop_id", "stop_code", "stop_lat", "stop_lon", "stop_sequence")
 
 
 # ------------------------------------------------------------------ K1-K6

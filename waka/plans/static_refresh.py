@@ -1,6 +1,6 @@
 """Static feed refresh, and C5: single-route exploration.
 
-C1 keeps the reference's three phases as one lazy plan:
+C1 has three phases:
   1. stop_times + stops only -> candidate trips (relational division, D4);
   2. the shapes join (J4) only for candidate trips and their shapes (semi-joins);
   3. all trips' consecutive stop pairs, kept if they form a key segment.
@@ -9,12 +9,13 @@ C1 keeps the reference's three phases as one lazy plan:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import network as nw
+from ..session import materialize
 
 
 @dataclass
@@ -26,37 +27,56 @@ class FeedTables:
     shapes: DataFrame
 
 
-@dataclass
 class RefreshResult:
-    calendar: DataFrame
-    stops: DataFrame
-    trips: DataFrame
-    segments: DataFrame
-    trip_segments: DataFrame
-    key_segments: DataFrame
+    """The tables of a refresh, each built when it is first asked for. What several of them read (the trips' stop codes, the candidate trips,
+    the key segments, the trips over them) is stored once in the shared checkpoint folder, narrow, and not held in memory."""
+
+    def __init__(self, feed: FeedTables, journeys: DataFrame):
+        self.feed, self.journeys = feed, journeys
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        return materialize(nw.trip_stop_codes(self.feed.stop_times, self.feed.stops), "stop_codes")
+
+    @cached_property
+    def candidates(self) -> DataFrame:                                         # phase 1
+        return materialize(nw.candidate_trips(self.codes, self.journeys), "candidate_trips")
+
+    @cached_property
+    def candidate_rows(self) -> tuple[DataFrame, DataFrame]:                   # phase 2
+        return (self.feed.trips.join(self.candidates, "trip_id", "left_semi"), self.codes.join(self.candidates, "trip_id", "left_semi"))
+
+    @cached_property
+    def key_segments(self) -> DataFrame:
+        trips, codes = self.candidate_rows
+        shapes = self.feed.shapes.join(trips.select("shape_id"), "shape_id", "left_semi")
+        on_shape = nw.on_shape_stops(trips, codes, self.feed.stops, shapes)
+        return materialize(nw.key_segments(nw.key_trips(on_shape, self.journeys)), "key_segments")
+
+    @cached_property
+    def trip_segments(self) -> DataFrame:                                      # phase 3
+        return materialize(nw.trips_over_segments(self.codes, self.key_segments), "trip_segments")
+
+    @property
+    def calendar(self) -> DataFrame:
+        return self.feed.calendar
+
+    @property
+    def stops(self) -> DataFrame:
+        trips, codes = self.candidate_rows
+        return candidate_stops(trips, codes, self.feed.stops)
+
+    @property
+    def trips(self) -> DataFrame:
+        return nw.relevant_trips(self.feed.trips, self.trip_segments)
+
+    @property
+    def segments(self) -> DataFrame:
+        return nw.unique_segments(self.key_segments)
 
 
 def build_refresh(feed: FeedTables, journeys: DataFrame) -> RefreshResult:
-    # phase 1; the frame is reused by all three phases (and their hot-trip checks), so
-    # it is persisted once, keeping its partitioning by trip (memory, spilling to disk)
-    codes = nw.trip_stop_codes(feed.stop_times, feed.stops).persist(StorageLevel.MEMORY_AND_DISK)
-    cand = nw.candidate_trips(codes, journeys)
-    cand_trips = feed.trips.join(cand, "trip_id", "left_semi")                 # phase 2
-    cand_codes = codes.join(cand, "trip_id", "left_semi")
-    cand_shapes = feed.shapes.join(cand_trips.select("shape_id"), "shape_id", "left_semi")
-    on_shape = nw.on_shape_stops(cand_trips, cand_codes, feed.stops, cand_shapes)
-    stops_out = candidate_stops(cand_trips, cand_codes, feed.stops)
-    kstops = nw.key_trips(on_shape, journeys)
-    kseg = nw.key_segments(kstops)
-    trip_segs = nw.trips_over_segments(codes, kseg)                            # phase 3
-    return RefreshResult(
-        calendar=feed.calendar,
-        stops=stops_out,
-        trips=nw.relevant_trips(feed.trips, trip_segs),
-        segments=nw.unique_segments(kseg),
-        trip_segments=trip_segs,
-        key_segments=kseg,
-    )
+    return RefreshResult(feed, journeys)
 
 
 def candidate_stops(cand_trips: DataFrame, cand_codes: DataFrame, stops: DataFrame) -> DataFrame:

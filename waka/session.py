@@ -23,9 +23,6 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # The feed validation builds dozens of field expressions; inferring constraints over
-    # them grows combinatorially in the optimizer. Null filters on join keys are explicit.
-    "spark.sql.constraintPropagation.enabled": "false",
     # Rows handed to Python at once: whole texts may be long, and a worker holds a batch more than once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
@@ -51,7 +48,6 @@ def prepare(spark: SparkSession) -> None:
     """Apply the session settings operators rely on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BASE_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"])
     checkpoint_root(spark)
 

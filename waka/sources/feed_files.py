@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Types of the feed columns the jobs use (others stay strings).
 FEED_TYPES = {
@@ -51,6 +52,14 @@ def read_json_documents(spark: SparkSession, path: str, schema=None) -> DataFram
     return r.json(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Lines of a name, a tab and a JSON document (an array of records, or one): ``name`` and the fields of each record."""
+    parts = F.split("value", "\t", 2)
+    named = spark.read.text(path).select(parts[0].alias("name"), F.trim(parts[1]).alias("doc"))
+    array = F.when(F.col("doc").startswith("["), F.col("doc")).otherwise(F.concat(F.lit("["), "doc", F.lit("]")))
+    return named.select("name", F.inline(F.from_json(array, T.ArrayType(T.StructType.fromDDL(record)))))
+
+
 # ------------------------------------------------------------------ S3: feed archive members
 # A feed arrives as one archive or, when it is large, as several part archives, each holding a stretch of
 # one or more members. Archives are read as (path, content) by Spark, from whatever store it reaches, so each

@@ -61,11 +61,9 @@ def _lon() -> Column:
 
 
 def _by_tick(e: DataFrame) -> DataFrame:
-    """Hash-partition events by tick once, with an explicit partition count (kept by
-    adaptive coalescing) so JSON rendering and, later, the document parse spread over
-    every core; the grouping into documents then needs no second shuffle."""
-    n = e.sparkSession.sparkContext.defaultParallelism * 2
-    return e.repartition(n, "tick_no")
+    """Hash-partition events by tick once: JSON rendering spreads over the partitions, and the grouping into
+    documents needs no second shuffle."""
+    return e.repartition("tick_no")
 
 
 def _documents(entities: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
 """Structured Streaming ingest.
 
-T1  the feed fetcher lands one bundle file per snapshot (tick) holding both feeds
+T1  the feed fetcher lands bundle files, each holding both feeds of one or more snapshots (ticks)
     (``positions\\t{doc}`` and ``updates\\t{doc}`` lines); a file-source stream
     hands whole files to ``foreachBatch``, which runs the batch ingest (C2) on the
     micro-batch and appends only new (id, timestamp) keys to the table (K1), so a
     replayed batch after a failure writes nothing twice.
 T2  the first row of each key across ticks: ``foreachBatch`` against the stored keys.
-T3  here the two feeds of a tick are joined inside the micro-batch (a snapshot bundle is
-    one file, never split across micro-batches); ``merge_stream`` joins two separate
+T3  here the two feeds of a tick are joined inside the micro-batch (the bundle of a snapshot is
+    in one file, never split across micro-batches); ``merge_stream`` joins two separate
     feed streams instead.
 """
 
@@ -24,11 +24,11 @@ TAB = "\t"
 
 
 def land_tick_bundles(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Fixture landing zone: one text file per tick with both feed documents."""
+    """Fixture landing zone: text files with both feed documents of some ticks; a tick is never split over files."""
     pos = position_documents(spark, sf_dir).select("tick_no", F.concat(F.lit("positions" + TAB), "value").alias("value"))
     upd = update_documents(spark, sf_dir).select("tick_no", F.concat(F.lit("updates" + TAB), "value").alias("value"))
     both = pos.unionByName(upd)
-    both.repartition("tick_no").write.mode("overwrite").partitionBy("tick_no").text(root)
+    both.repartition("tick_no").select("value").write.mode("overwrite").text(root)
     return root
 
 

@@ -9,8 +9,7 @@ watermark passes the tick, and the join sees at most one row per key on each sid
 A bounded replay ends with an end-of-stream marker: one valid entity of a trip that
 is never active, placed after the last tick by more than the watermark delay. It moves the watermark past every real
 tick (so their state is emitted) and is itself dropped by the active-trip join.
-A replay whose files arrive in no particular time order needs a delay covering the
-replayed span, so no snapshot counts as late.
+Snapshots older than the watermark (the youngest seen, less the delay) count as late.
 """
 
 from __future__ import annotations
@@ -73,6 +72,19 @@ def merge_streams(spark: SparkSession, positions_landing: str, updates_landing:
     return merged.where(rules["vehicle_id"] & rules["label"])
 
 
+def start_merge(merged: DataFrame, path: str, checkpoint: str):
+    """Start the merge into parquet files at ``path``; returns the StreamingQuery. Every micro-batch plans the whole query anew, and
+    the constraints that could be inferred from its dozens of field expressions grow combinatorially: the query runs without them."""
+    spark, name = merged.sparkSession, "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(name, "true")
+    spark.conf.set(name, "false")       # a query keeps the settings of its start
+    try:
+        return (merged.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+                .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(name, before)
+
+
 def end_marker_documents(last_tick: int, after_seconds: int = 86400) -> tuple[str, str]:
     """One position and one update document carrying a single valid entity of a trip that
     is never active, ``after_seconds`` after ``last_tick`` (more than the watermark delay)."""
