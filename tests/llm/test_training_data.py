@@ -177,6 +177,43 @@ def test_license_labels(spark, odd, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_license_places_equal_brute_force(spark):
+    """Phrases whole, broken, shifted, repeated, with other words for some of theirs, and rare words out of place."""
+    rng = random.Random(12)
+    templates = [*licenses.BASE, *licenses.MORE]
+    filler = ["the", "license", "mit", "version", "gnu", "public", "by", "cc", "of", "software", "lorem", "ipsum"]
+    pool = []
+    for k in range(160):
+        w: list[str] = []
+        for _ in range(rng.randint(1, 4)):
+            t = list(rng.choice(templates).words)
+            for _ in range(rng.choice([0, 0, 1, len(t) // 8])):
+                t[rng.randrange(len(t))] = rng.choice(filler)
+            cut = rng.choice([0, 0, 1, 2])
+            w += [rng.choice(filler) for _ in range(rng.randint(0, 5))] + t[cut:]
+        pool.append((k, " ".join(w)))
+    want = {}
+    for k, text in pool:
+        w = text.split()
+        want[k] = collections.Counter()
+        for t in templates:
+            for at in range(-len(t.words), len(w)):
+                same = [0 <= at + j < len(w) and w[at + j] == x for j, x in enumerate(t.words)]
+                if all(same[slice(*t.key)]) and sum(same) / len(same) >= licenses.COVERAGE:
+                    want[k][t.label, t.base, at, round(sum(same) / len(same), 9)] += 1
+    got = {r["doc_id"]: collections.Counter((p["label"], p["base"], p["at"], round(p["coverage"], 9)) for p in r["licenses"])
+           for r in licenses.scan(spark.createDataFrame(pool, "doc_id long, text string")).collect()}
+    assert got == want and sum(sum(c.values()) for c in want.values()) > 150
+
+
+def test_license_identifiers_and_whole_texts(spark):
+    whole = max((t for t in licenses.MORE if t.label == "mit"), key=lambda t: len(t.words))
+    t = [(1, "GNU Affero General Public License, version 3"), (2, "SPDX-License-Identifier: Apache-2.0"), (3, "Creative Commons Attribution 4.0"),
+         (4, "terms of the MIT License"), (5, " ".join(whole.words).capitalize() + ".")]
+    got = {r["doc_id"]: {p["label"] for p in r["licenses"]} for r in licenses.scan(spark.createDataFrame(t, "doc_id long, text string")).collect()}
+    assert got == {1: {"agpl-3"}, 2: {"apache-2"}, 3: {"cc-by"}, 4: {"mit"}, 5: {"mit"}}
+
+
 # toxicity
 
 def slow_kernel(s, t):

@@ -1,23 +1,25 @@
 """License scans (4): a positional index of rare licence words.
 
-Every template has mandatory key-phrase words at fixed positions. Its posting list is kept under the
-key-phrase word with the highest inverse document frequency in the corpus; a file's occurrences of such words give
-(template, offset) candidates, and a candidate stands if the key phrase is all there and enough of the
-template's other words are at their relative positions.
+Every template has mandatory key-phrase words at fixed positions. It is posted, with their positions, under those RARE of these words that
+have the highest inverse document frequency in the corpus. A file's occurrences of such words, each less the word's position in
+the template, are the places where the template may start; the lists of a template's rare words are intersected, and a
+place that all of them name stands if the key phrase is all there and enough of the template's other words are at their relative positions.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waka.llm.common import ascii_lower, read, words
+from waka.llm.common import ascii_lower, let, read, words
 
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 COVERAGE = 0.8
+RARE = 3              # words that a template is posted under, at most
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,7 @@ BASE = [
     Template("apache-2", "apache license version 2", (0, 4), True),
     Template("cc-by-nc", "cc by nc", (0, 3), True),
 ]
-# Opening or granting sentences of public licences.
+# Opening or granting sentences of public licences, their identifiers, and whole texts.
 MORE = [
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", (0, 7)),
     Template("gpl-3", "this work is licensed under the gnu general public license version 3", (6, 12)),
@@ -50,6 +52,27 @@ MORE = [
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee", (0, 9)),
     Template("unlicense", "this is free and unencumbered software released into the public domain", (3, 6)),
     Template("cc-by-sa", "cc by sa", (0, 3)),
+    Template("agpl-3", "gnu affero general public license version 3", (0, 7)),
+    Template("cc-by", "creative commons attribution 4 0", (0, 5)),
+    Template("cc-by-sa", "creative commons attribution sharealike 4 0", (0, 6)),
+    Template("mit", "terms of the mit license", (0, 5)),
+    Template("mit", "spdx license identifier mit", (0, 4)),
+    Template("apache-2", "spdx license identifier apache 2 0", (0, 6)),
+    Template("gpl-3", "spdx license identifier gpl 3 0", (0, 6)),
+    Template("gpl-2", "spdx license identifier gpl 2 0", (0, 6)),
+    Template("bsd", "spdx license identifier bsd", (0, 4)),
+    Template("mpl-2", "spdx license identifier mpl 2 0", (0, 6)),
+    Template("mit", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
+        the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute
+        sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions
+        the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+        the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability
+        fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other
+        liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings
+        in the software""", (0, 7)),
+    Template("isc", """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that
+        the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties
+        with regard to this software including all implied warranties of merchantability and fitness""", (0, 9)),
 ]
 
 
@@ -62,26 +85,36 @@ def frequencies(tokens: DataFrame, templates: list[Template]) -> tuple[dict[str,
     return df, df.pop(None, 0)
 
 
-def anchors(templates: list[Template], df: dict[str, int], n: int) -> dict[str, list[tuple[int, int]]]:
-    """word -> (template, position): each template under its rarest mandatory word, at that word's first place in the phrase."""
+def anchors(template: Template, df: dict[str, int], n: int) -> list[tuple[str, int]]:
+    """(word, position) of the template's rarest different mandatory words, each at its first place in the phrase."""
     idf = lambda w: math.log((n + 1) / (df.get(w, 0) + 1))
-    posts: dict[str, list[tuple[int, int]]] = {}
-    for i, t in enumerate(templates):
-        at = max(range(*t.key), key=lambda j: (idf(t.words[j]), -j))
-        posts.setdefault(t.words[at], []).append((i, at))
-    return posts
+    first: dict[str, int] = {}
+    for j in range(*template.key):
+        first.setdefault(template.words[j], j)
+    return sorted(first.items(), key=lambda p: (-idf(p[0]), p[1]))[:RARE]
 
 
-def _places(w: Column, templates: list[Template], posts: dict[str, list[tuple[int, int]]]) -> Column:
+def _places(w: Column, templates: list[Template], posts: list[list[tuple[str, int]]]) -> Column:
     """Array of (t, at, coverage): the verified places of all templates."""
-    rare = F.array(*[F.lit(x) for x in posts])
-    posting = F.array(*[F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in v]) for v in posts.values()])
+    vocabulary = sorted({x for p in posts for x, _ in p})
+    rare = F.array(*map(F.lit, vocabulary))
+    leaders = F.array(*map(F.lit, sorted({p[0][0] for p in posts})))        # a template needs its rarest word
     text = F.array(*[F.array(*map(F.lit, t.words)) for t in templates])
     k0, k1 = F.array(*[F.lit(t.key[0]) for t in templates]), F.array(*[F.lit(t.key[1]) for t in templates])
     seen = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), F.array_position(rare, x).cast("int").alias("r"))),
                     lambda h: h["r"] > 0)
-    candidates = F.flatten(F.transform(seen, lambda h: F.transform(
-        F.get(posting, h["r"] - 1), lambda q: F.struct(q["t"].alias("t"), (h["i"] - q["p"]).alias("at")))))
+
+    def named(s: Column, word: str, position: int) -> Column:
+        """Starts that the occurrences of a word name."""
+        r = vocabulary.index(word) + 1
+        return F.transform(F.filter(s, lambda h: h["r"] == r), lambda h: h["i"] - position)
+
+    def starts(s: Column, t: int) -> Column:
+        """Where template t may start: the places that all its rare words name."""
+        both = reduce(F.array_intersect, [named(s, word, position) for word, position in posts[t]])
+        return F.transform(both, lambda at: F.struct(F.lit(t).alias("t"), at.alias("at")))
+
+    candidates = let(seen, lambda s: F.concat(*[starts(s, t) for t in range(len(templates))]))
 
     def judged(c: Column) -> Column:
         tpl = F.get(text, c["t"])
@@ -92,7 +125,7 @@ def _places(w: Column, templates: list[Template], posts: dict[str, list[tuple[in
         return F.struct(c["t"].alias("t"), c["at"].alias("at"), F.when(key, share).otherwise(0.0).alias("coverage"))
 
     found = F.filter(F.transform(candidates, judged), lambda c: c["coverage"] >= COVERAGE)
-    return F.when(F.arrays_overlap(w, rare), found).otherwise(
+    return F.when(F.arrays_overlap(w, leaders), found).otherwise(
         F.array().cast("array<struct<t:int,at:int,coverage:double>>"))
 
 
@@ -109,7 +142,7 @@ def scan(docs: DataFrame, templates: list[Template] = (*BASE, *MORE)) -> DataFra
     base = F.array(*[F.lit(t.base) for t in templates])
     return (docs.drop("n_words", "licenses").withColumn("__w", w)
             .withColumn("n_words", F.size("__w").cast("long"))
-            .withColumn("__p", _places(F.col("__w"), templates, anchors(templates, df, n)))
+            .withColumn("__p", _places(F.col("__w"), templates, [anchors(t, df, n) for t in templates]))
             .withColumn("licenses", F.transform("__p", lambda p: F.struct(
                 F.get(labels, p["t"]).alias("label"), F.get(base, p["t"]).alias("base"), p["at"].cast("long").alias("at"),
                 p["coverage"].alias("coverage"))))
