@@ -63,10 +63,11 @@ def _as_long(x: np.ndarray) -> np.ndarray:
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """kind 0: doc_id, text_hash, n, key of each row. kind 1: a chunk (n) of the task's counts by slot, one byte each."""
-    table, held, size = np.zeros(1 << SLOT_BITS, dtype=np.int64), [], 0
+    table, held, size = np.zeros(1 << SLOT_BITS, dtype=np.uint8), [], 0
 
     def add() -> None:
-        table[:] += np.bincount((np.concatenate(held) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=1 << SLOT_BITS)
+        slot, n = np.unique((np.concatenate(held) >> np.uint64(64 - SLOT_BITS)).astype(np.int32), return_counts=True)
+        table[slot] = np.minimum(table[slot] + n, 255)
 
     for b in batches:
         sizes, keys = [], []
@@ -83,7 +84,7 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if held:
         add()
     if table.any():
-        parts = np.minimum(table, 255).astype(np.uint8).reshape(CHUNKS, -1)
+        parts = table.reshape(CHUNKS, -1)
         yield pd.DataFrame({"kind": 1, "doc_id": None, "text_hash": 0, "n": range(CHUNKS), "key": 0, "counts": [p.tobytes() for p in parts]})
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ COMMON = 3000          # common words that plain landmarks are chosen from, at m
 HELD = 4               # one in so many labelled documents calibrates and is not fitted on
 SUB, DECAY = 3, 0.6
 LONGEST = 31           # letters of a piece; longer words are read in overlapping pieces
-CACHED = 75_000        # units whose vectors a worker keeps in each of two generations
+SLOT_BITS = 18         # a worker keeps the vectors of so many bits of units
+SLOTS = 1 << SLOT_BITS
 CHUNK = 500_000        # characters of texts that are looked up at once
 THRESHOLD = 0.7
 
@@ -291,32 +293,28 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 class Kept:
-    """The vectors of units that a worker has met, in two generations of CACHED: when the younger is full it becomes the older, and the older
-    is dropped but for what is met again."""
+    """The vectors of units that a worker has met, in a table of SLOTS places by the units' hashes; a unit replaces the one that had its place."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.young, self.old = {}, {}
-        self.rows = np.zeros((0, len(model.landmarks)), dtype=np.uint8)
-        self.old_rows = self.rows
+        self.hashes = np.zeros(SLOTS, dtype=np.uint64)      # 0: an empty place
+        self.rows = np.zeros((SLOTS, len(model.landmarks)), dtype=np.uint8)
 
     def find(self, units_of_texts: list[set[str]]) -> np.ndarray:
         """The largest kernel with each landmark of any unit of each text, in steps of 1/255."""
-        wanted = set().union(*units_of_texts)
-        fresh = sorted(u for u in wanted if u not in self.young)
-        again = [u for u in fresh if u in self.old]
-        fresh = [u for u in fresh if u not in self.old]
-        if len(self.young) + len(fresh) + len(again) > CACHED and self.young:
-            self.old, self.old_rows = self.young, self.rows
-            self.young, self.rows = {}, self.rows[:0]
-            return self.find(units_of_texts)
-        new = np.vstack([self.old_rows[[self.old[u] for u in again]], self.model.shades(fresh)]) if again else self.model.shades(fresh)
-        self.young.update(zip([*again, *fresh], range(len(self.rows), len(self.rows) + len(new)), strict=True))
-        self.rows = np.vstack([self.rows, new]) if len(new) else self.rows
-        out = np.zeros((len(units_of_texts), self.rows.shape[1]), dtype=np.uint8)
+        wanted = sorted(set().union(*units_of_texts))
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(u) | 1 for u in wanted), dtype=np.uint64, count=len(wanted))
+        place = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        fresh = np.flatnonzero(self.hashes[place] != hashes)
+        vectors = self.rows[place]
+        if fresh.size:
+            vectors[fresh] = self.model.shades([wanted[i] for i in fresh])
+            self.hashes[place[fresh]], self.rows[place[fresh]] = hashes[fresh], vectors[fresh]
+        number = dict(zip(wanted, range(len(wanted)), strict=True))
+        out = np.zeros((len(units_of_texts), vectors.shape[1]), dtype=np.uint8)
         for i, own in enumerate(units_of_texts):
             if own:
-                out[i] = self.rows[[self.young[u] for u in own]].max(0)
+                out[i] = vectors[[number[u] for u in own]].max(0)
         return out
 
 
