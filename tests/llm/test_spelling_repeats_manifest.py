@@ -169,8 +169,13 @@ def test_repeats_equal_brute_force(spark, monkeypatch, broadcast):
     texts += [list(texts[0]), list(texts[1]), list(texts[1]), [], ["x"] * 8, ["x"] * 9, ["x"] * 10]
     window = 9
     frame = spark.createDataFrame([(i, "  ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in repeats.remove_repeats(frame, window).collect()}
+    found = repeats.remove_repeats(frame, window).collect()
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found}
     assert [got[i] for i in range(len(texts))] == slow_repeats(texts, window)
+    for r in found:      # the spans say the same
+        gone = {j for s in r["removed"] for j in range(s["first"], s["first"] + s["n"])}
+        kept = " ".join(w for j, w in enumerate(texts[r["doc_id"]]) if j not in gone)
+        assert len(gone) == r["n_removed"] and hashlib.sha256(kept.encode()).hexdigest() == r["kept_sha256"]
     assert {0 < r[1] < r[0] for r in got.values()} == {True, False}
 
 

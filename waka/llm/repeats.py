@@ -225,19 +225,23 @@ def window_hashes(text: Column, spans: Column, window: int) -> Column:
     return of(text, spans)
 
 
+SPANS = "array<struct<first:int,n:int>>"
+
+
 def kept_words(text: Column, uncovered: Column, window: int) -> Column:
-    """struct of n_removed and kept_sha256 (and the kept text)."""
+    """struct of the removed spans of words (first, n) and the sha256 of the others, joined by one space."""
 
-    @F.pandas_udf("n_removed long, kept_sha256 string, kept string")
+    @F.pandas_udf(f"removed {SPANS}, kept_sha256 string")
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, gaps in batches:
             rows = []
             for text, gap in zip(texts, gaps, strict=True):
                 words = _WORD.findall(text)
                 gone = covered_words(len(words), [(s["first"], s["n"]) for s in gap], window)
-                kept = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
-                rows.append((int(gone.sum()), _sha(kept), " ".join(kept)))
-            yield pd.DataFrame(rows, columns=["n_removed", "kept_sha256", "kept"])
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]))).tolist()
+                spans = [{"first": a, "n": b - a} for a, b in zip(edge[::2], edge[1::2], strict=True)]
+                rows.append((spans, _sha([w for w, x in zip(words, gone.tolist(), strict=True) if not x])))
+            yield pd.DataFrame(rows, columns=["removed", "kept_sha256"])
 
     return of(text, uncovered)
 
@@ -276,7 +280,7 @@ def once(stretch: DataFrame, docs: DataFrame, rows: DataFrame, window: int) -> D
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of every row, from columns doc_id and text.
+    """doc_id, n_words, n_removed, kept_sha256 and ``removed``, the spans of words (first, n) that go, of every row, from columns doc_id and text.
 
     A word goes if a window of ``window`` consecutive words covers it whose words also start anywhere else, in the same text or another.
     Null and empty texts have no words; texts shorter than the window lose nothing, nor make others lose; repeated rows repeat each other;
@@ -293,16 +297,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     n_windows = F.col("n_words") - window + 1
     none = rows.where(F.col("n_words") < window).select("doc_id", "n_words", "whole").unionByName(
         state.where(F.col("n_once") == n_windows).select("doc_id", "n_words", "whole"))
-    untouched = none.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.lower(F.hex("whole")).alias("kept_sha256"))
-    emptied = state.where(F.col("n_once") == 0).select("doc_id", "n_words", F.col("n_words").alias("n_removed"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
+    none = none.select("doc_id", "n_words", F.array().cast(SPANS).alias("removed"), F.lower(F.hex("whole")).alias("kept_sha256"))
+    whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("n"))).cast(SPANS)
+    emptied = state.where(F.col("n_once") == 0).select("doc_id", "n_words", whole.alias("removed"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
     # texts with windows that occur once stand in one row each
     part = state.where((F.col("n_once") > 0) & (F.col("n_once") < n_windows)).select("doc_id", "t1", "t2", "n_words", "gaps")
-    cut = texts_of(docs, part).select("doc_id", "n_words", kept_words(F.col("text"), F.col("gaps"), window).alias("k"))
-    return untouched.unionByName(emptied).unionByName(cut.select("doc_id", "n_words", "k.n_removed", "k.kept_sha256"))
+    cut = texts_of(docs, part).select("doc_id", "n_words", kept_words(F.col("text"), F.col("gaps"), window).alias("k")).select("doc_id", "n_words", "k.*")
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    return none.unionByName(emptied).unionByName(cut).select("doc_id", "n_words", n_removed.alias("n_removed"), "kept_sha256", "removed")
 
 
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(read(spark, sf_dir, "documents"))
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("removed")
 
 
 ORACLE = rf"""
