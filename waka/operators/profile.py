@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from ..functions.dates import DOW_LABELS
 from .quantiles import exact_quantiles, select_ranks
 
+# Identifier and target columns of the analytics table.
 ID_COLS = {"id", "trip_id", "stop_id", "end_stop_id", "segment_id", "timestamp"}
 TARGET_COLS = ["target_latitude", "target_longitude"]
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)

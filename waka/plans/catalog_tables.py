@@ -23,6 +23,7 @@ from . import static_refresh as sr
 from . import weekly
 from .registry import register
 
+# Columns of the stored tables.
 STOP_COLS = ["stop_id", "location_type", "stop_code", "stop_lat", "stop_lon", "stop_name"]
 TRIP_COLS = ["trip_id", "route_id", "service_id", "direction_id", "shape_id"]
 
