@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Would put a filter below every explode of a computed array, which computes the array a second time.
+    "spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
     # Rows handed to Python at once: whole texts may be long, and a worker holds a batch more than once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
@@ -48,6 +50,10 @@ def prepare(spark: SparkSession) -> None:
     """Apply the session settings operators rely on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rule, name = BASE_CONF["spark.sql.optimizer.excludedRules"], "spark.sql.optimizer.excludedRules"
+    excluded = spark.conf.get(name, "") or ""
+    if rule not in excluded:
+        spark.conf.set(name, f"{excluded},{rule}" if excluded else rule)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BASE_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"])
     checkpoint_root(spark)
 
