@@ -1,5 +1,6 @@
 """Streams whose state ends: late and split trip-days, and the first row of each key."""
 
+import json
 import random
 
 from pyspark.sql import functions as F
@@ -65,3 +66,35 @@ def test_first_row_in_order_of_arrival_and_null_keys(spark):
         dedupe_stream(spark, landing, schema, out, scratch_path(spark, f"first_ckpt{k}"), files_per_trigger=2 + k).awaitTermination()
         got = {(r["id"], r["timestamp"]): r["v"] for r in spark.read.parquet(out).collect()}
         assert got == want and spark.read.parquet(out).count() == len(want)
+
+
+def test_documents_over_several_lines(spark, tmp_path):
+    """Pretty-printed snapshots, a file each: the stream merge and the batch parse read them whole."""
+    from waka.operators.quality import with_errors
+    from waka.plans import catalog_realtime as cr
+    from waka.sources import realtime_feed as rf
+    from waka.sources import transit_views as tv
+    from waka.streaming.merge_stream import end_marker_documents, merge_streams, start_merge
+
+    folders = {"positions": rf.position_documents, "updates": rf.update_documents}
+    last = 0
+    for name, docs in folders.items():
+        (tmp_path / name).mkdir()
+        for r in docs(spark, SF).collect():
+            doc = json.loads(r["value"])
+            last = max(last, doc["response"]["header"]["timestamp"])
+            (tmp_path / name / f"{r['tick_no']}.json").write_text(json.dumps(doc, indent=1))
+    for name, doc in zip(folders, end_marker_documents(last), strict=True):
+        (tmp_path / name / "end.json").write_text(json.dumps(json.loads(doc), indent=1))
+    parsed, rules = rf.parse_positions(rf.read_documents(spark, str(tmp_path / "positions"), multiline=True))
+    lines, same_rules = rf.parse_positions(rf.position_documents(spark, SF))
+    good = lambda rows, r: sorted((x["id"], x["timestamp"]) for x in with_errors(rows, r).where(F.size("errors") == 0).select("id", "timestamp").collect())
+    have = good(parsed, rules)
+    assert [x for x in have if x[0] != 0] == [x for x in good(lines, same_rules) if x[0] != 0] and have
+    m = merge_streams(spark, str(tmp_path / "positions"), str(tmp_path / "updates"), tv.realtime_trips(spark, SF), tv.calendar(spark, SF),
+                      cr.holidays(spark), files_per_trigger=500, multiline=True)      # one micro-batch: nothing is late
+    start_merge(m, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    import __spark_entry__ as entry
+    want = entry.queries()["T3_stream_stream_merge"](spark, SF)
+    got = spark.read.schema(m.schema).parquet(str(tmp_path / "out")).select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

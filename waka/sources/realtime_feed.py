@@ -145,6 +145,18 @@ def update_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(e.select("tick_no", "pos", "epoch", json.alias("json")))
 
 
+# ------------------------------------------------------------------ landed documents
+def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """S4/S5 on landed files: ``value``, one snapshot document a line, or one a file (``multiline``: the document may span lines)."""
+    return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=multiline)
+
+
+def document_stream(spark: SparkSession, path: str, files_per_trigger: int = 50, multiline: bool = False) -> DataFrame:
+    """The same as a stream of the files as they land."""
+    return (spark.readStream.format("text").option("recursiveFileLookup", "true").option("wholetext", multiline)
+            .option("maxFilesPerTrigger", files_per_trigger).load(path))
+
+
 # ------------------------------------------------------------------ parsing
 INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 

@@ -24,7 +24,7 @@ from ..operators import realtime as rt
 from ..operators.quality import with_errors
 from ..operators.service import calendar_long
 from ..plans.ingest import tick_service_date
-from ..sources.realtime_feed import parse_positions, parse_updates
+from ..sources.realtime_feed import document_stream, parse_positions, parse_updates
 
 END_TRIP = "__end_of_stream__"
 
@@ -47,10 +47,8 @@ def active_stream(rows: DataFrame, trips: DataFrame, calendar: DataFrame, holida
 
 
 def _side(spark: SparkSession, landing: str, parse, cols, trips, calendar, holidays, delay: str,
-          files_per_trigger: int) -> DataFrame:
-    s = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-         .option("maxFilesPerTrigger", files_per_trigger).load(landing))
-    df, rules = parse(s)
+          files_per_trigger: int, multiline: bool) -> DataFrame:
+    df, rules = parse(document_stream(spark, landing, files_per_trigger, multiline))
     df = with_errors(df, rules).withColumn("tick_ts", F.timestamp_seconds("tick")).withWatermark("tick_ts", delay)
     ok = df.where(F.size("errors") == 0).select("tick_ts", "tick", "pos", *cols)
     act = active_stream(ok, trips, calendar, holidays)
@@ -61,12 +59,12 @@ def _side(spark: SparkSession, landing: str, parse, cols, trips, calendar, holid
 
 def merge_streams(spark: SparkSession, positions_landing: str, updates_landing: str, trips: DataFrame,
                   calendar: DataFrame, holidays: DataFrame | None, delay: str = "10 minutes",
-                  files_per_trigger: int = 50) -> DataFrame:
-    """Streaming DataFrame of merged locations (J10 on streams), append mode."""
+                  files_per_trigger: int = 50, multiline: bool = False) -> DataFrame:
+    """Streaming DataFrame of merged locations (J10 on streams), append mode. ``multiline``: a file is one document, over as many lines as it has."""
     p = _side(spark, positions_landing, lambda d: parse_positions(d), rt.POSITION_COLUMNS, trips, calendar,
-              holidays, delay, files_per_trigger)
+              holidays, delay, files_per_trigger, multiline)
     u = _side(spark, updates_landing, lambda d: parse_updates(d), ["trip_id", *rt.UPDATE_COLUMNS], trips,
-              calendar, holidays, delay, files_per_trigger).drop("pos").withColumnRenamed("tick", "_utick")
+              calendar, holidays, delay, files_per_trigger, multiline).drop("pos").withColumnRenamed("tick", "_utick")
     merged = p.join(u, ["tick_ts", "trip_id"]).drop("_utick")
     rules = rt.merged_rules()
     return merged.where(rules["vehicle_id"] & rules["label"])
