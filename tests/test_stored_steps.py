@@ -2,8 +2,11 @@
 
 import numpy as np
 
+import __spark_entry__ as entry
 from waka.operators import profile as pr
+from waka.plans import catalog_network as cn
 from waka.plans import catalog_profile as cp
+from waka.plans import catalog_tables as ct
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,3 +27,9 @@ def test_target_slice_reads_a_stored_matrix(spark, monkeypatch):
     assert len(found) == 2 * (len(cp.NUMERIC_COLS) - 2)
     assert all(abs(x["r"] - r[at[x["feature"]], at[x["target"]]]) < 1e-5 for x in found)
     assert {x["target"] for x in found} == set(pr.TARGET_COLS)
+
+
+def test_export_of_no_trip(spark, monkeypatch):
+    monkeypatch.setattr(cn, "ROUTES", ["no such route"])
+    got = entry.queries()["K4_json_csv_export"](spark, SF)
+    assert got.columns == ct.TRIP_COLS and got.collect() == []

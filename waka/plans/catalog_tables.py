@@ -170,8 +170,10 @@ where trip_id in (select trip_id from rocc)"""))
 def k4(spark, sf):
     trips_out, lists = sr.explore_route(cn.feed(spark, sf), cn.ROUTES, cn.journeys(spark))
     jpath, cpath = scratch_path(spark, "work_trips_json"), scratch_path(spark, "trips_csv")
-    trips_out.join(lists.select("trip_id", "stops"), "trip_id").write.mode("overwrite").json(jpath)
-    spark.read.json(jpath).drop("stops").write.mode("overwrite").option("header", True).csv(cpath)
+    work = trips_out.join(lists.select("trip_id", "stops"), "trip_id")
+    work.write.mode("overwrite").json(jpath)
+    # the schema is given: JSON without a row, or with a field that is null in all rows, has nothing to infer it from
+    spark.read.schema(work.schema).json(jpath).drop("stops").write.mode("overwrite").option("header", True).csv(cpath)
     return ff.read_feed_csv(spark, cpath, "trips", TRIP_COLS)
 
 
