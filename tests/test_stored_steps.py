@@ -33,3 +33,9 @@ def test_export_of_no_trip(spark, monkeypatch):
     monkeypatch.setattr(cn, "ROUTES", ["no such route"])
     got = entry.queries()["K4_json_csv_export"](spark, SF)
     assert got.columns == ct.TRIP_COLS and got.collect() == []
+
+
+def test_quarantine_counts_read_stored_rows(spark):
+    got = entry.queries()["Q5_quarantine_counts"](spark, SF)
+    assert "variant" not in _plan(got)
+    assert {r["feed"]: r["n_valid"] + r["n_rejected"] > 0 for r in got.collect()} == {"positions": True, "updates": True}

@@ -126,9 +126,10 @@ select 'positions' feed, count(*) filter (where valid) n_valid, count(*) filter
 union all select 'updates', count(*) filter (where valid), count(*) filter (where not valid) from upd_rows"""))
 def q5(spark, sf):
     out = None
-    for name, (df, rules) in [("positions", rf.parse_positions(rf.position_documents(spark, sf))),
-                              ("updates", rf.parse_updates(rf.update_documents(spark, sf)))]:
-        good, bad = rt.validate(df, rules)
+    for name, docs, parse, cols in [("positions", rf.position_documents, rf.parse_positions, ing.POSITION_OUT),
+                                    ("updates", rf.update_documents, rf.parse_updates, ing.UPDATE_OUT)]:
+        # stored by valid_feed: a filter on computed errors is pushed down and computes every field many times
+        good, bad = ing.valid_feed(docs(spark, sf), parse, cols, name)
         one = good.agg(F.count(F.lit(1)).alias("n_valid")).select(
             F.lit(name).alias("feed"), "n_valid", bad.select(F.count(F.lit(1))).scalar().alias("n_rejected"))
         out = one if out is None else out.unionByName(one)
