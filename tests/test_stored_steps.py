@@ -7,9 +7,13 @@ from waka.operators import profile as pr
 from waka.plans import catalog_network as cn
 from waka.plans import catalog_profile as cp
 from waka.plans import catalog_tables as ct
+from waka.plans.catalog_realtime import holidays
+from waka.sources import transit_views as tv
+from waka.streaming import merge_stream as ms
 
 SF = "/root/testdata/sf0.001"
 
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -39,3 +43,13 @@ def test_quarantine_counts_read_stored_rows(spark):
     got = entry.queries()["Q5_quarantine_counts"](spark, SF)
     assert "variant" not in _plan(got)
     assert {r["feed"]: r["n_valid"] + r["n_rejected"] > 0 for r in got.collect()} == {"positions": True, "updates": True}
+
+
+def test_stream_merge_filters_computed_errors(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "documents"
+    landing.mkdir()
+    (landing / "one.txt").write_text('{"response": {"header": {"timestamp": 1704067200}, "entity": []}}\n')
+    monkeypatch.setattr(ms, "document_stream", lambda spark, path, *_: spark.read.text(path))     # the plan of the same rows as a batch
+    merged = ms.merge_streams(spark, str(landing), str(landing), tv.realtime_trips(spark, SF), tv.calendar(spark, SF), holidays(spark))
+    filters = [line for line in _plan(merged).splitlines() if "Filter" in line and "size(" in line]
+    assert len(filters) == 2 and not any("variant_get" in line for line in filters)

@@ -49,7 +49,10 @@ def active_stream(rows: DataFrame, trips: DataFrame, calendar: DataFrame, holida
 def _side(spark: SparkSession, landing: str, parse, cols, trips, calendar, holidays, delay: str,
           files_per_trigger: int, multiline: bool) -> DataFrame:
     df, rules = parse(document_stream(spark, landing, files_per_trigger, multiline))
-    df = with_errors(df, rules).withColumn("tick_ts", F.timestamp_seconds("tick")).withWatermark("tick_ts", delay)
+    row = F.struct("tick", "pos", *[c for c in cols if c not in ("tick", "pos")], "errors")
+    # the rows leave through a generator, below which no filter on ``errors`` is pushed: it would compute every field many times
+    df = with_errors(df, rules).select(F.inline(F.array(row)))
+    df = df.withColumn("tick_ts", F.timestamp_seconds("tick")).withWatermark("tick_ts", delay)
     ok = df.where(F.size("errors") == 0).select("tick_ts", "tick", "pos", *cols)
     act = active_stream(ok, trips, calendar, holidays)
     other = [c for c in ["tick", "pos", *cols] if c != "trip_id"]
