@@ -3,6 +3,7 @@
 import numpy as np
 
 import __spark_entry__ as entry
+from waka.operators import features as fe
 from waka.operators import profile as pr
 from waka.plans import catalog_network as cn
 from waka.plans import catalog_profile as cp
@@ -53,3 +54,14 @@ def test_stream_merge_filters_computed_errors(spark, tmp_path, monkeypatch):
     merged = ms.merge_streams(spark, str(landing), str(landing), tv.realtime_trips(spark, SF), tv.calendar(spark, SF), holidays(spark))
     filters = [line for line in _plan(merged).splitlines() if "Filter" in line and "size(" in line]
     assert len(filters) == 2 and not any("variant_get" in line for line in filters)
+
+
+def test_training_set_reads_stored_averages(spark):
+    """The averages come from one pass over the locations and are rounded in their own small table."""
+    from waka.plans import catalog_features as cf
+    ts = cf.training_of_all_weeks(spark, SF)
+    plan = _plan(ts)
+    assert "sum(" not in plan
+    assert not [line for line in plan.splitlines() for c in fe.avg_column_names() if f"round(({c}" in line or f"round({c}" in line]
+    assert plan.count("Join") <= 4                 # the carried rows, and one join with the averages
+    assert "Exchange hashpartitioning(week" not in ts._jdf.queryExecution().executedPlan().toString()
