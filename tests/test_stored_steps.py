@@ -1,14 +1,19 @@
 """Steps whose rows are computed once: nothing derived is planned again above a stored or generated row."""
 
 import numpy as np
+import pytest
 
 import __spark_entry__ as entry
 from waka.operators import features as fe
 from waka.operators import profile as pr
 from waka.plans import catalog_network as cn
 from waka.plans import catalog_profile as cp
+from waka.operators import quality as qa
+from waka.operators import versions as vs
 from waka.plans import catalog_tables as ct
+from waka.plans import weekly
 from waka.plans.catalog_realtime import holidays
+from waka.session import scratch_path
 from waka.sources import transit_views as tv
 from waka.streaming import merge_stream as ms
 
@@ -56,6 +61,21 @@ def test_stream_merge_filters_computed_errors(spark, tmp_path, monkeypatch):
     assert len(filters) == 2 and not any("variant_get" in line for line in filters)
 
 
+def test_staging_neither_shuffles_nor_sorts_whole_rows(spark, monkeypatch):
+    """K3: the rows are written as they come; repeated keys are counted on the staged keys, null keys among them."""
+    plans, write = [], vs.write_parts
+    monkeypatch.setattr(vs, "write_parts", lambda df, *a: (plans.append(_plan(df)), write(df, *a))[1])
+    schema = "id bigint, timestamp bigint, obs_year int, trip_id string, segment_id string, speed double"
+    rows = [(1, 1704700000, 2024, "a", "0-1", 1.0), (2, 1704700000, 2024, "a", "0-1", None), (None, 1704700000, 2024, "b", "0-1", 2.0)]
+    parts, report = weekly.stage(spark.createDataFrame(rows, schema), scratch_path(spark, "staged"))
+    assert (report.rows, report.null_counts["id"], report.null_counts["speed"], len(parts)) == (3, 1, 1, 1)
+    assert "Window" not in plans[0]
+    twice = [*rows, rows[0], rows[0], rows[2]]
+    with pytest.raises(ValueError, match="3 duplicate"):
+        weekly.stage(spark.createDataFrame(twice, schema), scratch_path(spark, "staged"))
+    assert weekly.stage(spark.createDataFrame([], schema), scratch_path(spark, "staged"))[1].rows == 0
+
+
 def test_training_set_reads_stored_averages(spark):
     """The averages come from one pass over the locations and are rounded in their own small table."""
     from waka.plans import catalog_features as cf
