@@ -1,7 +1,10 @@
 """Steps whose rows are computed once: nothing derived is planned again above a stored or generated row."""
 
+import json
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from waka.operators import features as fe
@@ -11,9 +14,10 @@ from waka.plans import catalog_profile as cp
 from waka.operators import quality as qa
 from waka.operators import versions as vs
 from waka.plans import catalog_tables as ct
-from waka.plans import weekly
+from waka.plans import ingest, weekly
 from waka.plans.catalog_realtime import holidays
-from waka.session import scratch_path
+from waka.session import METHOD_LIMIT, compiled_methods, scratch_path
+from waka.sources import realtime_feed as rf
 from waka.sources import transit_views as tv
 from waka.streaming import merge_stream as ms
 
@@ -85,3 +89,39 @@ def test_training_set_reads_stored_averages(spark):
     assert not [line for line in plan.splitlines() for c in fe.avg_column_names() if f"round(({c}" in line or f"round({c}" in line]
     assert plan.count("Join") <= 4                 # the carried rows, and one join with the averages
     assert "Exchange hashpartitioning(week" not in ts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_errors_are_computed_by_compiled_code(spark):
+    rows = spark.createDataFrame([(1, True, None), (2, False, True), (3, True, True)], "id int, a boolean, b boolean")
+    marked = qa.with_errors(rows, {"a": F.col("a"), "b": F.col("b")})
+    assert {r["id"]: r["errors"] for r in marked.collect()} == {1: ["b"], 2: ["a"], 3: []}
+    assert "lambda" not in _plan(marked)           # a higher-order function and all in its arguments are interpreted
+
+
+def test_entities_of_odd_shapes(spark):
+    """Trips, updates and stop updates without the fields that usually prove them."""
+    def doc(entities):
+        return spark.createDataFrame([(json.dumps({"response": {"header": {"timestamp": 5}, "entity": entities}}),)], "value string")
+
+    trips = [{}, None, "x", [], {"route_id": "R"}, {"trip_id": None}, {"trip_id": "T"}]
+    got, _ = rf.parse_positions(doc([{"vehicle": {"trip": t}} for t in trips]))
+    assert [(r["pos"], r["trip_id"], r["route_id"]) for r in got.orderBy("pos").collect()] == [
+        (2, None, None), (3, None, None), (4, None, "R"), (5, None, None), (6, "T", None)]
+    updates = [{}, None, "x", {"delay": 4}, {"trip": None}]
+    got, _ = rf.parse_updates(doc([{"trip_update": u} for u in updates]))
+    assert [(r["pos"], r["delay"]) for r in got.orderBy("pos").collect()] == [(2, None), (3, 4), (4, None)]
+    stops = [[], [None, {"stop_id": "S"}], {"stop_sequence": 3}, {"stop_id": "S"}, [{"stop_sequence": 4}], {}, "x", None]
+    got, _ = rf.parse_updates(doc([{"trip_update": {"delay": 1, "stop_time_update": x}} for x in stops]))
+    assert [(r["stop_sequence"], r["stop_id"]) for r in got.orderBy("pos").collect()] == [
+        (None, None), (None, None), (3, None), (None, "S"), (4, None), (None, None), (None, None), (None, None)]
+
+
+def test_feed_is_parsed_by_methods_that_are_compiled(spark, monkeypatch):
+    name, seen, write = "spark.sql.codegen.hugeMethodLimit", [], ingest.materialize
+    monkeypatch.setattr(ingest, "materialize", lambda df, *a: (seen.append((spark.conf.get(name), _plan(df))), write(df, *a))[1])
+    before = spark.conf.get(name)
+    ingest.valid_feed(rf.update_documents(spark, SF), rf.parse_updates, ingest.UPDATE_OUT, "updates")
+    assert [limit for limit, _ in seen] == [METHOD_LIMIT] and spark.conf.get(name) == before
+    with pytest.raises(KeyError), compiled_methods(spark):
+        raise KeyError
+    assert spark.conf.get(name) == before

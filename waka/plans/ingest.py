@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import FEED_TZ
-from ..session import materialize
+from ..session import compiled_methods, materialize
 from ..operators import realtime as rt
 from ..operators.quality import split_valid, with_errors
 from ..operators.service import service_days
@@ -60,7 +60,8 @@ def valid_feed(docs: DataFrame, parse, cols, name: str) -> tuple[DataFrame, Data
     column. Later steps read the compact stored rows, and a lost executor recomputes
     nothing upstream of the cut."""
     parsed, rules = parse(docs)
-    stored = materialize(with_errors(parsed, rules).select(*cols, "errors"), name)
+    with compiled_methods(docs.sparkSession):
+        stored = materialize(with_errors(parsed, rules).select(*cols, "errors"), name)
     ok = F.size("errors") == 0
     return stored.where(ok).drop("errors"), stored.where(~ok)
 

@@ -281,13 +281,19 @@ def _start_time(v: Column, trip_path: str) -> tuple[Column, Column]:
     return inst, inst.isNotNull()
 
 
+def _filled(path: str, known: str) -> Column:
+    """Whether the entity has something other than null or an empty object at ``path``. The field ``known`` proves it for nearly
+    all; only an object without it pays for the schema of the whole."""
+    x = F.try_variant_get("e", path, "variant")
+    proven = F.try_variant_get("e", f"{path}.{known}", "variant").isNotNull()
+    return F.coalesce(x.isNotNull() & ~F.is_variant_null(x) & (proven | (F.schema_of_variant(x) != "OBJECT<>")), F.lit(False))
+
+
 def parse_positions(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """S4 + P12 + X16/X17: one typed row per entity carrying a trip; returns the rows
     and the validation rules (Q5) as boolean columns."""
     ents = _documents_to_entities(docs)
-    trip = F.try_variant_get("e", "$.vehicle.trip", "variant")
-    has_trip = trip.isNotNull() & ~F.is_variant_null(trip) & (F.schema_of_variant(trip) != "OBJECT<>")
-    ents = ents.where(F.col("_no_entities") | F.coalesce(has_trip, F.lit(False)))
+    ents = ents.where(F.col("_no_entities") | _filled("$.vehicle.trip", "trip_id"))
     df, rules = read_fields(ents, POSITION_SPEC)
     rules["document"] = ~F.col("_no_entities")
     inst, ok = _start_time(F.col("e"), "$.vehicle.trip")
@@ -300,12 +306,13 @@ def parse_updates(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """A list-valued ``stop_time_update`` contributes its first element (an empty
     list contributes nothing, so its stop fields are missing)."""
     ents = _documents_to_entities(docs)
-    tu = F.try_variant_get("e", "$.trip_update", "variant")
-    has_update = tu.isNotNull() & ~F.is_variant_null(tu) & (F.schema_of_variant(tu) != "OBJECT<>")
-    ents = ents.where(F.col("_no_entities") | F.coalesce(has_update, F.lit(False)))
+    ents = ents.where(F.col("_no_entities") | _filled("$.trip_update", "trip"))
     raw = F.try_variant_get("e", "$.trip_update.stop_time_update", "variant")
-    first = F.when(F.schema_of_variant(raw).startswith("ARRAY"),
-                   F.try_variant_get("e", "$.trip_update.stop_time_update[0]", "variant")).otherwise(raw)
+    element = F.try_variant_get("e", "$.trip_update.stop_time_update[0]", "variant")
+    is_object = F.try_variant_get("e", "$.trip_update.stop_time_update.stop_id", "variant").isNotNull()
+    # an element proves a list, a stop an object; only what has neither pays for its schema
+    first = (F.when(element.isNotNull(), element).when(is_object, raw)
+             .when(F.schema_of_variant(raw).startswith("ARRAY"), F.lit(None).cast("variant")).otherwise(raw))
     # the chosen stop_time_update sits next to the entity; "$._stu..." paths read it
     ents = ents.withColumn("_stu_obj", first)
     v = F.col("e")
